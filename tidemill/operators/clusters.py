@@ -202,7 +202,7 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, dims: int = 2, block
 
     def touches(a, b):
         hit = any(near.any() for _, near in within(a, b))
-        return pd.DataFrame({"pair": [a["cell"].iloc[0]] if hit else []})
+        return pd.DataFrame({"pair": [a["cell"].iloc[0]]}) if hit else pd.DataFrame()
 
     left = core.join(open_pairs, F.col("cell") == F.col("a")).select("id", "x", F.col("pair").alias("cell"))
     right = core.join(open_pairs, F.col("cell") == F.col("b")).select("id", "x", F.col("pair").alias("cell"))
