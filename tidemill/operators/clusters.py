@@ -133,7 +133,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         lowered = labels.join(around, F.col("v") == F.col("a"), "left").select(
             "v", F.col("component").alias("_old"), F.least("component", "_m").alias("component")
         )
-        lowered = stage(lowered, "labels")
         jump = lowered.select(F.col("v").alias("_t"), F.col("component").alias("_j"))
         hopped = lowered.join(jump, F.col("component") == F.col("_t"))
         following = stage(hopped.select("v", "_old", F.least("component", "_j").alias("component")), "labels")
@@ -151,12 +150,75 @@ def _near_offsets(dims: int) -> list[tuple[int, ...]]:
     return [o for o in product(range(-reach, reach + 1), repeat=dims) if gap(o) < dims + 1e-9]
 
 
+FEW_POINTS = 32
+
+
+def _meet(probes: DataFrame, points: DataFrame, eps: float, block: int) -> DataFrame:
+    """Probe rows (id, x, cell) joined with the points of their cell that lie within eps.
+
+    The points of a crowded cell are dealt to several blocks and probes visit each of them, so no
+    join key gathers a whole cell.
+    """
+    blocks = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_nb"))
+    left = probes.join(blocks, "cell").select(
+        F.col("id").alias("pid"), F.col("x").alias("px"), "cell", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_b")
+    )
+    right = points.join(blocks, "cell").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int")).drop("_nb")
+    return left.join(right, ["cell", "_b"]).filter(_squared(F.col("px"), F.col("x")) <= eps * eps)
+
+
+def _squared(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _linked_cells(core: DataFrame, around, eps: float, dims: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Core cells with their first point, and the pairs of them that hold points within eps of each other.
+
+    Cells of few points compare all of them inside one row; crowded ones compare their extreme
+    points first, and only pairs left open by that meet point by point, block by block.
+    """
+    sizes = core.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("id").alias("first_id"),
+        F.array_distinct(F.flatten(F.array(*[
+            F.array(F.min_by("x", F.col("x")[i]), F.max_by("x", F.col("x")[i])) for i in range(dims)
+        ]))).alias("extremes"),
+    )
+    few = core.join(sizes.filter(F.col("_n") <= FEW_POINTS).select("cell"), "cell", "left_semi")
+    listed = few.groupBy("cell").agg(F.collect_list("x").alias("every"))
+    cells = stage(sizes.join(listed, "cell", "left").select(
+        "cell", "first_id", F.coalesce("every", "extremes").alias("shown"), F.col("every").isNotNull().alias("whole")
+    ), "cells")
+    ahead = cells.select(F.col("cell").alias("a"), F.col("shown").alias("sa"), F.col("whole").alias("wa"), F.explode(around(F.col("cell"))).alias("b"))
+    other = cells.select(F.col("cell").alias("b"), F.col("shown").alias("sb"), F.col("whole").alias("wb"))
+    linked = F.exists("sa", lambda p: F.exists("sb", lambda q: _squared(p, q) <= eps * eps))
+    pairs = ahead.filter("a < b").join(other, "b").select("a", "b", linked.alias("linked"), (F.col("wa") & F.col("wb")).alias("settled"))
+    pairs = stage(pairs.filter("linked OR NOT settled"), "pairs")
+    unsettled = pairs.filter("NOT linked").select("a", "b", F.concat_ws("|", "a", "b").alias("pair"))
+
+    def touches(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        hit = (squared_by_axis(_matrix(a["x"]), _matrix(b["x"])) <= eps * eps).any()
+        return pd.DataFrame({"pair": [a["cell"].iloc[0]]}) if hit else pd.DataFrame()
+
+    edges = pairs.filter("linked").select("a", "b")
+    if unsettled.limit(1).count():
+        left = core.join(unsettled, F.col("cell") == F.col("a")).select("id", "x", F.col("pair").alias("cell"))
+        right = core.join(unsettled, F.col("cell") == F.col("b")).select("id", "x", F.col("pair").alias("cell"))
+        found = blockwise(left, right, touches, "pair string", block).distinct()
+        edges = edges.union(unsettled.join(found, "pair").select("a", "b"))
+    return cells.select(F.col("cell").alias("v"), "first_id"), edges
+
+
+def squared_by_axis(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Squared distances without the rounding of the dot-product form."""
+    return sum((q[:, i][:, None] - x[:, i][None, :]) ** 2 for i in range(q.shape[1]))
+
+
 def dbscan(points: DataFrame, eps: float, min_samples: int, dims: int = 2, block: int = BLOCK_ROWS) -> DataFrame:
     """Density clusters of (id, x) for a small number of dimensions: (id, is_core, cluster), noise is -1.
 
     The grid's cell diagonal is eps, so points of one cell are mutual neighbours: crowded cells
-    are core without any comparison, and components are built over cells. Point comparisons
-    remain for thin cells and for pairs of cells that the extreme points do not already link.
+    are core without any comparison and components are built over cells. Only the few points
+    of thin cells look into the cells around them.
     """
     side = eps / sqrt(dims) * (1 - 1e-12)
     cell = F.concat_ws(",", F.transform("x", lambda v: F.floor(v / side).cast("string")))
@@ -167,63 +229,25 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, dims: int = 2, block
         own = F.split(c, ",").cast("array<bigint>")
         return F.transform(offsets, lambda o: F.concat_ws(",", F.zip_with(own, o, lambda a, b: (a + b).cast("string"))))
 
-    def within(a: pd.DataFrame, b: pd.DataFrame):
-        qa, xb = _matrix(a["x"]), _matrix(b["x"])
-        step = max(1, 1_000_000 // max(1, len(xb)))
-        for lo in range(0, len(qa), step):
-            part = qa[lo:lo + step]
-            sq = sum((part[:, i][:, None] - xb[:, i][None, :]) ** 2 for i in range(dims))
-            yield lo, sq <= eps * eps
-
-    def count_near(a, b):
-        n = np.concatenate([near.sum(1) for _, near in within(a, b)])
-        return pd.DataFrame({"id": a["id"], "n": n})
-
     per_cell = pts.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
     sized = pts.join(per_cell, "cell")
-    thin = sized.filter(F.col("_n") < min_samples)
-    probes = thin.select("id", "x", F.explode(around(F.col("cell"))).alias("cell"))
-    counted = blockwise(probes, pts, count_near, "id long, n long", block).groupBy("id").agg(F.sum("n").alias("_near"))
-    flagged = sized.join(counted, "id", "left").select(
+    probes = sized.filter(F.col("_n") < min_samples).select("id", "x", F.explode(around(F.col("cell"))).alias("cell"))
+    counted = _meet(probes, pts, eps, block).groupBy(F.col("pid").alias("id")).agg(F.count(F.lit(1)).alias("_near"))
+    flagged = stage(sized.join(counted, "id", "left").select(
         "id", "x", "cell", (F.coalesce("_near", "_n") >= min_samples).alias("is_core")
-    )
-    flagged = stage(flagged, "cores")
+    ), "cores")
     core = flagged.filter("is_core").select("id", "x", "cell")
 
-    extremes = F.array_distinct(F.flatten(F.array(*[
-        F.array(F.min_by("x", F.col("x")[i]), F.max_by("x", F.col("x")[i])) for i in range(dims)
-    ])))
-    tips = stage(core.groupBy("cell").agg(extremes.alias("tips"), F.min("id").alias("first_id")), "tips")
-    ahead = tips.select(F.col("cell").alias("a"), F.col("tips").alias("ta"), F.explode(around(F.col("cell"))).alias("b")).filter("a < b")
-    linked = F.exists("ta", lambda p: F.exists("tb", lambda q: euclidean(p, q) <= eps))
-    paired = ahead.join(tips.select(F.col("cell").alias("b"), F.col("tips").alias("tb")), "b")
-    paired = stage(paired.select("a", "b", linked.alias("linked")), "pairs")
-    open_pairs = paired.filter("NOT linked").select("a", "b", F.concat_ws("|", "a", "b").alias("pair"))
-
-    def touches(a, b):
-        hit = any(near.any() for _, near in within(a, b))
-        return pd.DataFrame({"pair": [a["cell"].iloc[0]]}) if hit else pd.DataFrame()
-
-    left = core.join(open_pairs, F.col("cell") == F.col("a")).select("id", "x", F.col("pair").alias("cell"))
-    right = core.join(open_pairs, F.col("cell") == F.col("b")).select("id", "x", F.col("pair").alias("cell"))
-    found = blockwise(left, right, touches, "pair string", block).distinct()
-    edges = paired.filter("linked").select("a", "b").union(open_pairs.join(found, "pair").select("a", "b"))
-    components = connected_components(tips.select(F.col("cell").alias("v")), edges)
-
-    named = components.join(tips.select(F.col("cell").alias("v"), "first_id"), "v")
+    vertices, edges = _linked_cells(core, around, eps, dims, block)
+    named = connected_components(vertices, edges).join(vertices, "v")
     firsts = named.groupBy("component").agg(F.min("first_id").alias("first_id"))
     numbers = global_row_number(firsts, ["first_id"], "cluster", 0).drop("first_id")
     cell_cluster = stage(named.join(numbers, "component").select(F.col("v").alias("cell"), "cluster"), "clusters")
 
-    def reach_cluster(a, b):
-        groups = b["cluster"].to_numpy()
-        best = np.concatenate([np.where(near, groups[None, :], np.iinfo(np.int64).max).min(1) for _, near in within(a, b)])
-        hit = best < np.iinfo(np.int64).max
-        return pd.DataFrame({"id": a["id"][hit], "cluster": best[hit]})
-
     loose = flagged.filter("NOT is_core").select("id", "x", F.explode(around(F.col("cell"))).alias("cell"))
-    anchored = core.join(cell_cluster, "cell")
-    border = blockwise(loose, anchored, reach_cluster, "id long, cluster long", block).groupBy("id").agg(F.min("cluster").alias("_border"))
+    border = _meet(loose, core.join(cell_cluster, "cell"), eps, block).groupBy(F.col("pid").alias("id")).agg(
+        F.min("cluster").alias("_border")
+    )
     return (
         flagged.select("id", "cell", "is_core")
         .join(cell_cluster, "cell", "left")

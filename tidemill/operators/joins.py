@@ -54,3 +54,16 @@ def not_in(df: DataFrame, column: str, excluded: DataFrame) -> DataFrame:
 
 def pre_aggregated(df: DataFrame, key: str, **aggregates: Column) -> DataFrame:
     return df.groupBy(key).agg(*[c.alias(n) for n, c in aggregates.items()])
+
+
+def salted_lookup(facts: DataFrame, table: DataFrame, key: str, spread: str, salts: int = 16) -> DataFrame:
+    """Join facts with a table of unique keys although one key may hold a large share of the facts.
+
+    A table of few rows is broadcast. A larger one is repeated once per salt, and the facts of a
+    key are dealt to the salts by the hash of another column.
+    """
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return facts.join(F.broadcast(table), key)
+    dealt = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [key, "_salt"]).drop("_salt")
