@@ -84,7 +84,7 @@ def silhouette(points: DataFrame, small_rows: int = SMALL_ROWS, block: int = BLO
                 "other": np.tile(levels, m), "total": d.ravel(),
             })
 
-    if _small(points, small_rows):
+    if _small(points, "vec", small_rows):
         held = points.toPandas()
         data = points.sparkSession.sparkContext.broadcast((_matrix(held["vec"]), held["label"].to_numpy()))
 

@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counts no further and reads no column it can avoid."""
+    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` after checking that it has at most ``max_rows`` rows; larger sides are returned unhinted."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def product_of_dimensions(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Every pair of two dimension tables, refused when the product would exceed ``max_rows``."""
-    n_left, n_right = (d.limit(max_rows + 1).count() for d in (left, right))
+    n_left, n_right = (d.select(F.lit(1)).limit(max_rows + 1).count() for d in (left, right))
     if n_left * n_right > max_rows:
         raise ValueError(f"a product of {n_left} x {n_right} or more rows exceeds {max_rows}")
     return left.crossJoin(F.broadcast(right))
@@ -56,13 +59,15 @@ def pre_aggregated(df: DataFrame, key: str, **aggregates: Column) -> DataFrame:
     return df.groupBy(key).agg(*[c.alias(n) for n, c in aggregates.items()])
 
 
-def salted_lookup(facts: DataFrame, table: DataFrame, key: str, spread: str, salts: int = 16) -> DataFrame:
+def salted_lookup(
+    facts: DataFrame, table: DataFrame, key: str, spread: str, salts: int = 16, small_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Join facts with a table of unique keys although one key may hold a large share of the facts.
 
     A table of few rows is broadcast. A larger one is repeated once per salt, and the facts of a
     key are dealt to the salts by the hash of another column.
     """
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if fits(table, small_rows):
         return facts.join(F.broadcast(table), key)
     dealt = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import unit_hash
+from tidemill.operators.joins import bounded
 from tidemill.operators.neighbors import nearest
 from tidemill.operators.ordering import global_row_number, keyed_row_number
+from tidemill.session import stage
 
 
 def label_codes(df: DataFrame, column: str, first_seen: list[str] | None = None) -> DataFrame:
@@ -64,7 +66,8 @@ def smote(minority: DataFrame, n_new: int, seed: str, k: int = 5, **kwargs) -> D
     pairs = nearest(
         minority.select(F.col("id").alias("qid"), F.col("vec").alias("qvec")),
         minority.select(F.col("id").alias("iid"), F.col("vec").alias("ivec")), k, skip_same=True, **kwargs,
-    ).select("qid", "iid", "rank")
+    )
+    pairs = stage(pairs.select("qid", "iid", "rank"), "neighbors")
     size = minority.count()
     found = min(k, size - 1)
     numbered = global_row_number(minority.select("id", "vec"), ["id"], "place")
@@ -74,8 +77,9 @@ def smote(minority: DataFrame, n_new: int, seed: str, k: int = 5, **kwargs) -> D
         (F.floor(unit_hash(seed + "n", F.col("id")) * found) + 1).alias("rank"),
         unit_hash(seed + "g", F.col("id")).alias("gap"),
     )
-    based = new.join(numbered, "place").select("new_id", "rank", "gap", F.col("id").alias("qid"), F.col("vec").alias("base"))
-    chosen = based.join(pairs, ["qid", "rank"]).join(minority.select(F.col("id").alias("iid"), F.col("vec").alias("other")), "iid")
+    based = new.join(bounded(numbered), "place").select("new_id", "rank", "gap", F.col("id").alias("qid"), F.col("vec").alias("base"))
+    others = minority.select(F.col("id").alias("iid"), F.col("vec").alias("other"))
+    chosen = based.join(bounded(pairs), ["qid", "rank"]).join(bounded(others), "iid")
     line = F.zip_with("base", "other", lambda b, o: b + F.col("gap") * (o - b))
     return chosen.select("new_id", F.col("qid").alias("base_id"), F.col("iid").alias("neighbor_id"), "gap", line.alias("vec"))
 
@@ -84,9 +88,17 @@ def oversample(df: DataFrame, key: str, label: str) -> DataFrame:
     """Repeat rows until every class has as many as the largest; copies go round the class in key order."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     sizes = counts.withColumn("_max", F.max("_n").over(Window.partitionBy()))
-    numbered = keyed_row_number(df, [label], [key], "_rn").join(F.broadcast(sizes), label)
+    numbered = keyed_row_number(df, [label], [key], "_rn").join(bounded(sizes), label)
     times = F.floor(F.col("_max") / F.col("_n")) + (F.col("_rn") <= F.col("_max") % F.col("_n")).cast("long")
-    return numbered.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).drop("_n", "_max", "_rn")
+    return repeat_rows(numbered.withColumn("_times", times), key, "_times").drop("_n", "_max", "_rn")
+
+
+def repeat_rows(df: DataFrame, key: str, times: str, out: str = "copy", chunk: int = 65_536) -> DataFrame:
+    """Each row as often as its ``times`` says, numbered from 1; long repeats are spread over tasks in chunks."""
+    last = F.floor((F.col(times) - 1) / chunk)
+    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition(key, "_chunk")
+    start, end = F.col("_chunk") * chunk + 1, F.least((F.col("_chunk") + 1) * chunk, F.col(times))
+    return chunks.withColumn(out, F.explode(F.sequence(start, end))).drop("_chunk", times)
 
 
 def accuracy(df: DataFrame, label: str, prediction: str, by: list[str]) -> DataFrame:

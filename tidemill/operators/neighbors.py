@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemill.session import stage
 
 SMALL_ROWS = 20_000
+SMALL_NUMBERS = 5_000_000
 BLOCK_ROWS = 4_096
 _PAIRS = "qid long, iid long, dist double"
 _CHUNK = 500_000
@@ -86,8 +87,10 @@ def best_k(candidates: DataFrame, k: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
-def _small(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
+def _small(df: DataFrame, vec: str, max_rows: int) -> bool:
+    """Whether the vectors may be broadcast: few rows and not too many numbers in them."""
+    size = df.select(F.size(vec).alias("d")).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("v")).first()
+    return size["n"] <= max_rows and (size["v"] or 0) <= SMALL_NUMBERS
 
 
 def _nearest_broadcast(queries: DataFrame, items: DataFrame, k: int, skip_same: bool) -> DataFrame:
@@ -169,7 +172,7 @@ def nearest(
     """
     queries = queries.select(F.col("qid").cast("long"), F.col("qvec").cast("array<double>"))
     items = items.select(F.col("iid").cast("long"), F.col("ivec").cast("array<double>"))
-    if _small(items, small_rows):
+    if _small(items, "ivec", small_rows):
         return best_k(_nearest_broadcast(queries, items, k, skip_same), k)
     cells = Cells(items, n_cells)
     first = stage(best_k(cells.probe(cells.visits(queries, True, k), k, skip_same, block), k), "home")

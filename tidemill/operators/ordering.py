@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.joins import bounded
 from tidemill.session import stage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
@@ -80,3 +81,28 @@ def keyed_row_number(df: DataFrame, keys: list[str], order: list[str | Column],
     """Row number per key in which one hot key may span many partitions."""
     counted = keyed_running_sum(df.withColumn("_one", F.lit(1).cast("long")), keys, order, "_one", out)
     return counted.drop("_one")
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[float], out: str = "marks") -> DataFrame:
+    """Interpolated percentiles per key as an array, for groups of any size.
+
+    Values collapse to counts; a running sum of the counts says which value stands at each
+    position, so no task ever holds the values of a whole group.
+    """
+    keys_or_all = keys or ["_all"]
+    rows = df if keys else df.withColumn("_all", F.lit(0))
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys_or_all, value).agg(F.count(F.lit(1)).alias("_c"))
+    running = keyed_running_sum(counts, keys_or_all, [value], "_c", "_upto")
+    totals = running.groupBy(*keys_or_all).agg(F.sum("_c").alias("_n"))
+    placed = running.join(bounded(totals) if keys else F.broadcast(totals), keys_or_all)
+
+    def at(index: Column) -> Column:
+        here = (F.col("_upto") - F.col("_c") <= index) & (index < F.col("_upto"))
+        return F.max(F.when(here, F.col(value).cast("double")))
+
+    spots = [(F.col("_n") - 1) * F.lit(p) for p in probs]
+    found = placed.groupBy(*keys_or_all, "_n").agg(
+        *[at(F.floor(h)).alias(f"_lo{i}") for i, h in enumerate(spots)], *[at(F.ceil(h)).alias(f"_hi{i}") for i, h in enumerate(spots)]
+    )
+    marks = [F.col(f"_lo{i}") + (h - F.floor(h)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i, h in enumerate(spots)]
+    return found.select(*keys, F.array(*marks).alias(out))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import normal_hash
 from tidemill.operators.joins import product_of_dimensions
-from tidemill.operators.ordering import global_running_sum
+from tidemill.operators.ordering import exact_percentiles, global_running_sum
 
 # fixed values: the two five-step scales of the qualitative assessment
 LIKELIHOOD_SCALE = {"Rare": 1, "Unlikely": 2, "Possible": 3, "Likely": 4, "Almost Certain": 5}
@@ -22,8 +22,9 @@ def tail_risk(df: DataFrame, value: str, tail: float = 0.05) -> DataFrame:
     """
     rows = df.filter(F.col(value).isNotNull())
     per_value = rows.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    whole = rows.agg(F.percentile(value, tail).alias("var"), F.floor(F.count(F.lit(1)) * F.lit(tail)).alias("_m"))
-    running = global_running_sum(per_value, [value], "_c", "_upto").join(F.broadcast(whole))
+    size = rows.agg(F.floor(F.count(F.lit(1)) * F.lit(tail)).alias("_m"))
+    mark = exact_percentiles(rows, [], value, [tail]).select(F.col("marks")[0].alias("var"))
+    running = global_running_sum(per_value, [value], "_c", "_upto").join(F.broadcast(size)).join(F.broadcast(mark))
     taken = F.greatest(F.least(F.col("_c"), F.col("_m") - (F.col("_upto") - F.col("_c"))), F.lit(0))
     return running.groupBy("var").agg((F.sum(F.col(value) * taken) / F.sum(taken)).alias("cvar"))
 
@@ -41,7 +42,7 @@ def scenario_table(latest: DataFrame, key: str, value: str, n: int, seed: str) -
         F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("m")))).alias("_assets"),
         (2 * F.stddev_pop(value)).alias("_sd"),
     )
-    draws = df_range(latest, n).join(F.broadcast(assets))
+    draws = latest.sparkSession.range(n).withColumnRenamed("id", "draw").join(F.broadcast(assets))
     weight = 1 / F.size("_assets")
 
     def outcome(asset: Column) -> Column:
@@ -51,10 +52,6 @@ def scenario_table(latest: DataFrame, key: str, value: str, n: int, seed: str) -
     return draws.select("draw", total.alias("portfolio_return"))
 
 
-def df_range(like: DataFrame, n: int) -> DataFrame:
-    return like.sparkSession.range(n).withColumnRenamed("id", "draw")
-
-
 def scale_lookup(scale: dict[str, int], level: Column) -> Column:
     """Step of a level on its scale; an unknown level gives null."""
     pairs = [F.lit(x) for item in scale.items() for x in item]

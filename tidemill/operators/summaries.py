@@ -5,25 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.joins import bounded
+from tidemill.operators.ordering import exact_percentiles
+
 
 def describe_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, standard deviation, extremes and exact quartiles per column, in one pass."""
-    marks = [0.25, 0.5, 0.75]
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.count(c).alias("n"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.percentile(c, F.array(*[F.lit(m) for m in marks])).alias("quartiles"),
-            F.max(c).cast("double").alias("max"),
-        )
-        for c in columns
-    ]
-    flat = df.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
-    quartiles = [F.col("quartiles")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
-    return flat.select("column_name", "n", "mean", "std", "min", *quartiles, "max")
+    """Count, mean, standard deviation, extremes and exact quartiles per column."""
+    long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "v")
+    moments = long.groupBy("column_name").agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
+    )
+    quartiles = exact_percentiles(long, ["column_name"], "v", [0.25, 0.5, 0.75])
+    marks = [F.col("marks")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
+    return moments.join(F.broadcast(quartiles), "column_name").select("column_name", "n", "mean", "std", "min", *marks, "max")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -45,13 +40,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def box_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     """Quartiles, whiskers (furthest points within 1.5 interquartile ranges) and outliers per key."""
-    marks = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    quartiles = df.groupBy(key).agg(marks.alias("q")).select(
-        key, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
+    quartiles = exact_percentiles(df, [key], value, [0.25, 0.5, 0.75]).select(
+        key, *[F.col("marks")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    return df.join(quartiles, key).groupBy(key, "q1", "median", "q3").agg(
+    return df.join(bounded(quartiles), key).groupBy(key, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.functions import scalars as S
+from tidemill.operators.ordering import exact_percentiles
 from tidemill.plans.registry import query
 from tidemill.sources.tables import NATION_MONTH_SQL, day_text, monthly_nation_measures
 
@@ -129,7 +130,7 @@ def safe_ratio(t):
 
 def quantile_class(df, column, probs, labels):
     """Class by the exact quantiles of the column; each class includes its upper cut."""
-    cuts = df.agg(F.percentile(column, F.array(*[F.lit(p) for p in probs])).alias("_cuts"))
+    cuts = exact_percentiles(df, [], column, probs, "_cuts")
     bounds = [F.col("_cuts")[i] for i in range(len(probs))]
     return df.join(F.broadcast(cuts)).withColumn("class", S.upper_bound_class(F.col(column), bounds, labels)).drop("_cuts")
 

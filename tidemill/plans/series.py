@@ -31,9 +31,19 @@ def acf(t):
     return TS.acf(panel(t), 60).withColumn("acf", F.round("acf", 6))
 
 
-@query("pacf")
+@query("pacf", f"""
+    WITH RECURSIVE c AS (SELECT series_id, i, y - avg(y) OVER (PARTITION BY series_id) AS c, count(*) OVER (PARTITION BY series_id) AS n FROM ({_INDEXED})),
+    g AS (SELECT a.series_id, any_value(a.n) AS n, b.i - a.i AS k, sum(a.c * b.c) / (any_value(a.n) - (b.i - a.i)) AS g
+          FROM c a JOIN c b ON a.series_id = b.series_id AND b.i - a.i BETWEEN 0 AND 40 GROUP BY a.series_id, b.i - a.i),
+    r AS (SELECT series_id, any_value(n) AS n, list(g ORDER BY k) AS g, list_transform(list(g ORDER BY k), lambda x: x / list(g ORDER BY k)[1]) AS r FROM g GROUP BY 1),
+    d(series_id, k, phi, spread) AS (
+      SELECT series_id, 1, [r[2]], 1 - r[2] * r[2] FROM r
+      UNION ALL SELECT series_id, k + 1, list_concat(list_transform(range(1, k + 1), lambda j: phi[j] - last * phi[k + 1 - j]), [last]), spread * (1 - last * last)
+      FROM (SELECT d.*, (r.r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: d.phi[j] * r.r[k + 2 - j]))) / spread AS last
+            FROM d JOIN r ON r.series_id = d.series_id WHERE k < least(40, n // 2 - 1)))
+    SELECT series_id, 0 AS lag, 1.0::DOUBLE AS pacf FROM r UNION ALL SELECT series_id, k, round(phi[k], 6) + 0.0 FROM d""")
 def pacf(t):
-    return TS.pacf(panel(t), 40)
+    return TS.pacf(panel(t), 40).withColumn("pacf", F.round("pacf", 6))
 
 
 @query("ar_fit_predict")

@@ -40,8 +40,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the scratch root, in a folder of this application so that it can be dropped afterwards."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
