@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # fixed values: irregular forms kept whole by the extended Porter stemmer
 PORTER_IRREGULAR = {
@@ -221,11 +222,30 @@ def snowball(word: str) -> str:
     return word.lower()
 
 
-@F.pandas_udf(StringType())
-def porter_stem(words: pd.Series) -> pd.Series:
-    return pd.Series([porter(w) for w in words], dtype=object)
+def _stem_texts(stem):
+    @F.pandas_udf(StringType())
+    def run(words: pd.Series) -> pd.Series:
+        return pd.Series([stem(w) for w in words], dtype=object)
 
+    return run
 
-@F.pandas_udf(StringType())
-def snowball_stem(words: pd.Series) -> pd.Series:
-    return pd.Series([snowball(w) for w in words], dtype=object)
+
+def _stem_lists(stem):
+    @F.pandas_udf(ArrayType(StringType()))
+    def run(lists: pd.Series) -> pd.Series:
+        known: dict[str, str] = {}  # every distinct token of the batch is stemmed once
+        return pd.Series([[known[w] if w in known else known.setdefault(w, stem(w)) for w in words] for words in lists], dtype=object)
+
+    return run
+
+
+STEMMERS = {"porter": porter, "snowball": snowball}
+
+
+def stem_word(word: Column, stemmer: str = "porter") -> Column:
+    return _stem_texts(STEMMERS[stemmer])(word)
+
+
+def stem_tokens(tokens: Column, stemmer: str = "porter") -> Column:
+    """Stems of a token list, row by row and without a shuffle."""
+    return _stem_lists(STEMMERS[stemmer])(tokens)

@@ -59,16 +59,21 @@ def pre_aggregated(df: DataFrame, key: str, **aggregates: Column) -> DataFrame:
     return df.groupBy(key).agg(*[c.alias(n) for n, c in aggregates.items()])
 
 
+LOOKUP_ROWS = 1_000_000
+LOOKUP_CHARS = 64_000_000
+
+
 def salted_lookup(
-    facts: DataFrame, table: DataFrame, key: str, spread: str, salts: int = 16, small_rows: int = BROADCAST_ROWS
+    facts: DataFrame, table: DataFrame, key: str, spread_by: str, salts: int = 16, small_rows: int = LOOKUP_ROWS
 ) -> DataFrame:
-    """Join facts with a table of unique keys although one key may hold a large share of the facts.
+    """Join facts with a narrow table of unique text keys although one key may hold a large share of the facts.
 
-    A table of few rows is broadcast. A larger one is repeated once per salt, and the facts of a
+    A table of checked size is broadcast. A larger one is repeated once per salt, and the facts of a
     key are dealt to the salts by the hash of another column.
     """
-    if fits(table, small_rows):
+    size = table.select(F.length(key).alias("l")).limit(small_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("l").alias("l")).first()
+    if size["n"] <= small_rows and (size["l"] or 0) <= LOOKUP_CHARS:
         return facts.join(F.broadcast(table), key)
-    dealt = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    dealt = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(copies, [key, "_salt"]).drop("_salt")

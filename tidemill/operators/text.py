@@ -6,14 +6,18 @@ that crosses documents stays distributed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections import Counter
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from tidemill.functions.stemming import porter_stem, snowball_stem
+from tidemill.functions.stemming import stem_tokens, stem_word
 from tidemill.functions.tokens import basic_tokens, without_stop_words
 from tidemill.operators.joins import salted_lookup
 from tidemill.operators.ordering import global_row_number
-from tidemill.session import stage
+from tidemill.session import spread, stage
 
 PADDING, END, START = "", "[END]", "[START]"
 
@@ -29,14 +33,24 @@ def gather_tokens(rows: DataFrame, key: str, value: str = "token", out: str = "t
     return rows.groupBy(key).agg(F.transform(pairs, lambda s: s["v"]).alias(out))
 
 
-def drop_rare(rows: DataFrame, key: str, min_count: int = 2) -> DataFrame:
-    """Keep tokens that occur at least ``min_count`` times within their document.
+def _frequent_tokens(min_count: int):
+    @F.pandas_udf(ArrayType(StringType()))
+    def keep(lists: pd.Series) -> pd.Series:
+        out = []
+        for words in lists:
+            n = Counter(words)
+            out.append([w for w in words if n[w] >= min_count])
+        return pd.Series(out, dtype=object)
+
+    return keep
+
 
-    Partitioning on the document serves the count and the later gathering alike.
+def drop_rare(df: DataFrame, tokens: str, min_count: int = 2) -> DataFrame:
+    """Keep tokens that occur at least ``min_count`` times within their document, in their order.
+
+    A document's tokens sit in one row, so they are counted there and no token is shuffled.
     """
-    within = Window.partitionBy(key, "token")
-    counted = rows.repartition(key).withColumn("_n", F.count(F.lit(1)).over(within))
-    return counted.filter(F.col("_n") >= min_count).drop("_n")
+    return df.withColumn(tokens, _frequent_tokens(min_count)(F.col(tokens)))
 
 
 def drop_rare_in_corpus(rows: DataFrame, key: str, min_count: int) -> DataFrame:
@@ -45,24 +59,24 @@ def drop_rare_in_corpus(rows: DataFrame, key: str, min_count: int) -> DataFrame:
     return salted_lookup(rows, frequent, "token", key)
 
 
-def stem_vocabulary(rows: DataFrame, stemmer: str = "porter") -> DataFrame:
+def stem_vocabulary(words: DataFrame, stemmer: str = "porter", out: str = "stem") -> DataFrame:
     """Stem of each distinct token; the stemmer runs once per token, not once per occurrence."""
-    stem = {"porter": porter_stem, "snowball": snowball_stem}[stemmer]
-    return rows.select("token").distinct().withColumn("stem", stem("token"))
+    return words.withColumn(out, stem_word(F.col("token"), stemmer))
 
 
 def preprocess(df: DataFrame, key: str, text: str, min_count: int = 2, stemmer: str = "porter") -> DataFrame:
-    """Tokenise, drop stop words, stem, and drop what is rare within the document."""
-    rows = stage(token_rows(df, key, without_stop_words(basic_tokens(F.col(text)))), "tokens")
-    stems = stage(stem_vocabulary(rows, stemmer), "stems")
-    stemmed = salted_lookup(rows, stems, "token", key).select(key, "pos", F.col("stem").alias("token"))
-    kept = gather_tokens(drop_rare(stemmed, key, min_count), key)
-    return df.select(key).join(kept, key, "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    """Tokenise, drop stop words, stem, and drop what is rare within the document; one pass, no shuffle."""
+    tokens = without_stop_words(basic_tokens(F.col(text)))
+    stemmed = df.select(key, stem_tokens(tokens, stemmer).alias("tokens"))
+    return drop_rare(stemmed, "tokens", min_count)
+
+
+def word_counts(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def bag_of_words(rows: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:
-    """Sparse counts: one row per document and term."""
-    counts = rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+def bag_of_words(counts: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:
+    """Sparse counts by term number: one row per document and term."""
     return salted_lookup(counts, vocabulary, "token", key).select(key, "term_id", "n")
 
 
@@ -101,7 +115,7 @@ def encode_pad(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, l
     if length is None:
         marked = stage(marked, "encoded")
         longest = marked.agg(F.max(F.size("ids")).alias("_len"))
-        sized = marked.join(F.broadcast(longest))
+        sized = spread(marked).join(F.broadcast(longest))
     else:
         sized = marked.withColumn("_len", F.lit(length))
     gap = F.col("_len") - F.size("ids")

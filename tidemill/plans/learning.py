@@ -17,14 +17,14 @@ from tidemill.operators import clusters as C
 from tidemill.operators import learning as L
 from tidemill.operators import neighbors as N
 from tidemill.plans.registry import query
-from tidemill.session import stage
+from tidemill.session import spread, stage
 
 DIMS = 64
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def vectors(t):
-    return t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
+    return spread(t.embeddings).select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
 
 
 def as_queries(df):
@@ -86,12 +86,11 @@ _MINORITY = "label = 0"
     d AS (SELECT a.vec_id AS id, round(list_distance(a.v, b.v), 10) AS d, row_number() OVER (PARTITION BY a.vec_id
             ORDER BY round(list_distance(a.v, b.v), 10), b.vec_id) AS rk FROM p a, p b WHERE NOT a.minor AND b.minor),
     m AS (SELECT id, round(avg(d), 9) AS mean_dist FROM d WHERE rk <= 3 GROUP BY 1)
-    SELECT id, round(mean_dist, 6) AS mean_dist FROM m QUALIFY row_number() OVER (ORDER BY m.mean_dist, id) <= (SELECT count(*) FROM p WHERE minor)""")
+    SELECT id, mean_dist FROM m QUALIFY row_number() OVER (ORDER BY m.mean_dist, id) <= (SELECT count(*) FROM p WHERE minor)""")
 def near_miss(t):
     v = vectors(t)
     minority = v.filter(_MINORITY)
-    kept = L.near_miss(v.filter(f"NOT {_MINORITY}"), minority, minority.count())
-    return kept.withColumn("mean_dist", F.round("mean_dist", 6))
+    return L.near_miss(v.filter(f"NOT {_MINORITY}"), minority, minority.count())
 
 
 def _u(seed, key):
@@ -305,11 +304,11 @@ def dbscan(t):
 
 @query("knn_exact", """
     WITH p AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
-    SELECT a.vec_id AS qid, b.vec_id AS iid, round(list_distance(a.v, b.v), 6) AS dist, (row_number() OVER (PARTITION BY a.vec_id
+    SELECT a.vec_id AS qid, b.vec_id AS iid, round(list_distance(a.v, b.v), 10) AS dist, (row_number() OVER (PARTITION BY a.vec_id
       ORDER BY round(list_distance(a.v, b.v), 10), b.vec_id))::INTEGER AS rank FROM p a, p b WHERE a.vec_id <> b.vec_id QUALIFY rank <= 10""")
 def knn_exact(t):
     v = vectors(t)
-    return N.nearest(as_queries(v), as_items(v), 10, skip_same=True).withColumn("dist", F.round("dist", 6))
+    return N.nearest(as_queries(v), as_items(v), 10, skip_same=True)
 
 
 @query("knn_approx")

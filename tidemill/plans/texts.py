@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import tokens as K
 from tidemill.operators import text as X
 from tidemill.plans.registry import query
-from tidemill.session import stage
+from tidemill.session import spread, stage
 
 _TOKENS = f"SELECT doc_id, {K.BASIC_TOKENS_SQL} AS w FROM documents"
 _STOP = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in K.STOP_WORDS) + ")"
@@ -22,7 +22,7 @@ def digest(tokens):
 
 
 def basic(t):
-    return t.documents.select("doc_id", K.basic_tokens(F.col("text")).alias("tokens"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", K.basic_tokens(F.col("text")).alias("tokens"))
 
 
 @query("tokenize_basic", f"SELECT doc_id, {_DIGEST} FROM ({_TOKENS})")
@@ -40,9 +40,8 @@ def remove_stopwords(t):
 def stem_vocabulary(t):
     """Both stems of every distinct token."""
     rows = X.token_rows(basic(t), "doc_id", F.col("tokens"))
-    words = stage(rows.select("token").distinct(), "words")
-    porter = X.stem_vocabulary(words).withColumnRenamed("stem", "porter")
-    return porter.join(X.stem_vocabulary(words, "snowball").withColumnRenamed("stem", "snowball"), "token")
+    words = spread(stage(rows.select("token").distinct(), "words"))
+    return X.stem_vocabulary(X.stem_vocabulary(words, "porter", "porter"), "snowball", "snowball")
 
 
 _ROWS = f"SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM ({_TOKENS})"
@@ -52,20 +51,19 @@ _GATHER = "len(list(token))::INTEGER AS n_tokens, md5(string_agg(token, ' ' ORDE
 @query("drop_rare_tokens", f"""
     SELECT doc_id, {_GATHER} FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, token) AS n FROM ({_ROWS})) WHERE n >= 2 GROUP BY 1""")
 def drop_rare_tokens(t):
-    rows = X.token_rows(basic(t), "doc_id", F.col("tokens"))
-    return X.gather_tokens(X.drop_rare(rows, "doc_id", 2), "doc_id").select("doc_id", *digest("tokens"))
+    return X.drop_rare(basic(t), "tokens", 2).filter("size(tokens) > 0").select("doc_id", *digest("tokens"))
 
 
 @query("drop_rare_in_corpus", f"""
     SELECT doc_id, {_GATHER} FROM (SELECT *, count(*) OVER (PARTITION BY token) AS n FROM ({_ROWS})) WHERE n >= 10 GROUP BY 1""")
 def drop_rare_in_corpus(t):
-    rows = stage(X.token_rows(basic(t), "doc_id", F.col("tokens")), "tokens")
+    rows = X.token_rows(basic(t), "doc_id", F.col("tokens"))
     return X.gather_tokens(X.drop_rare_in_corpus(rows, "doc_id", 10), "doc_id").select("doc_id", *digest("tokens"))
 
 
 @query("preprocess_text")
 def preprocess_text(t):
-    return X.preprocess(t.documents, "doc_id", "text", 2).select("doc_id", *digest("tokens"))
+    return X.preprocess(spread(t.documents.select("doc_id", "text")), "doc_id", "text", 2).select("doc_id", *digest("tokens"))
 
 
 _WORDS = f"SELECT doc_id, regexp_extract_all(lower(text), '{K.WORD}') AS w FROM documents"
@@ -75,9 +73,9 @@ _WORDS = f"SELECT doc_id, regexp_extract_all(lower(text), '{K.WORD}') AS w FROM
     WITH r AS (SELECT doc_id, unnest(w) AS token FROM ({_WORDS})), v AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS term_id FROM (SELECT DISTINCT token FROM r))
     SELECT doc_id, term_id::BIGINT AS term_id, count(*) AS n FROM r JOIN v USING (token) GROUP BY 1, 2""")
 def bag_of_words(t):
-    rows = stage(X.token_rows(t.documents, "doc_id", K.word_tokens(F.col("text"))), "words")
-    vocabulary = stage(X.sorted_vocabulary(rows), "vocabulary")
-    return X.bag_of_words(rows, "doc_id", vocabulary)
+    rows = X.token_rows(spread(t.documents.select("doc_id", "text")), "doc_id", K.word_tokens(F.col("text")))
+    counts = stage(X.word_counts(rows, "doc_id"), "counts")
+    return X.bag_of_words(counts, "doc_id", X.sorted_vocabulary(counts))
 
 
 _VOCABULARY = f"""
@@ -125,7 +123,7 @@ def digit_split_tokens(t):
 @query("text_classify")
 def text_classify(t):
     """Quality predicted for every document by a linear model on hashed word counts of the labelled ones."""
-    docs = t.documents.select("doc_id", K.word_tokens(F.col("text")).alias("tokens"))
+    docs = spread(t.documents.select("doc_id", "text")).select("doc_id", K.word_tokens(F.col("text")).alias("tokens"))
     labelled = docs.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     counts = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=1 << 16)
     model = Pipeline(stages=[

@@ -64,17 +64,17 @@ def hourly_measures(events: DataFrame) -> DataFrame:
     grouped = events.groupBy(hour.alias("hour_ts")).pivot("event_type", EVENT_TYPES).agg(F.avg("value"))
     return grouped.select(
         F.date_format("hour_ts", "yyyy-MM-dd'T'HH:mm").alias("time_string"),
-        *[F.round(F.col(t), 4).alias(POLLUTANT_OF_TYPE[t]) for t in EVENT_TYPES],
+        *[F.col(t).alias(POLLUTANT_OF_TYPE[t]) for t in EVENT_TYPES],
     )
 
 
 HOURLY_SQL = """
     SELECT strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M') AS time_string,
-           round(avg(value) FILTER (event_type = 'click'), 4) AS pm10,
-           round(avg(value) FILTER (event_type = 'error'), 4) AS pm2_5,
-           round(avg(value) FILTER (event_type = 'purchase'), 4) AS nitrogen_dioxide,
-           round(avg(value) FILTER (event_type = 'signup'), 4) AS sulphur_dioxide,
-           round(avg(value) FILTER (event_type = 'view'), 4) AS ozone
+           avg(value) FILTER (event_type = 'click') AS pm10,
+           avg(value) FILTER (event_type = 'error') AS pm2_5,
+           avg(value) FILTER (event_type = 'purchase') AS nitrogen_dioxide,
+           avg(value) FILTER (event_type = 'signup') AS sulphur_dioxide,
+           avg(value) FILTER (event_type = 'view') AS ozone
     FROM events GROUP BY 1
 """
 
