@@ -49,9 +49,10 @@ _GATHER = "len(list(token))::INTEGER AS n_tokens, md5(string_agg(token, ' ' ORDE
 
 
 @query("drop_rare_tokens", f"""
-    SELECT doc_id, {_GATHER} FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, token) AS n FROM ({_ROWS})) WHERE n >= 2 GROUP BY 1""")
+    SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(digest, md5('')) AS digest FROM documents LEFT JOIN
+      (SELECT doc_id, {_GATHER} FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, token) AS n FROM ({_ROWS})) WHERE n >= 2 GROUP BY 1) USING (doc_id)""")
 def drop_rare_tokens(t):
-    return X.drop_rare(basic(t), "tokens", 2).filter("size(tokens) > 0").select("doc_id", *digest("tokens"))
+    return X.drop_rare(basic(t), "tokens", 2).select("doc_id", *digest("tokens"))
 
 
 @query("drop_rare_in_corpus", f"""
