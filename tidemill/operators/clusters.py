@@ -10,12 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.joins import bounded, product_of_dimensions
+from tidemill.operators.joins import bounded, fits, product_of_dimensions
 from tidemill.operators.neighbors import BLOCK_ROWS, SMALL_ROWS, _matrix, _small, blockwise, euclidean, squared_distances
 from tidemill.operators.ordering import global_row_number
 from tidemill.session import stage
 
 
+MAX_CLUSTERS = 10_000
+
+
 def centroids(df: DataFrame, label: str, vec: str, dims: int) -> DataFrame:
     mean = F.array(*[F.avg(F.col(vec)[i].cast("double")) for i in range(dims)])
     return df.groupBy(label).agg(mean.alias("center"), F.count(F.lit(1)).alias("n"))
@@ -24,7 +27,7 @@ def centroids(df: DataFrame, label: str, vec: str, dims: int) -> DataFrame:
 def davies_bouldin(df: DataFrame, label: str, vec: str, dims: int) -> DataFrame:
     """Mean over the clusters of the worst ratio of spreads to centre distance."""
     rows = df.select(label, F.col(vec).cast("array<double>").alias("_v"))
-    centers = centroids(rows, label, "_v", dims)
+    centers = stage(centroids(rows, label, "_v", dims), "centers")
     spread = rows.join(bounded(centers), label).groupBy(label).agg(
         F.avg(euclidean(F.col("_v"), F.col("center"))).alias("s"), F.first("center").alias("c")
     )
@@ -51,7 +54,7 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def _silhouette(sums: DataFrame, sizes: DataFrame) -> DataFrame:
     """Mean silhouette from (id, own, other, total distance); single-member clusters score zero."""
-    joined = sums.join(F.broadcast(sizes.select(F.col("label").alias("other"), "n")), "other")
+    joined = sums.join(bounded(sizes.select(F.col("label").alias("other"), "n")), "other")
     same = F.col("own") == F.col("other")
     per_point = joined.groupBy("id").agg(
         F.max(F.when(same & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
@@ -68,7 +71,7 @@ def silhouette(points: DataFrame, small_rows: int = SMALL_ROWS, block: int = BLO
     hand on one sum per point and cluster. Use ``silhouette_squared`` where linear cost matters.
     """
     points = points.select(F.col("id").cast("long"), F.col("vec").cast("array<double>"), F.col("label").cast("long"))
-    sizes = points.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stage(points.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "sizes")
     schema = "id long, own long, other long, total double"
 
     def totals(ids, own, q, x, groups):
@@ -112,6 +115,9 @@ def silhouette_squared(points: DataFrame, dims: int) -> DataFrame:
     clusters = rows.withColumn("_sq", norm).groupBy(F.col("label").alias("other")).agg(
         F.array(*[F.sum(F.col("vec")[i]) for i in range(dims)]).alias("_sum"), F.sum("_sq").alias("_sumsq"), F.count(F.lit(1)).alias("_n")
     )
+    clusters = stage(clusters, "clusters")
+    if not fits(clusters, MAX_CLUSTERS):
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters: every point would carry a distance to each")
     gathered = clusters.agg(F.collect_list(F.struct("other", "_sum", "_sumsq", "_n")).alias("_clusters"))
     dot = lambda c: F.aggregate(F.zip_with("vec", c["_sum"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     total = lambda c: F.struct(c["other"].alias("other"), (c["_n"] * norm - 2 * dot(c) + c["_sumsq"]).alias("total"))

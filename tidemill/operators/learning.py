@@ -87,7 +87,7 @@ def smote(minority: DataFrame, n_new: int, seed: str, k: int = 5, **kwargs) -> D
 def oversample(df: DataFrame, key: str, label: str) -> DataFrame:
     """Repeat rows until every class has as many as the largest; copies go round the class in key order."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = counts.withColumn("_max", F.max("_n").over(Window.partitionBy()))
+    sizes = stage(counts.withColumn("_max", F.max("_n").over(Window.partitionBy())), "sizes")
     numbered = keyed_row_number(df, [label], [key], "_rn").join(bounded(sizes), label)
     times = F.floor(F.col("_max") / F.col("_n")) + (F.col("_rn") <= F.col("_max") % F.col("_n")).cast("long")
     return repeat_rows(numbered.withColumn("_times", times), key, "_times").drop("_n", "_max", "_rn")

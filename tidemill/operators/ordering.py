@@ -65,7 +65,10 @@ def keyed_running_sum(
     df: DataFrame, keys: list[str], order: list[str | Column], value: str, out: str = "running_sum"
 ) -> DataFrame:
     """Running sum per key in which one hot key may span many partitions."""
-    segments = ordered_segments(df, [*keys, *order])
+    return _running_over_segments(ordered_segments(df, [*keys, *order]), keys, value, out)
+
+
+def _running_over_segments(segments: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     per_key = segments.groupBy(*keys, "_seg").agg(F.sum(value).alias("_amount"))
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_key.select(*keys, "_seg", F.sum("_amount").over(before).alias("_before"))
@@ -92,8 +95,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     keys_or_all = keys or ["_all"]
     rows = df if keys else df.withColumn("_all", F.lit(0))
     counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys_or_all, value).agg(F.count(F.lit(1)).alias("_c"))
-    running = keyed_running_sum(counts, keys_or_all, [value], "_c", "_upto")
-    totals = running.groupBy(*keys_or_all).agg(F.sum("_c").alias("_n"))
+    segments = ordered_segments(counts, [*keys_or_all, value])
+    running = _running_over_segments(segments, keys_or_all, "_c", "_upto")
+    totals = segments.groupBy(*keys_or_all).agg(F.sum("_c").alias("_n"))
     placed = running.join(bounded(totals) if keys else F.broadcast(totals), keys_or_all)
 
     def at(index: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import normal_hash
-from tidemill.operators.joins import product_of_dimensions
+from tidemill.operators.joins import bounded, product_of_dimensions
 from tidemill.operators.ordering import exact_percentiles, global_running_sum
 
 # fixed values: the two five-step scales of the qualitative assessment
@@ -99,7 +99,7 @@ def top_risks(df: DataFrame, n: int = 3) -> DataFrame:
 
 def threshold_alerts(df: DataFrame, thresholds: DataFrame, key: str, value: str) -> DataFrame:
     """Text for every value beyond the lower or upper threshold of its key; absent thresholds never fire."""
-    joined = df.join(F.broadcast(thresholds), key)
+    joined = df.join(bounded(thresholds), key)
     v, low, high = F.col(value), F.col("lower"), F.col("upper")
     below = F.format_string("%s (%.4f) is below the lower threshold (%.4f)", F.col(key), v, low)
     above = F.format_string("%s (%.4f) is above the upper threshold (%.4f)", F.col(key), v, high)

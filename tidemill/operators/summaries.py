@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.joins import bounded
 from tidemill.operators.ordering import exact_percentiles
+from tidemill.session import stage
 
 
 def describe_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -45,7 +46,7 @@ def box_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    return df.join(bounded(quartiles), key).groupBy(key, "q1", "median", "q3").agg(
+    return df.join(bounded(stage(quartiles, "quartiles")), key).groupBy(key, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),
@@ -55,11 +56,10 @@ def box_summary(df: DataFrame, key: str, value: str) -> DataFrame:
 def dedup_on_keys(df: DataFrame, keys: list[str], prefer: list[Column]) -> DataFrame:
     """One row per key: the first in the total order ``prefer``.
 
-    A grouped minimum combines on the map side, so a hot key never gathers its rows in one task.
+    Each task keeps only its best row per key before the shuffle, so a hot key never travels whole.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.struct(*prefer)).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
+    order = Window.partitionBy(*keys).orderBy(*prefer)
+    return df.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").drop("_rn")
 
 
 def class_share(df: DataFrame, column: str) -> DataFrame:

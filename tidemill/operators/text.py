@@ -56,7 +56,7 @@ def drop_rare(df: DataFrame, tokens: str, min_count: int = 2) -> DataFrame:
 def drop_rare_in_corpus(rows: DataFrame, key: str, min_count: int) -> DataFrame:
     """Keep tokens that occur at least ``min_count`` times in the whole corpus."""
     frequent = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count).select("token")
-    return salted_lookup(rows, frequent, "token", key)
+    return salted_lookup(rows, stage(frequent, "frequent"), "token", key)
 
 
 def stem_vocabulary(words: DataFrame, stemmer: str = "porter", out: str = "stem") -> DataFrame:

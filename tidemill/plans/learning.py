@@ -16,6 +16,7 @@ from tidemill.functions.hashing import unit_hash_sql
 from tidemill.operators import clusters as C
 from tidemill.operators import learning as L
 from tidemill.operators import neighbors as N
+from tidemill.operators.joins import bounded
 from tidemill.plans.registry import query
 from tidemill.session import spread, stage
 
@@ -47,7 +48,7 @@ def label_encode(t):
     by_name = L.label_codes(orders, "o_orderpriority").withColumnRenamed("code", "sorted_code")
     by_sight = L.label_codes(orders, "o_orderpriority", ["o_orderdate", "o_orderkey"]).withColumnRenamed("code", "seen_code")
     codes = by_name.join(by_sight, "o_orderpriority")
-    return orders.join(F.broadcast(codes), "o_orderpriority").select("o_orderkey", "sorted_code", "seen_code")
+    return orders.join(bounded(stage(codes, "codes")), "o_orderpriority").select("o_orderkey", "sorted_code", "seen_code")
 
 
 @query("one_hot", "SELECT c_custkey, " + ", ".join(
@@ -147,7 +148,8 @@ def classified(t, estimator, weighted=False):
     """Predictions for the held-out part, with standardised features as input."""
     train, test = train_and_rest(t)
     if weighted:
-        train = train.join(F.broadcast(L.class_weights(train, "label").select("label", "weight")), "label")
+        weights = stage(L.class_weights(train, "label").select("label", "weight"), "weights")
+        train = train.join(bounded(weights), "label")
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
     model = Pipeline(stages=[scaler, estimator]).fit(train.withColumn("raw", array_to_vector("vec")))
     scored = model.transform(test.withColumn("raw", array_to_vector("vec")))

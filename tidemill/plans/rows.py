@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import scalars as S
 from tidemill.operators import edits, quality
+from tidemill.operators.joins import bounded
 from tidemill.plans.registry import query
 from tidemill.sources.tables import (
     BARS_SQL, HOURLY_SQL, POLLUTANTS, daily_bars, day_text, hourly_measures,
@@ -135,7 +136,7 @@ def nations_matching(supplier, nation, region, name_part=""):
     """Distinct supplier nations in regions whose name contains ``name_part``; the empty default keeps all."""
     wanted = region.filter(F.contains(F.upper("r_name"), F.upper(F.lit(name_part))))
     return (
-        nation.join(F.broadcast(wanted), F.col("n_regionkey") == F.col("r_regionkey"))
+        nation.join(bounded(wanted), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(supplier.select("s_nationkey"), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
         .select("n_name")
         .distinct()
