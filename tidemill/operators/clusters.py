@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -262,6 +266,23 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, dims: int = 2, block
     )
 
 
+def kmeans_sweep(points: DataFrame, ks: list[int], dims: int, seed: int = 42) -> DataFrame:
+    """Inertia, silhouette, Davies-Bouldin and adjusted Rand index of (id, vec, label) for each number of clusters."""
+    source = points.withColumn("features", array_to_vector("vec")).persist()
+    spread = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    rows = []
+    for k in ks:
+        model = KMeans(k=k, seed=seed).fit(source)
+        fitted = stage(model.transform(source).select("id", "vec", "label", "features", "prediction"), "fitted")
+        one = davies_bouldin(fitted, "prediction", "vec", dims).join(F.broadcast(adjusted_rand(fitted, "label", "prediction")))
+        rows.append(one.select(
+            F.lit(k).alias("k"), F.lit(model.summary.trainingCost).alias("inertia"), F.lit(spread.evaluate(fitted)).alias("silhouette"),
+            "davies_bouldin", "adjusted_rand",
+        ))
+    source.unpersist()
+    return reduce(lambda a, b: a.unionAll(b), rows)
+
+
 def grid_labels(model, points: DataFrame, features: str) -> DataFrame:
     """Cluster of points that took no part in the fit."""
     return model.transform(points).drop(features)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Estimator, Pipeline
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,6 +104,14 @@ def repeat_rows(df: DataFrame, key: str, times: str, out: str = "copy", chunk: i
     return chunks.withColumn(out, F.explode(F.sequence(start, end))).drop("_chunk", times)
 
 
+def fit_predict(train: DataFrame, test: DataFrame, estimator: Estimator) -> DataFrame:
+    """Predictions for (id, vec, label) rows from a model on standardised features."""
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
+    model = Pipeline(stages=[scaler, estimator]).fit(train.withColumn("raw", array_to_vector("vec")))
+    scored = model.transform(test.withColumn("raw", array_to_vector("vec")))
+    return scored.select("id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
 def accuracy(df: DataFrame, label: str, prediction: str, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
 

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -150,10 +147,7 @@ def classified(t, estimator, weighted=False):
     if weighted:
         weights = stage(L.class_weights(train, "label").select("label", "weight"), "weights")
         train = train.join(bounded(weights), "label")
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
-    model = Pipeline(stages=[scaler, estimator]).fit(train.withColumn("raw", array_to_vector("vec")))
-    scored = model.transform(test.withColumn("raw", array_to_vector("vec")))
-    return scored.select(F.col("id").alias("vec_id"), "label", F.col("prediction").cast("int").alias("prediction"))
+    return L.fit_predict(train, test, estimator).withColumnRenamed("id", "vec_id")
 
 
 @query("rf_classify")
@@ -231,20 +225,8 @@ def kmeans_assign(t):
 
 @query("kmeans_sweep")
 def kmeans_sweep(t):
-    """Inertia, silhouette, Davies-Bouldin and adjusted Rand index for several numbers of clusters."""
-    source = with_features(vectors(t)).persist()
-    spread = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    rows = []
-    for k in range(2, 7):
-        model = KMeans(k=k, seed=42).fit(source)
-        fitted = stage(model.transform(source).select("id", "vec", "label", "features", "prediction"), "fitted")
-        one = C.davies_bouldin(fitted, "prediction", "vec", DIMS).join(F.broadcast(C.adjusted_rand(fitted, "label", "prediction")))
-        rows.append(one.select(
-            F.lit(k).alias("k"), F.lit(model.summary.trainingCost).alias("inertia"), F.lit(spread.evaluate(fitted)).alias("silhouette"),
-            "davies_bouldin", "adjusted_rand",
-        ))
-    source.unpersist()
-    return reduce(lambda a, b: a.unionAll(b), rows)
+    """Five numbers of clusters; the scores use the labels as truth."""
+    return C.kmeans_sweep(vectors(t), list(range(2, 7)), DIMS)
 
 
 _PAIR_SUMS = """

@@ -99,11 +99,11 @@ def typed_measures(raw):
 
 @query("stg_hourly_measures", f"""
     SELECT substr(time_string, 1, 10) AS day, substr(time_string, 12, 5) AS hour,
-           {", ".join(f"round({p}, 6) AS {p}" for p in POLLUTANTS)} FROM ({HOURLY_SQL})""")
+           {", ".join(f"round({p}, 8) AS {p}" for p in POLLUTANTS)} FROM ({HOURLY_SQL})""")
 def stg_hourly_measures(t):
     raw = hourly_measures(t.events)
     as_text = raw.select([F.col(c).cast("string").alias(c) for c in raw.columns])
-    return typed_measures(as_text).withColumns({"day": day_text("day"), **{p: F.round(p, 6) for p in POLLUTANTS}})
+    return typed_measures(as_text).withColumns({"day": day_text("day"), **{p: F.round(p, 8) for p in POLLUTANTS}})
 
 
 @query("filter_in_list", """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import windows as W
 from tidemill.operators.ordering import global_running_sum
+from tidemill.operators.rates import rates_pipeline
 from tidemill.plans.registry import query
 from tidemill.plans.rows import split_iso, typed_measures
 from tidemill.sources.tables import (
@@ -39,6 +40,28 @@ def rate_change(t):
     return done.withColumns(rounded)
 
 
+@query("rates_pipeline", f"""
+    WITH m AS (SELECT country, CASE WHEN month > DATE '1995-01-01' THEN month END AS d, CASE WHEN recoveries <> 2 THEN cases END AS cases, deaths, recoveries
+               FROM ({NATION_MONTH_SQL})),
+    r AS (SELECT *, deaths::DOUBLE / nullif(cases, 0) AS mr, recoveries::DOUBLE / nullif(cases, 0) AS rr FROM m),
+    c AS (SELECT *, mr / nullif(lag(mr) OVER w, 0) - 1 AS mc, rr / nullif(lag(rr) OVER w, 0) - 1 AS rc FROM r WINDOW w AS (PARTITION BY country ORDER BY d NULLS FIRST))
+    SELECT upper(country) AS country, CAST(d AS VARCHAR) AS date, cases::INTEGER AS cases, deaths::INTEGER AS deaths, recoveries::INTEGER AS recoveries, true AS sanity_check,
+      round(mr, 6) AS mortality_rate, round(rr, 6) AS recovery_rate, round(mc, 6) AS mortality_rate_change, round(rc, 6) AS recovery_rate_change
+    FROM c WHERE d IS NOT NULL AND mc IS NOT NULL AND rc IS NOT NULL""")
+def rates_pipeline_query(t):
+    """Text measures with a malformed date per country, unreadable counts and every row twice."""
+    m = monthly_nation_measures(t.orders, t.customer, t.nation)
+    date = day_text("month")
+    texts = m.select(
+        F.lower("country").alias("country"),
+        F.when(F.col("month") > F.lit("1995-01-01").cast("date"), date).otherwise(F.concat(F.lit("x"), date)).alias("date"),
+        F.when(F.col("recoveries") == 2, "n/a").otherwise(F.col("cases").cast("string")).alias("cases"),
+        F.col("deaths").cast("string").alias("deaths"), F.col("recoveries").cast("string").alias("recoveries"),
+    )
+    done, _ = rates_pipeline(texts.unionAll(texts))
+    return done.withColumns({"date": day_text("date"), **{c: F.round(c, 6) for c in done.columns if "rate" in c}})
+
+
 @query("running_volume", f"""
     SELECT ticker, CAST(day AS VARCHAR) AS day, volume,
       (sum(volume) OVER (PARTITION BY ticker ORDER BY day ROWS UNBOUNDED PRECEDING))::BIGINT AS running_volume FROM ({BARS_SQL})""")
