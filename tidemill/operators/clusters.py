@@ -40,7 +40,7 @@ def davies_bouldin(df: DataFrame, label: str, vec: str, dims: int) -> DataFrame:
         spread.select(F.col(label).alias("a"), F.col("s").alias("sa"), F.col("c").alias("ca")),
         spread.select(F.col(label).alias("b"), F.col("s").alias("sb"), F.col("c").alias("cb")), 1_000_000,
     ).filter("a <> b")
-    worst = pairs.groupBy("a").agg(F.max((F.col("sa") + F.col("sb")) / euclidean(F.col("ca"), F.col("cb"))).alias("w"))
+    worst = pairs.groupBy("a").agg(F.max(F.try_divide(F.col("sa") + F.col("sb"), euclidean(F.col("ca"), F.col("cb")))).alias("w"))
     return worst.agg(F.avg("w").alias("davies_bouldin"))
 
 
@@ -53,7 +53,7 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     cols = cells.groupBy(b).agg(F.sum("n").alias("n")).agg(choose(F.col("n")).alias("j"))
     one = both.join(F.broadcast(rows)).join(F.broadcast(cols))
     expected = F.col("i") * F.col("j") / (F.col("all") * (F.col("all") - 1) / 2)
-    return one.select(((F.col("ij") - expected) / ((F.col("i") + F.col("j")) / 2 - expected)).alias("adjusted_rand"))
+    return one.select(F.try_divide(F.col("ij") - expected, (F.col("i") + F.col("j")) / 2 - expected).alias("adjusted_rand"))
 
 
 def _silhouette(sums: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -283,6 +283,23 @@ def kmeans_sweep(points: DataFrame, ks: list[int], dims: int, seed: int = 42) ->
     return reduce(lambda a, b: a.unionAll(b), rows)
 
 
+def dbscan_sweep(points: DataFrame, settings: list[tuple[float, int]], dims: int = 2) -> DataFrame:
+    """Scores of the density clusters of (id, x, label) for each (eps, min_samples); noise counts as a cluster."""
+    rows = []
+    for eps, min_samples in settings:
+        found = stage(dbscan(points.select("id", "x"), eps, min_samples, dims).join(points.select("id", "x", "label"), "id"), "found")
+        counts = found.agg(
+            F.countDistinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"), F.count_if(F.col("cluster") < 0).alias("n_noise")
+        )
+        scores = [
+            silhouette(found.select("id", F.col("x").alias("vec"), F.col("cluster").alias("label"))),
+            davies_bouldin(found, "cluster", "x", dims), adjusted_rand(found, "label", "cluster"),
+        ]
+        one = reduce(lambda a, b: a.join(F.broadcast(b)), scores, counts)
+        rows.append(one.select(F.lit(eps).alias("eps"), F.lit(min_samples).alias("min_samples"), "*"))
+    return reduce(lambda a, b: a.unionAll(b), rows)
+
+
 def grid_labels(model, points: DataFrame, features: str) -> DataFrame:
     """Cluster of points that took no part in the fit."""
     return model.transform(points).drop(features)

@@ -43,7 +43,7 @@ def set_null_reference(children: DataFrame, deleted_keys: DataFrame, reference:
 
 def cascade_delete(children: DataFrame, deleted_keys: DataFrame, reference: str) -> DataFrame:
     """ON DELETE CASCADE: children of deleted keys are removed."""
-    gone = deleted_keys.select(F.col(deleted_keys.columns[0]).alias("_gone")).distinct()
+    gone = deleted_keys.select(F.col(deleted_keys.columns[0]).alias("_gone"))
     return children.join(gone, F.col(reference) == F.col("_gone"), "left_anti")
 
 

@@ -26,7 +26,7 @@ def tail_risk(df: DataFrame, value: str, tail: float = 0.05) -> DataFrame:
     mark = exact_percentiles(rows, [], value, [tail]).select(F.col("marks")[0].alias("var"))
     running = global_running_sum(per_value, [value], "_c", "_upto").join(F.broadcast(size)).join(F.broadcast(mark))
     taken = F.greatest(F.least(F.col("_c"), F.col("_m") - (F.col("_upto") - F.col("_c"))), F.lit(0))
-    return running.groupBy("var").agg((F.sum(F.col(value) * taken) / F.sum(taken)).alias("cvar"))
+    return running.groupBy("var").agg(F.try_divide(F.sum(F.col(value) * taken), F.sum(taken)).alias("cvar"))
 
 
 def latest_values(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
@@ -129,7 +129,7 @@ def performance_ratios(daily: DataFrame, key: str, periods: int = 252) -> DataFr
     peaked = valued.withColumn("_peak", F.greatest(F.max("_v").over(window), F.lit(1.0)))
     downside = F.sqrt(F.avg(F.pow(F.least("ret", F.lit(0.0)), 2)))
     return peaked.groupBy(key).agg(
-        (F.avg("ret") / F.stddev_samp("ret") * F.sqrt(F.lit(periods))).alias("sharpe"),
-        (F.avg("ret") / downside * F.sqrt(F.lit(periods))).alias("sortino"),
+        (F.try_divide(F.avg("ret"), F.stddev_samp("ret")) * F.sqrt(F.lit(periods))).alias("sharpe"),
+        (F.try_divide(F.avg("ret"), downside) * F.sqrt(F.lit(periods))).alias("sortino"),
         F.least(F.min(F.col("_v") / F.col("_peak") - 1), F.lit(0.0)).alias("max_drawdown"),
     )

@@ -71,8 +71,8 @@ def welch(df: DataFrame, first: Column, second: Column, value: str) -> DataFrame
 
     s = df.agg(*part(first, "a"), *part(second, "b"))
     ea, eb = F.col("va") / F.col("na"), F.col("vb") / F.col("nb")
-    dof = F.pow(ea + eb, 2) / (ea * ea / (F.col("na") - 1) + eb * eb / (F.col("nb") - 1))
-    return s.select(((F.col("ma") - F.col("mb")) / F.sqrt(ea + eb)).alias("statistic"), dof.alias("dof"))
+    dof = F.try_divide(F.pow(ea + eb, 2), F.try_divide(ea * ea, F.col("na") - 1) + F.try_divide(eb * eb, F.col("nb") - 1))
+    return s.select(F.try_divide(F.col("ma") - F.col("mb"), F.sqrt(ea + eb)).alias("statistic"), dof.alias("dof"))
 
 
 def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -36,7 +36,7 @@ def lag_products(df: DataFrame, max_lag: int) -> DataFrame:
 
 def acf(df: DataFrame, max_lag: int) -> DataFrame:
     sums = lag_products(df, max_lag)
-    ratios = F.transform("s", lambda v: v / F.col("s")[0])
+    ratios = F.transform("s", lambda v: F.try_divide(v, F.col("s")[0]))
     return sums.select("series_id", F.posexplode(ratios).alias("lag", "acf")).filter(F.col("acf").isNotNull())
 
 
@@ -185,11 +185,11 @@ def seasonal_decompose(df: DataFrame, period: int = 12) -> DataFrame:
         F.count("y").over(full) == period + 1, (F.sum("y").over(full) - ends / 2) / period
     )
     staged = df.select("series_id", "t", "y", ((F.row_number().over(by_time()) - 1) % period).alias("phase"), trend.alias("trend"))
-    ratios = staged.withColumn("ratio", F.col("y") / F.col("trend"))
+    ratios = staged.withColumn("ratio", F.try_divide("y", "trend"))
     per_phase = ratios.groupBy("series_id", "phase").agg(F.avg("ratio").alias("raw"))
-    seasonal = per_phase.withColumn("seasonal", F.col("raw") / F.avg("raw").over(whole_series())).drop("raw")
+    seasonal = per_phase.withColumn("seasonal", F.try_divide(F.col("raw"), F.avg("raw").over(whole_series()))).drop("raw")
     joined = staged.join(seasonal, ["series_id", "phase"])
-    return joined.withColumn("residual", F.col("y") / F.col("seasonal") / F.col("trend"))
+    return joined.withColumn("residual", F.try_divide(F.try_divide("y", "seasonal"), F.col("trend")))
 
 
 def fit_lag_model(df: DataFrame, estimator: Estimator, lags: int = 12, month: bool = True) -> tuple[Model, VectorAssembler]:

@@ -50,7 +50,7 @@ def danger_classes(df: DataFrame, null_class: int | None = 6) -> DataFrame:
 
 def percent_change(df: DataFrame, key: str, order: str, value: str, out: str) -> DataFrame:
     window = Window.partitionBy(key).orderBy(order)
-    return df.withColumn(out, F.col(value) / F.lag(value).over(window) - 1)
+    return df.withColumn(out, F.try_divide(F.col(value).cast("double"), F.lag(value).over(window)) - 1)
 
 
 def rolling(df: DataFrame, key: str, order: str, value: str, size: int, how, out: str) -> DataFrame:

@@ -286,6 +286,12 @@ def dbscan(t):
     return C.dbscan(flat, EPS, MIN_SAMPLES)
 
 
+@query("dbscan_sweep")
+def dbscan_sweep(t):
+    flat = t.embeddings.select(F.col("vec_id").alias("id"), F.slice(F.col("embedding").cast("array<double>"), 1, 2).alias("x"), "label")
+    return C.dbscan_sweep(flat, [(0.02, 5), (0.03, 5), (0.03, 10)])
+
+
 @query("knn_exact", """
     WITH p AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
     SELECT a.vec_id AS qid, b.vec_id AS iid, round(list_distance(a.v, b.v), 10) AS dist, (row_number() OVER (PARTITION BY a.vec_id
