@@ -26,7 +26,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts over equal-width bins between the extremes; the last bin is closed, empty bins give zero."""
     bounds = df.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    place = F.coalesce(F.least(F.floor(F.try_divide(F.col(column) - F.col("_lo"), width)), F.lit(bins - 1)), F.lit(0)).cast("int")
+    step = F.coalesce(F.floor(F.try_divide(F.col(column) - F.col("_lo"), width)), F.lit(0))  # one value only: first bin
+    place = F.least(step, F.lit(bins - 1)).cast("int")
     counted = (
         df.filter(F.col(column).isNotNull()).join(F.broadcast(bounds)).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     )
