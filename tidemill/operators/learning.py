@@ -105,7 +105,11 @@ def repeat_rows(df: DataFrame, key: str, times: str, out: str = "copy", chunk: i
 
 
 def fit_predict(train: DataFrame, test: DataFrame, estimator: Estimator) -> DataFrame:
-    """Predictions for (id, vec, label) rows from a model on standardised features."""
+    """Predictions for (id, vec, label) rows from a model on standardised features.
+
+    The training rows are written once, since the fit passes over them many times.
+    """
+    train = stage(train, "train")
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
     model = Pipeline(stages=[scaler, estimator]).fit(train.withColumn("raw", array_to_vector("vec")))
     scored = model.transform(test.withColumn("raw", array_to_vector("vec")))

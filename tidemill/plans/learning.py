@@ -22,11 +22,11 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def vectors(t):
-    return spread(t.embeddings).select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
+    return t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
 
 
 def as_queries(df):
-    return df.select(F.col("id").alias("qid"), F.col("vec").alias("qvec"))
+    return spread(df).select(F.col("id").alias("qid"), F.col("vec").alias("qvec"))
 
 
 def as_items(df):
