@@ -10,6 +10,7 @@ from tidemill.functions import scalars as S
 from tidemill.operators import edits, loads, quality, summaries
 from tidemill.operators import risk as R
 from tidemill.operators import windows as W
+from tidemill.operators.rates import rates_pipeline
 from tidemill.plans.joins import order_payments
 from tidemill.plans.sets import observed_and_predicted
 
@@ -124,3 +125,10 @@ def test_risk_responses(spark):
 def test_histogram_keeps_empty_bins(spark):
     df = spark.createDataFrame([(float(v),) for v in (0, 0, 10)], "v double")
     assert [r["n"] for r in summaries.histogram(df, "v", 5).orderBy("bin").collect()] == [2, 0, 0, 0, 1]
+
+
+def test_rates_job_reports_failed_rows(spark):
+    rows = [("a", "2024-01-01", "10", "1", "1"), ("a", "2024-01-02", "10", "2", "4"), ("a", "2024-01-02", "10", "2", "4"), ("a", "x2024-01-03", "n/a", "1", "1")]
+    done, report = rates_pipeline(spark.createDataFrame(rows, "country string, date string, cases string, deaths string, recoveries string"))
+    assert [(r["country"], r["mortality_rate_change"], r["recovery_rate_change"]) for r in done.collect()] == [("A", 1.0, 3.0)]
+    assert tuple(report.first()) == (3, 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.quality import add_sanity_flag
@@ -28,14 +28,13 @@ def parse_measures(df: DataFrame) -> DataFrame:
     return add_sanity_flag(typed, checks).drop("_text")
 
 
-def rates_pipeline(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Parse, de-duplicate, add rates and their changes, drop incomplete rows.
+def rates_pipeline(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parse, de-duplicate, add rates and their changes, drop incomplete rows; and a report of processed and failed rows.
 
-    The number of processed and failed rows is observed on the way, without a job of its own;
-    read it from the observation after the first action.
+    The report is a DataFrame of its own: an ``Observation`` would tie the session to state that
+    keeps fitted models with a training summary from being sent to tasks.
     """
-    audit = Observation("rates")
-    rows = parse_measures(df).dropDuplicates().observe(
-        audit, F.count(F.lit(1)).alias("processed"), F.count_if(~F.col("sanity_check")).alias("failed")
-    )
-    return add_rates(rows, "country", "date", "cases", {"deaths": "mortality_rate", "recoveries": "recovery_rate"}).na.drop(), audit
+    rows = parse_measures(df).dropDuplicates()
+    report = rows.agg(F.count(F.lit(1)).alias("processed"), F.count_if(~F.col("sanity_check")).alias("failed"))
+    done = add_rates(rows, "country", "date", "cases", {"deaths": "mortality_rate", "recoveries": "recovery_rate"})
+    return done.na.drop(), report
