@@ -161,8 +161,8 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds, a, b = kinds[kept], a[kept], b[kept]
         else:
             pivots = np.argsort(tb.mix(keys.view(np.uint64)), kind="stable")[:PIVOTS]
-            a, b = np.repeat(keys[pivots], m), np.tile(keys, PIVOTS)
-            sa, sb = np.repeat(sizes[pivots], m), np.tile(sizes, PIVOTS)
+            a, b = np.repeat(keys[pivots], m), np.tile(keys, len(pivots))
+            sa, sb = np.repeat(sizes[pivots], m), np.tile(sizes, len(pivots))
             kept = (a != b) & (np.minimum(sa, sb) * DENOMINATOR >= np.maximum(sa, sb) * NUMERATOR)
             a, b = np.minimum(a, b)[kept], np.maximum(a, b)[kept]
             kinds = np.concatenate([np.zeros(len(a), np.int32), np.ones(m, np.int32)])

@@ -45,18 +45,14 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
 FEATURES = ["words", "link_share", "words_before", "link_before", "words_after", "link_after", "in_boiler", "in_main", "has_main"]
-#: Labelled blocks: the features in the order above, then 1 for main text.
+#: Words and link density of labelled blocks, and figures of the blocks around them (words and link density before, after).
+_BLOCKS = [(1, 0.0), (3, 0.0), (7, 0.0), (13, 0.0), (17, 0.0), (28, 0.0), (45, 0.0), (65, 0.0), (110, 0.0), (220, 0.0), (9, 0.2), (50, 0.3), (15, 0.7), (25, 0.8), (4, 1.0)]
+_AROUND = [(0, 0.0, 12, 0.0), (8, 0.0, 55, 0.0), (100, 0.0, 0, 0.0), (3, 1.0, 5, 1.0)]
+#: Where they stand (inside boilerplate, inside the article, on a page with an article): main text always, never, or if mostly unlinked.
+_PLACES = {(0, 1, 1): "always", (1, 0, 1): "never", (1, 1, 1): "never", (1, 0, 0): "never", (0, 0, 1): "never", (0, 0, 0): "unlinked"}
 LABELLED = [
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 1, 0), (2, 1.0, 1, 1.0, 3, 1.0, 1, 0, 1, 0), (8, 0.0, 2, 1.0, 7, 0.0, 1, 0, 1, 0), (40, 0.0, 30, 0.0, 25, 0.0, 1, 0, 1, 0),
-    (12, 0.2, 40, 0.0, 0, 0.0, 1, 0, 1, 0), (60, 0.0, 80, 0.0, 9, 0.0, 1, 1, 1, 0), (25, 0.0, 80, 0.0, 30, 0.0, 1, 1, 1, 0), (4, 0.0, 60, 0.0, 12, 0.0, 1, 1, 1, 0),
-    (2, 1.0, 60, 0.0, 50, 0.0, 1, 1, 1, 0), (120, 0.1, 0, 0.0, 80, 0.0, 1, 0, 0, 0), (18, 0.0, 6, 1.0, 0, 0.0, 1, 0, 0, 0), (3, 0.0, 1, 1.0, 90, 0.0, 1, 0, 0, 0),
-    (7, 0.0, 9, 0.0, 60, 0.0, 0, 1, 1, 1), (80, 0.0, 7, 0.0, 90, 0.0, 0, 1, 1, 1), (1, 0.0, 90, 0.0, 2, 0.0, 0, 1, 1, 1), (2, 0.0, 1, 0.0, 40, 0.0, 0, 1, 1, 1),
-    (50, 0.3, 60, 0.0, 4, 0.0, 0, 1, 1, 1), (5, 1.0, 60, 0.0, 45, 0.0, 0, 1, 1, 1), (150, 0.0, 40, 0.0, 15, 0.0, 0, 1, 1, 1), (15, 0.0, 150, 0.0, 9, 0.0, 0, 1, 1, 1),
-    (3, 0.0, 0, 0.0, 60, 0.0, 0, 0, 1, 0), (30, 0.0, 3, 1.0, 8, 0.0, 0, 0, 1, 0), (70, 0.0, 90, 0.0, 20, 0.0, 0, 0, 1, 0), (6, 1.0, 2, 1.0, 40, 0.0, 0, 0, 1, 0),
-    (90, 0.0, 5, 0.0, 80, 0.0, 0, 0, 0, 1), (80, 0.1, 90, 0.0, 60, 0.0, 0, 0, 0, 1), (30, 0.0, 70, 0.0, 90, 0.0, 0, 0, 0, 1), (6, 0.0, 3, 1.0, 90, 0.0, 0, 0, 0, 1),
-    (5, 0.0, 80, 0.0, 70, 0.0, 0, 0, 0, 1), (2, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (25, 0.1, 40, 0.0, 30, 0.0, 0, 0, 0, 1), (12, 0.0, 25, 0.0, 60, 0.0, 0, 0, 0, 1),
-    (4, 0.0, 50, 0.0, 2, 0.0, 0, 0, 0, 1), (20, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (3, 1.0, 4, 1.0, 5, 1.0, 0, 0, 0, 0), (10, 0.9, 8, 1.0, 12, 0.8, 0, 0, 0, 0),
-    (25, 0.8, 90, 0.0, 6, 1.0, 0, 0, 0, 0), (2, 1.0, 90, 0.0, 1, 1.0, 0, 0, 0, 0), (15, 0.7, 3, 1.0, 3, 1.0, 0, 0, 0, 0), (40, 0.6, 20, 0.7, 30, 0.8, 0, 0, 0, 0),
+    (*block, *around, *place, int(kind == "always" or kind == "unlinked" and block[1] < 0.5))
+    for place, kind in _PLACES.items() for block in _BLOCKS for around in _AROUND
 ]
 
 
