@@ -1,5 +1,6 @@
 """Operators against brute force and SQL, with odd rows, empty tables and clashing names."""
 
+import hashlib
 import html as html_lib
 import math
 import re
@@ -12,7 +13,7 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from tidemill.llm import components, decontam, jaccard, lines, maintext, mixing, ngram_lm, quality, queries, topk, urls
+from tidemill.llm import components, decontam, jaccard, lines, maintext, mixing, ngram_lm, quality, queries, suffixes, topk, urls
 from tidemill.llm import textbytes as tb
 
 DOCS = "doc_id long, text string, source string"
@@ -159,6 +160,66 @@ def test_keep_one_of_each(spark, odd_docs):
     assert 8 not in kept
 
 
+# --- op2
+
+
+def brute_repeats(rows):
+    """id -> n_bytes, n_removed, n_spans, digest."""
+    seen, out = {}, {}
+    for doc, text in sorted({(d, t or "") for d, t in rows}):
+        raw = text.encode()
+        hit = np.zeros(len(raw) + 1, bool)
+        for s in range(len(raw) - 99):
+            if seen.setdefault(raw[s:s + 100], (doc, s)) != (doc, s):
+                hit[s:s + 100] = True
+        kept = bytes(b for b, h in zip(raw, hit, strict=False) if not h)
+        out[doc] = (len(raw), len(raw) - len(kept), int((hit[1:] < hit[:-1]).sum()), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def same_repeats(df):
+    got = suffixes.drop_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    expected = brute_repeats([(r[0], r[1]) for r in df.filter("doc_id IS NOT NULL").select("doc_id", "text").collect()])
+    assert len(got) == df.count()
+    for r in got:
+        if r[0] is None:
+            assert r[2] == 0
+        else:
+            assert tuple(r)[1:] == expected[r[0]], r[0]
+
+
+def test_repeats_against_brute_force(spark, odd_docs):
+    same_repeats(documents(spark))
+    short = spark.createDataFrame([(20, "é" * 400), (21, "ab" * 300), (22, "x" + "ab" * 60 + "é" * 60), (23, "y" * 99), (24, "y" * 99), (25, "y" * 100), (26, "y" * 100), (27, None)], "doc_id long, text string")
+    same_repeats(odd_docs.filter("doc_id < 7 OR doc_id = 9 OR doc_id IS NULL").select("doc_id", "text").unionAll(short))
+    assert suffixes.drop_repeats(odd_docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("runs", [2, 4096])
+def test_repeats_in_crowded_anchors(spark, monkeypatch, runs):
+    rng = np.random.default_rng(8)
+    common = "".join(chr(97 + x) for x in rng.integers(0, 26, 130))
+    part = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    rows = [(i, part(rng.integers(0, 60)) + common[:rng.integers(60, 130)] + part(rng.integers(0, 60)) + common[rng.integers(0, 25):]) for i in range(80)]
+    monkeypatch.setattr(suffixes, "SHARD_RUNS", runs)
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 5000)
+    same_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_suffix_array_and_common_prefixes():
+    rng = np.random.default_rng(9)
+    text = np.concatenate([rng.integers(97, 99, 300), rng.integers(97, 99, 40).repeat(3), np.full(150, 97)]).astype(np.uint8)
+    raw = text.tobytes()
+    order, place = suffixes.suffix_array(text, 128)
+    cut = [raw[i:i + 128] for i in order]
+    assert cut == sorted(cut) and (order[place] == np.arange(len(text))).all()
+    got = suffixes.common_prefixes(text, order, place, np.array([0, 300, 420]), np.array([300, 120, 150]), 100)
+    for i in range(1, len(order)):
+        a, b = raw[order[i]:], raw[order[i - 1]:]
+        n = next((k for k in range(100) if k >= len(a) or k >= len(b) or a[k] != b[k]), 100)
+        assert got[i] == n
+
+
 # --- op3
 
 

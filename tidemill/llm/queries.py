@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontam, jaccard, lines, maintext, mixing, ngram_lm, quality, topk, urls
+from tidemill.llm import decontam, jaccard, lines, maintext, mixing, ngram_lm, quality, suffixes, topk, urls
 
 # Host, path and verdict of the rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -20,6 +20,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 100 bytes cover which start earlier in the corpus."""
+    return suffixes.drop_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every 50th one."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
@@ -77,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op3_exact_top_k, op4_quality_classifier, op5_url_filters, op6_line_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_html_extraction, op10_source_mixing, pipeline,
+    op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_exact_top_k, op4_quality_classifier, op5_url_filters, op6_line_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_html_extraction, op10_source_mixing, pipeline,
 )}
 
 _TOPK_SQL = """
