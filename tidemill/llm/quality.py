@@ -23,6 +23,8 @@ BITS = 20
 #: Rated documents that a fit looks at, at most, and characters of their texts; the lowest hashes of the id are taken.
 SAMPLE_ROWS = 12_000
 HEAD_BYTES = 5
+#: Slots get a weight if their log-likelihood ratio with the grades is at least this, so that chance words of long texts don't add up.
+LEAST_RATIO = 16.0
 
 # Classes of bytes in token shapes: upper case, lower case and above 0x7F, digits, each other byte for itself.
 _SHAPE = np.arange(256, dtype=np.uint64)
@@ -76,12 +78,26 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds, -500, 500)))
 
 
-def fit_ordinal(slots: np.ndarray, bounds: np.ndarray, grades: np.ndarray, bits: int = BITS, rounds: int = 150, decay: float = 2e-4, rate: float = 0.05) -> OrdinalModel:
+def likelihood_ratio(column: np.ndarray, level: np.ndarray, n_columns: int, of_level: np.ndarray) -> np.ndarray:
+    """G statistic of the presence of each column against the grades."""
+    k = len(of_level)
+    here = np.bincount(column * k + level, minlength=n_columns * k).reshape(n_columns, k).astype(float)
+    total = here.sum(axis=1, keepdims=True)
+    share = of_level / of_level.sum()
+    part = lambda seen, want: np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(want, 1e-12)), 0.0)
+    return 2 * (part(here, total * share) + part(of_level - here, (of_level.sum() - total) * share)).sum(axis=1)
+
+
+def fit_ordinal(slots: np.ndarray, bounds: np.ndarray, grades: np.ndarray, bits: int = BITS, rounds: int = 300, decay: float = 1e-4, rate: float = 0.05, least_ratio: float = LEAST_RATIO) -> OrdinalModel:
     """Maximum likelihood of the cumulative-link model with an L2 penalty, by Adam over the whole sample."""
     levels = np.unique(grades)
-    used, column = np.unique(slots, return_inverse=True)
     level = np.searchsorted(levels, grades)
-    n, k, sizes = len(grades), len(levels) - 1, np.diff(bounds)
+    n, k = len(grades), len(levels) - 1
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    used, column = np.unique(slots, return_inverse=True)
+    kept = likelihood_ratio(column, level[row], len(used), np.bincount(level, minlength=k + 1)) >= least_ratio
+    row, column = row[kept[column]], (np.cumsum(kept) - 1)[column[kept[column]]]
+    used = used[kept]
     # Rare grades weigh as much as the square root of their share.
     weight = 1 / np.sqrt(np.bincount(level, minlength=k + 1))[level]
     weight *= n / weight.sum()
@@ -93,13 +109,13 @@ def fit_ordinal(slots: np.ndarray, bounds: np.ndarray, grades: np.ndarray, bits:
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
     for t in range(1, rounds + 1):
         w, theta = x[:len(used)], x[len(used)] + np.concatenate([[0], np.cumsum(np.exp(x[len(used) + 1:]))])
-        s = np.add.reduceat(w[column], bounds[:-1])
+        s = np.bincount(row, w[column], minlength=n)
         f = sigmoid(np.concatenate([np.full((1, n), -np.inf), theta[:, None] - s, np.full((1, n), np.inf)]))
         hi, lo = f[level + 1, np.arange(n)], f[level, np.arange(n)]
         p = np.maximum(hi - lo, 1e-9)
         d_hi, d_lo = weight * hi * (1 - hi) / p / n, weight * lo * (1 - lo) / p / n
         g_s = d_hi - d_lo  # of the loss by the score
-        g_w = np.bincount(column, np.repeat(g_s, sizes), minlength=len(used)) + decay * w
+        g_w = np.bincount(column, g_s[row], minlength=len(used)) + decay * w
         g_theta = np.array([d_lo[level == j + 1].sum() - d_hi[level == j].sum() for j in range(k)])
         tails = np.cumsum(g_theta[::-1])[::-1]
         g = np.concatenate([g_w, tails[:1], tails[1:] * np.exp(x[len(used) + 1:])])
