@@ -78,26 +78,25 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds, -500, 500)))
 
 
-def likelihood_ratio(column: np.ndarray, level: np.ndarray, n_columns: int, of_level: np.ndarray) -> np.ndarray:
-    """G statistic of the presence of each column against the grades."""
-    k = len(of_level)
-    here = np.bincount(column * k + level, minlength=n_columns * k).reshape(n_columns, k).astype(float)
-    total = here.sum(axis=1, keepdims=True)
-    share = of_level / of_level.sum()
+def likelihood_ratio(here: np.ndarray, of_level: np.ndarray) -> np.ndarray:
+    """G statistic of the presence of each slot against the grades; ``here`` counts texts by grade and slot."""
+    total, n = here.sum(axis=0), of_level.sum()
     part = lambda seen, want: np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(want, 1e-12)), 0.0)
-    return 2 * (part(here, total * share) + part(of_level - here, (of_level.sum() - total) * share)).sum(axis=1)
+    return 2 * sum(part(h, total * m / n) + part(m - h, (n - total) * m / n) for h, m in zip(here, of_level, strict=True))
 
 
-def fit_ordinal(slots: np.ndarray, bounds: np.ndarray, grades: np.ndarray, bits: int = BITS, rounds: int = 300, decay: float = 1e-4, rate: float = 0.05, least_ratio: float = LEAST_RATIO) -> OrdinalModel:
-    """Maximum likelihood of the cumulative-link model with an L2 penalty, by Adam over the whole sample."""
+def fit_ordinal(texts: list[np.ndarray], grades: np.ndarray, bits: int = BITS, rounds: int = 300, decay: float = 1e-4, rate: float = 0.05, least_ratio: float = LEAST_RATIO) -> OrdinalModel:
+    """Maximum likelihood of the cumulative-link model with an L2 penalty, by Adam over the whole sample: the distinct slots of each text, and its grade."""
     levels = np.unique(grades)
     level = np.searchsorted(levels, grades)
     n, k = len(grades), len(levels) - 1
-    row = np.repeat(np.arange(n), np.diff(bounds))
-    used, column = np.unique(slots, return_inverse=True)
-    kept = likelihood_ratio(column, level[row], len(used), np.bincount(level, minlength=k + 1)) >= least_ratio
-    row, column = row[kept[column]], (np.cumsum(kept) - 1)[column[kept[column]]]
-    used = used[kept]
+    here = np.zeros((k + 1, 1 << bits), np.int32)
+    for j, slots in zip(level, texts, strict=True):
+        here[j, slots] += 1
+    kept = likelihood_ratio(here, np.bincount(level, minlength=k + 1)) >= least_ratio
+    used, number = np.flatnonzero(kept), np.cumsum(kept) - 1
+    found = [number[slots[kept[slots]]] for slots in texts]
+    row, column = np.repeat(np.arange(n), [len(f) for f in found]), np.concatenate(found)
     # Rare grades weigh as much as the square root of their share.
     weight = 1 / np.sqrt(np.bincount(level, minlength=k + 1))[level]
     weight *= n / weight.sum()
@@ -148,9 +147,7 @@ def fit_on_ratings(docs: DataFrame, ratings: DataFrame, grade: Column, id_col: s
     found = found.sort_values(["id", "grade", "slots"], kind="stable")
     if found["grade"].nunique() < 2:
         return None
-    rows_of = [np.frombuffer(b, np.uint32) for b in found["slots"]]
-    bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows_of])])
-    return fit_ordinal(np.concatenate(rows_of).astype(np.int64), bounds, found["grade"].to_numpy(), bits)
+    return fit_ordinal([np.frombuffer(b, np.uint32) for b in found["slots"]], found["grade"].to_numpy(), bits)
 
 
 def grade_documents(docs: DataFrame, model: OrdinalModel | None, least: int, id_col: str = "doc_id", text_col: str = "text", cut: float = 0.5) -> DataFrame:
