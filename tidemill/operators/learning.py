@@ -65,7 +65,7 @@ def near_miss(majority: DataFrame, minority: DataFrame, n_keep: int, k: int = 3,
 
 
 def smote(minority: DataFrame, n_new: int, seed: str, k: int = 5, **kwargs) -> DataFrame:
-    """``n_new`` synthetic rows, each on the line from a hash-chosen row to one of its ``k`` nearest."""
+    """``n_new`` synthetic rows, each on the line from a hash-chosen row to one of its ``k`` nearest; raises where no row has a neighbour."""
     pairs = nearest(
         minority.select(F.col("id").alias("qid"), F.col("vec").alias("qvec")),
         minority.select(F.col("id").alias("iid"), F.col("vec").alias("ivec")), k, skip_same=True, **kwargs,
@@ -73,6 +73,8 @@ def smote(minority: DataFrame, n_new: int, seed: str, k: int = 5, **kwargs) -> D
     pairs = stage(pairs.select("qid", "iid", "rank"), "neighbors")
     size = minority.count()
     found = min(k, size - 1)
+    if n_new and found < 1:
+        raise ValueError("synthetic rows need at least two rows to lie between")
     numbered = global_row_number(minority.select("id", "vec"), ["id"], "place")
     new = minority.sparkSession.range(n_new).select(
         F.col("id").alias("new_id"),

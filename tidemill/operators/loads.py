@@ -9,16 +9,26 @@ from pyspark.sql import functions as F
 def upsert(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """Rows of both, the staged row winning where the key is in both.
 
-    The anti join keeps every untouched target row where it is; staged keys are expected to be unique.
+    The anti join keeps every untouched target row where it is. A key that is staged twice is refused, as a
+    database refuses such a batch.
     """
+    twice = staged.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"{key} is staged more than once")
     untouched = target.join(staged.select(key), key, "left_anti")
     return untouched.select(*target.columns).unionByName(staged.select(*target.columns))
 
 
 def insert_ignore(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Add only the rows whose key is not there yet."""
-    fresh = rows.join(target.select(key), key, "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    """Add only the rows whose key is not there yet.
+
+    Of batch rows with the same key the smallest by the other columns is added; null keys never meet.
+    """
+    fresh = rows.select(*target.columns).join(target.select(key), key, "left_anti")
+    others = [c for c in target.columns if c != key]
+    keyed = fresh.filter(F.col(key).isNotNull())
+    one = keyed.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*") if others else keyed.distinct()
+    return target.unionByName(one).unionByName(fresh.filter(F.col(key).isNull()))
 
 
 def full_refresh(rows: DataFrame, path: str, columns: list[str]) -> DataFrame:
