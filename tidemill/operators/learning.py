@@ -23,8 +23,14 @@ def label_codes(df: DataFrame, column: str, first_seen: list[str] | None = None)
     return global_row_number(firsts, ["_first", column], "code", 0).drop("_first")
 
 
-def one_hot(df: DataFrame, column: str, levels: list[str]) -> DataFrame:
-    """One 0/1 column per level."""
+def levels_of(df: DataFrame, column: str) -> list:
+    """Values of a column in order, without nulls; each becomes a column or class, so there are few by definition."""
+    return [row[0] for row in df.select(column).dropna().distinct().orderBy(column).collect()]
+
+
+def one_hot(df: DataFrame, column: str, levels: list[str] | None = None) -> DataFrame:
+    """One 0/1 column per level, by default for each one found; a null has none."""
+    levels = levels_of(df, column) if levels is None else levels
     return df.withColumns({f"{column}_{v.lower()}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in levels})
 
 
@@ -135,8 +141,9 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(label)))
 
 
-def random_guess(df: DataFrame, key: str, label: str, classes: list, seed: str) -> DataFrame:
-    """Accuracy of a hash-chosen class per row."""
+def random_guess(df: DataFrame, key: str, label: str, seed: str) -> DataFrame:
+    """Accuracy of a hash-chosen class of the data per row."""
+    classes = levels_of(df, label)
     guess = F.element_at(F.array(*[F.lit(c) for c in classes]), (F.floor(unit_hash(seed, F.col(key)) * len(classes)) + 1).cast("int"))
     return df.agg(F.avg((guess == F.col(label)).cast("double")).alias("accuracy"))
 

@@ -73,19 +73,21 @@ def merge_observations(df: DataFrame, keys: list[str], order: list[str], fields:
     return df.groupBy(*keys).agg(*merged)
 
 
-def nest_by_date(df: DataFrame, day: str, key: str, fields: list[str], categories: dict[str, str]) -> DataFrame:
+def nest_by_date(df: DataFrame, day: str, key: str, fields: list[str], keys: DataFrame) -> DataFrame:
     """One document per date holding an entry for every key; absent values read "n/a".
 
-    Each date first gathers the keys it has; the fixed key list then supplies the rest.
+    ``keys`` is the table of keys, columns ``key`` and Category, one row per key. Every document holds all of it
+    by definition, so it is gathered into one row; each date first gathers the keys it has.
     """
     value = F.to_json(F.struct(*[F.coalesce(F.col(f), F.lit("n/a")).alias(f) for f in fields]))
     present = df.groupBy(day).agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), value))).alias("_have"))
     nothing = F.to_json(F.struct(*[F.lit("n/a").alias(f) for f in fields]))
-    entries = [
-        F.create_map(
-            F.lit("Stock_Alias"), F.lit(k), F.lit("Category"), F.lit(c),
-            F.lit("Data"), F.coalesce(F.try_element_at("_have", F.lit(k)), nothing),
+    all_keys = keys.agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), F.col("Category").alias("c")))).alias("_keys"))
+
+    def entry(pair: Column) -> Column:
+        return F.create_map(
+            F.lit("Stock_Alias"), pair["k"], F.lit("Category"), pair["c"],
+            F.lit("Data"), F.coalesce(F.try_element_at("_have", pair["k"]), nothing),
         )
-        for k, c in sorted(categories.items())
-    ]
-    return present.select(F.col(day).alias("Date"), F.array(*entries).alias("Entries"))
+
+    return present.join(F.broadcast(all_keys)).select(F.col(day).alias("Date"), F.transform("_keys", entry).alias("Entries"))

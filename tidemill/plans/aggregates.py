@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import quality, summaries
 from tidemill.plans.registry import query
+from tidemill.session import stage
 from tidemill.sources.tables import day_text
 
 
@@ -83,20 +84,22 @@ def nonnull_count_by_key(t):
     return measured.filter(F.col("value").isNotNull()).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-PRIORITY_COLUMNS = ["urgent", "high", "medium", "unspecified", "low"]
+def pivot_counts(counts, row, column, n):
+    """Matrix of the summed counts, a column for each value found, zero where a pair does not occur."""
+    return counts.groupBy(row).pivot(column).agg(F.sum(n)).na.fill(0)
 
 
-@query("pivot_matrix", "SELECT c_mktsegment, " + ", ".join(
-    f"count(*) FILTER (o_orderpriority = '{p}') AS {c}" for p, c in zip(PRIORITIES, PRIORITY_COLUMNS)
-) + " FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+@query("pivot_matrix", """
+    WITH f AS (SELECT c_mktsegment, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT s.c_mktsegment, p.o_orderpriority, count(f.o_orderpriority) AS n
+    FROM (SELECT DISTINCT c_mktsegment FROM f) s CROSS JOIN (SELECT DISTINCT o_orderpriority FROM f) p
+    LEFT JOIN f ON f.c_mktsegment IS NOT DISTINCT FROM s.c_mktsegment AND f.o_orderpriority = p.o_orderpriority GROUP BY 1, 2""")
 def pivot_matrix(t):
+    """The matrix has a column for each priority of the data; it is shown in long form."""
     counts = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    pivoted = (
-        counts.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_mktsegment").pivot("o_orderpriority", PRIORITIES).agg(F.sum("n"))
-    )
-    return pivoted.select("c_mktsegment", *[F.coalesce(F.col(f"`{p}`"), F.lit(0)).alias(c) for p, c in zip(PRIORITIES, PRIORITY_COLUMNS)])
+    per_pair = counts.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment", "o_orderpriority").agg(F.sum("n").alias("n"))
+    matrix = pivot_counts(stage(per_pair, "pair_counts"), "c_mktsegment", "o_orderpriority", "n")
+    return matrix.unpivot(["c_mktsegment"], matrix.columns[1:], "o_orderpriority", "n")
 
 
 @query("sum_by_two_keys", """
@@ -114,11 +117,7 @@ def sum_by_two_keys(t):
     SELECT day(ts)::INTEGER AS epoch, round(avg(value), 6) AS mean_value, round(avg(json_extract(props, '$.k')::INTEGER), 6) AS mean_k
     FROM events GROUP BY 1""")
 def mean_over_runs(t):
-    runs = [t.events.filter(F.col("event_type") == run).select("ts", "value", "props") for run in ("click", "error", "purchase", "signup", "view")]
-    whole = runs[0]
-    for run in runs[1:]:
-        whole = whole.unionByName(run)
-    return mean_by_epoch(whole.select(
+    return mean_by_epoch(t.events.select(
         F.dayofmonth("ts").alias("epoch"), F.col("value").alias("mean_value"),
         F.get_json_object("props", "$.k").cast("int").alias("mean_k"),
     ), "epoch")

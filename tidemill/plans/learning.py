@@ -17,8 +17,10 @@ from tidemill.operators.joins import bounded
 from tidemill.plans.registry import query
 from tidemill.session import spread, stage
 
-DIMS = 64
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+def dims(t):
+    """Length of the longest vector."""
+    return t.embeddings.agg(F.max(F.size("embedding"))).first()[0] or 0
 
 
 def vectors(t):
@@ -48,10 +50,20 @@ def label_encode(t):
     return orders.join(bounded(stage(codes, "codes")), "o_orderpriority").select("o_orderkey", "sorted_code", "seen_code")
 
 
-@query("one_hot", "SELECT c_custkey, " + ", ".join(
-    f"(c_mktsegment = '{s}')::INTEGER AS c_mktsegment_{s.lower()}" for s in SEGMENTS) + " FROM customer")
+@query("one_hot", """
+    SELECT c_custkey, 'c_mktsegment_' || lower(level) AS level, coalesce(c_mktsegment = level, false)::INTEGER AS flag
+    FROM customer CROSS JOIN (SELECT DISTINCT c_mktsegment AS level FROM customer WHERE c_mktsegment IS NOT NULL)""")
 def one_hot(t):
-    return L.one_hot(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", SEGMENTS).drop("c_mktsegment")
+    """A column for each segment of the data, shown in long form."""
+    wide = L.one_hot(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment").drop("c_mktsegment")
+    return wide.unpivot(["c_custkey"], wide.columns[1:], "level", "flag")
+
+
+@query("one_hot_mapping", """
+    SELECT c_mktsegment, (row_number() OVER (ORDER BY c_mktsegment) - 1)::BIGINT AS code FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)""")
+def one_hot_mapping(t):
+    """Mapping table of the levels found."""
+    return L.label_codes(t.customer.filter("c_mktsegment IS NOT NULL"), "c_mktsegment").select("c_mktsegment", "code")
 
 
 @query("hash_split", f"""
@@ -162,7 +174,7 @@ def svc_classify(t):
 
 @query("mlp_classify")
 def mlp_classify(t):
-    return classified(t, MultilayerPerceptronClassifier(layers=[DIMS, 100, 50, 10, 10], maxIter=30, seed=42))
+    return classified(t, MultilayerPerceptronClassifier(layers=[dims(t), 100, 50, 10, t.embeddings.agg(F.max("label")).first()[0] + 1], maxIter=30, seed=42))
 
 
 _FOLDS = f"""SELECT doc_id, quality, toxic, s AS split FROM labels, range(10) r(s) WHERE {unit_hash_sql("folds", "doc_id", "s")} < 0.3"""
@@ -188,9 +200,10 @@ def confusion_matrix(t):
 
 
 @query("random_baseline", f"""
-    SELECT round(avg((floor({unit_hash_sql("guess", "vec_id")} * 10)::INTEGER = label)::INTEGER::DOUBLE), 6) AS accuracy FROM embeddings""")
+    WITH c AS (SELECT list(DISTINCT label ORDER BY label) AS c FROM embeddings)
+    SELECT round(avg((c[floor({unit_hash_sql("guess", "vec_id")} * len(c))::INTEGER + 1] = label)::INTEGER::DOUBLE), 6) AS accuracy FROM embeddings, c""")
 def random_baseline(t):
-    return L.random_guess(t.embeddings, "vec_id", "label", list(range(10)), "guess").withColumn("accuracy", F.round("accuracy", 6))
+    return L.random_guess(t.embeddings, "vec_id", "label", "guess").withColumn("accuracy", F.round("accuracy", 6))
 
 
 @query("pca_project")
@@ -226,7 +239,7 @@ def kmeans_assign(t):
 @query("kmeans_sweep")
 def kmeans_sweep(t):
     """Five numbers of clusters; the scores use the labels as truth."""
-    return C.kmeans_sweep(vectors(t), list(range(2, 7)), DIMS)
+    return C.kmeans_sweep(vectors(t), list(range(2, 7)), dims(t))
 
 
 _PAIR_SUMS = """
@@ -244,17 +257,17 @@ def silhouette(t):
 
 @query("silhouette_squared", "WITH" + _PAIR_SUMS.format(dist="pow(list_distance(a.v, b.v), 2)"))
 def silhouette_squared(t):
-    return C.silhouette_squared(vectors(t), DIMS).withColumn("silhouette", F.round("silhouette", 6))
+    return C.silhouette_squared(vectors(t), dims(t)).withColumn("silhouette", F.round("silhouette", 6))
 
 
 @query("davies_bouldin", f"""
-    WITH m AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, {DIMS + 1}) r(i) GROUP BY 1, 2),
+    WITH m AS (SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2),
     c AS (SELECT label, list(m ORDER BY i) AS c FROM m GROUP BY 1),
     s AS (SELECT label, any_value(c) AS c, avg(list_distance(embedding::DOUBLE[], c)) AS s FROM embeddings JOIN c USING (label) GROUP BY 1),
     w AS (SELECT a.label, max((a.s + b.s) / list_distance(a.c, b.c)) AS w FROM s a JOIN s b ON a.label <> b.label GROUP BY 1)
     SELECT round(avg(w), 6) AS davies_bouldin FROM w""")
 def davies_bouldin(t):
-    return C.davies_bouldin(t.embeddings, "label", "embedding", DIMS).withColumn("davies_bouldin", F.round("davies_bouldin", 6))
+    return C.davies_bouldin(t.embeddings, "label", "embedding", dims(t)).withColumn("davies_bouldin", F.round("davies_bouldin", 6))
 
 
 @query("adjusted_rand", """
@@ -319,7 +332,8 @@ def neighbor_label_agreement(t):
 
 
 @query("avg_pool_embedding", """
-    SELECT vec_id, (i // 8)::INTEGER AS part, round(avg(embedding[i + 1]::DOUBLE), 6) + 0.0 AS mean FROM embeddings, range(64) r(i) GROUP BY 1, 2""")
+    SELECT vec_id, (i // (len(embedding) // 8))::INTEGER AS part, round(avg(embedding[i + 1]::DOUBLE), 6) + 0.0 AS mean
+    FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM embeddings) GROUP BY 1, 2""")
 def avg_pool_embedding(t):
-    pooled = t.embeddings.select("vec_id", F.posexplode(L.avg_pool(F.col("embedding").cast("array<double>"), DIMS, 8)).alias("part", "mean"))
+    pooled = t.embeddings.select("vec_id", F.posexplode(L.avg_pool(F.col("embedding").cast("array<double>"), dims(t), 8)).alias("part", "mean"))
     return pooled.withColumn("mean", F.round("mean", 6))

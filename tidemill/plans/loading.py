@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.functions.hashing import unit_hash, unit_hash_sql
 from tidemill.operators import loads, quality
 from tidemill.plans.registry import query
 from tidemill.plans.sets import entry_properties, explode_entries
@@ -132,14 +133,27 @@ def merge_partial_observations(t):
 
 
 CATEGORIES = {"click": "traffic", "view": "traffic", "error": "health", "purchase": "money", "signup": "money"}
+CATEGORY_SQL = "CASE {0} " + " ".join(f"WHEN '{k}' THEN '{c}'" for k, c in CATEGORIES.items()) + " ELSE 'other' END"
+
+
+def category_of(alias):
+    """Category of an alias; those that no category names are in "other"."""
+    known = F.create_map(*[F.lit(x) for pair in CATEGORIES.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.col(alias)), F.lit("other"))
+
+
+def alias_table(events):
+    """The aliases of the feed, as found in the data, and their categories."""
+    found = events.filter(F.col("event_type").isNotNull()).select(F.col("event_type").alias("Stock_Alias")).distinct()
+    return found.withColumn("Category", category_of("Stock_Alias"))
 
 
 def bar_texts(events):
-    """Daily bars as the text fields of the price feed: grouped digits, US dates without padding.
+    return texts_of_bars(daily_bars(events))
+
 
-    A day whose volume is below the feed's threshold of that field is reported without it.
-    """
-    bars = daily_bars(events)
+def texts_of_bars(bars):
+    """Daily bars as the text fields of the price feed: grouped digits, US dates without padding."""
     return bars.select(
         F.date_format("day", "M/d/yyyy").alias("Date"), F.col("ticker").alias("Stock_Alias"),
         *[F.format_number(c.lower(), 2).alias(c) for c in ("Open", "Close", "High", "Low")],
@@ -148,13 +162,14 @@ def bar_texts(events):
 
 
 @query("nest_entries_by_date", f"""
-    WITH b AS (SELECT * FROM ({BARS_SQL}) WHERE volume > 60), d AS (SELECT DISTINCT day FROM b),
-    k AS (SELECT * FROM (VALUES ('click', 'traffic'), ('view', 'traffic'), ('error', 'health'), ('purchase', 'money'), ('signup', 'money')) v(ticker, category))
-    SELECT strftime(d.day, '%-m/%-d/%Y') AS day, k.category, k.ticker AS alias, coalesce(CAST(volume AS VARCHAR), 'n/a') AS volume
+    WITH b AS (SELECT * FROM ({BARS_SQL}) WHERE {unit_hash_sql("absent", "day", "ticker")} < 0.6), d AS (SELECT DISTINCT day FROM b),
+    k AS (SELECT ticker, {CATEGORY_SQL.format("ticker")} AS category FROM (SELECT DISTINCT event_type AS ticker FROM events WHERE event_type IS NOT NULL))
+    SELECT strftime(d.day, '%-m/%-d/%Y') AS day, k.category, k.ticker AS alias, coalesce(format('{{:,}}', volume), 'n/a') AS volume
     FROM d CROSS JOIN k LEFT JOIN b ON b.day = d.day AND b.ticker = k.ticker""")
 def nest_entries_by_date(t):
-    texts = bar_texts(t.events).filter(F.col("Volume").cast("int") > 60)
-    nested = loads.nest_by_date(texts, "Date", "Stock_Alias", ["Open", "Close", "High", "Low", "Volume"], CATEGORIES)
+    """Some bars, chosen by a hash of their key, are absent, so that the grid has holes to fill."""
+    bars = daily_bars(t.events).filter(unit_hash("absent", F.col("day"), F.col("ticker")) < 0.6)
+    nested = loads.nest_by_date(texts_of_bars(bars), "Date", "Stock_Alias", ["Open", "Close", "High", "Low", "Volume"], alias_table(t.events))
     flat = entry_properties(explode_entries(nested), ["Volume"])
     return flat.select(F.col("Date").alias("day"), F.col("Category").alias("category"), F.col("Stock_Alias").alias("alias"), F.col("Volume").alias("volume"))
 

@@ -14,11 +14,11 @@ from tidemill.sources.tables import MONTHLY_SQL, day_text, monthly_series
 
 
 def panel(t):
-    """Complete months only: the last month of the data has a single day."""
-    return monthly_series(t.orders).filter("t < DATE '2001-08-01'").select("series_id", "t", "y")
+    """All months of the data."""
+    return monthly_series(t.orders).select("series_id", "t", "y")
 
 
-_PANEL = f"SELECT series_id, t, y FROM ({MONTHLY_SQL}) WHERE t < DATE '2001-08-01'"
+_PANEL = f"SELECT series_id, t, y FROM ({MONTHLY_SQL})"
 _INDEXED = f"SELECT series_id, t, y, row_number() OVER (PARTITION BY series_id ORDER BY t) AS i FROM ({_PANEL})"
 
 

@@ -154,17 +154,13 @@ def unpivot_wide(df, id_cols, variable, value):
     return df.unpivot(id_cols, [c for c in df.columns if c not in id_cols], variable, value)
 
 
-_MONTHS = [f"{y}-{m:02d}-01" for y in range(1995, 2002) for m in range(1, 13)]
-
-
 @query("unpivot_wide", f"""
-    SELECT country, m AS month, coalesce(cases, 0) AS cases FROM (SELECT DISTINCT n_name AS country FROM nation
-      JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey)
-    CROSS JOIN (SELECT CAST(CAST(m AS DATE) AS VARCHAR) AS m FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 MONTH) r(m))
-    LEFT JOIN (SELECT country AS c2, CAST(month AS VARCHAR) AS m2, cases FROM ({NATION_MONTH_SQL})) ON c2 = country AND m2 = m""")
+    WITH f AS (SELECT country, CAST(month AS VARCHAR) AS month, cases FROM ({NATION_MONTH_SQL}))
+    SELECT c.country, m.month, coalesce(cases, 0) AS cases FROM (SELECT DISTINCT country FROM f) c
+    CROSS JOIN (SELECT DISTINCT month FROM f) m LEFT JOIN f ON f.country = c.country AND f.month = m.month""")
 def unpivot_wide_query(t):
     measures = monthly_nation_measures(t.orders, t.customer, t.nation).withColumn("month", day_text("month"))
-    wide = measures.groupBy("country").pivot("month", _MONTHS).agg(F.sum("cases")).na.fill(0)
+    wide = stage(measures, "measures").groupBy("country").pivot("month").agg(F.sum("cases")).na.fill(0)
     return unpivot_wide(wide, ["country"], "month", "cases")
 
 

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from tidemill.operators import loads
 from tidemill.operators.ordering import keyed_running_sum
 from tidemill.operators.summaries import dedup_on_keys
-from tidemill.plans.loading import CATEGORIES, bar_texts
+from tidemill.plans.loading import CATEGORY_SQL, alias_table, bar_texts, category_of
 from tidemill.plans.registry import query
 from tidemill.session import scratch_path
 from tidemill.sources.tables import BARS_SQL, day_text
 from tidemill.streaming import feeds
 
-_CATEGORY = "CASE ticker WHEN 'click' THEN 'traffic' WHEN 'view' THEN 'traffic' WHEN 'error' THEN 'health' ELSE 'money' END"
+_CATEGORY = CATEGORY_SQL.format("ticker")
 _BAR_FIELDS = f"""CAST(day AS VARCHAR) AS "Date", {_CATEGORY} AS "Category", ticker AS "Stock_Alias", open AS "Open",
     close AS "Close", high AS "High", low AS "Low", volume::DOUBLE AS "Volume\""""
 _BARS_TYPED = f"SELECT {_BAR_FIELDS} FROM ({BARS_SQL})"
@@ -25,14 +25,13 @@ _GRID_TYPED = f"SELECT {_BAR_FIELDS} FROM ({_GRID})"
 def write_nested(t, path, when=None):
     """One nested document per file and date, as the feed delivers them."""
     texts = bar_texts(t.events if when is None else t.events.filter(when))
-    nested = loads.nest_by_date(texts, "Date", "Stock_Alias", feeds.FIELDS, CATEGORIES)
+    nested = loads.nest_by_date(texts, "Date", "Stock_Alias", feeds.FIELDS, alias_table(t.events))
     nested.write.option("maxRecordsPerFile", 1).mode("append").json(path)
 
 
 def write_flat(t, path, when=None):
     texts = bar_texts(t.events if when is None else t.events.filter(when))
-    category = F.element_at(F.create_map(*[F.lit(x) for kv in CATEGORIES.items() for x in kv]), F.col("Stock_Alias"))
-    flat = texts.select(F.col("Date").alias("date"), F.col("Stock_Alias").alias("alias"), category.alias("Category"), *feeds.FIELDS)
+    flat = texts.select(F.col("Date").alias("date"), F.col("Stock_Alias").alias("alias"), category_of("Stock_Alias").alias("Category"), *feeds.FIELDS)
     flat.write.option("maxRecordsPerFile", 1).mode("append").json(path)
 
 
