@@ -26,19 +26,14 @@ def product_of_dimensions(left: DataFrame, right: DataFrame, max_rows: int = 10_
     return left.crossJoin(F.broadcast(right))
 
 
-def with_child_counts(df: DataFrame, key: str, children: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Per row the number of rows of each child table, zero when there are none.
+def with_child_counts(df: DataFrame, key: str, child: DataFrame, child_key: str, conditions: dict[str, Column]) -> DataFrame:
+    """Per row the number of rows of the child table that meet each condition, zero when there are none.
 
-    Children are counted before the join, so a hot parent costs one row.
+    Children are counted in one pass before the one join, so a hot parent costs one row.
     """
-    for out, (child, child_key) in children.items():
-        counts = child.groupBy(F.col(child_key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-        df = (
-            df.join(counts, F.col(key) == F.col("_key"), "left")
-            .withColumn(out, F.coalesce("_n", F.lit(0).cast("long")))
-            .drop("_key", "_n")
-        )
-    return df
+    counts = child.groupBy(F.col(child_key).alias("_key")).agg(*[F.count_if(c).alias(out) for out, c in conditions.items()])
+    joined = df.join(counts, F.col(key) == F.col("_key"), "left").drop("_key")
+    return joined.withColumns({out: F.coalesce(out, F.lit(0).cast("long")) for out in conditions})
 
 
 def not_in(df: DataFrame, column: str, excluded: DataFrame) -> DataFrame:

@@ -155,9 +155,9 @@ def scalar_subquery(t):
            (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'O') AS n_open FROM orders""")
 def correlated_counts(t):
     lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus")
-    return J.with_child_counts(t.orders.select("o_orderkey"), "o_orderkey", {
-        "n_returned": (lines.filter("l_returnflag = 'A'"), "l_orderkey"),
-        "n_open": (lines.filter("l_linestatus = 'O'"), "l_orderkey"),
+    return J.with_child_counts(t.orders.select("o_orderkey"), "o_orderkey", lines, "l_orderkey", {
+        "n_returned": F.col("l_returnflag") == "A",
+        "n_open": F.col("l_linestatus") == "O",
     })
 
 
