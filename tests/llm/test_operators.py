@@ -129,6 +129,28 @@ def test_large_group_of_near_copies(spark, monkeypatch, small):
     assert same_components(df)
 
 
+def test_pairs_around_the_threshold(spark):
+    """Small families whose sets share just enough n-grams or one too few, at the ends or by changed words."""
+    rng = np.random.default_rng(11)
+    rows, exact = [], 0
+    for family in range(150):
+        size = int(rng.integers(1, 80))
+        base = [f"f{family}w{i}" for i in range(size + 4)]
+        rows.append(" ".join(base))
+        edge = size - -(-3 * size // 4)  # a part without so many n-grams is just similar enough
+        exact += 4 * (size - edge) == 3 * size
+        for cut in (edge, edge + 1):
+            if size > cut:
+                at = int(rng.integers(0, cut + 1))
+                rows.append(" ".join(base[at:len(base) - (cut - at)]))
+        changed = list(base)
+        for at in rng.choice(len(base), min(len(base), max(1, size // 30)), replace=False):
+            changed[at] = f"y{family}"
+        rows.append(" ".join(changed))
+    assert exact > 20
+    assert same_components(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+
+
 def test_region_join_finds_every_component():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 12, 14).astype(np.uint64)) for _ in range(150)]

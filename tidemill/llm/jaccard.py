@@ -7,8 +7,9 @@ Documents with the same set form one class, and classes are joined in regions.
    n-grams, rare ones first, a class belongs to the regions of its first n - ceil(t n) + 1 n-grams. Two sets at
    similarity t or more always share one of them, so no link is lost. The order comes from counts of all n-grams
    in a fixed number of hash slots, so boilerplate comes last; it steers the work and never the result.
-2. Small regions give their pairs, filtered by size and by a lower bound of the distance from small count
-   vectors, and the sets are compared.
+2. Small regions give their pairs, filtered by size, by position (a pair that first meets late in its sets has too
+   few n-grams left to share) and by a lower bound of the distance from small count vectors, and the sets are
+   compared.
 3. Large regions are joined through pivots drawn from their classes. Distances to the pivots give links at once;
    classes fall to their nearest pivot's Voronoi cell, and into every other cell whose window they meet: with
    tau = 1 - t, a class x at distance d of its nearest pivot may have a partner in the cell of q only if
@@ -123,14 +124,14 @@ def _rank_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(ranks):
-    """Documents -> n-grams that a class is filed under: gram, key, size."""
+    """Documents -> n-grams that a class is filed under: gram, key, size, and whole hundredths of the set before the n-gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         order = ranks.value
         for batch in batches:
             for piece in tb.pieces(batch.column("_text")):
-                grams_out, keys_out, sizes_out = [], [], []
+                grams_out, keys_out, sizes_out, before_out = [], [], [], []
                 for grams in shingles(piece):
                     if not len(grams) or (key := class_key(grams)) in seen:
                         continue
@@ -142,8 +143,9 @@ def _prefixes(ranks):
                     grams_out.append(first)
                     keys_out.append(np.full(len(first), key, np.int64))
                     sizes_out.append(np.full(len(first), len(grams), np.int32))
+                    before_out.append((np.arange(len(first)) * 100 // len(grams)).astype(np.int8))
                 if grams_out:
-                    yield pa.RecordBatch.from_pydict({"gram": np.concatenate(grams_out).view(np.int64), "key": np.concatenate(keys_out), "n": np.concatenate(sizes_out)})
+                    yield pa.RecordBatch.from_pydict({"gram": np.concatenate(grams_out).view(np.int64), "key": np.concatenate(keys_out), "n": np.concatenate(sizes_out), "before": np.concatenate(before_out)})
 
     return run
 
@@ -152,12 +154,15 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by gram and key -> pairs of small regions, pairs of pivot and class of large ones (kind 0), and the classes of large ones (kind 1: gram, key)."""
     names = ["kind", "a", "b"]
 
-    def close(gram: int, keys: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch | None:
+    def close(gram: int, keys: np.ndarray, sizes: np.ndarray, before: np.ndarray) -> pa.RecordBatch | None:
         m = len(keys)
         if m <= PAIRS_UPTO:
             i, j = np.triu_indices(m, 1)
             kinds = np.zeros(len(i), np.int32)
             a, b, kept = keys[i], keys[j], np.minimum(sizes[i], sizes[j]) * DENOMINATOR >= np.maximum(sizes[i], sizes[j]) * NUMERATOR
+            # In the region of the first n-gram that two sets share, all that they share is among what is left of both.
+            left = sizes * (100 - before) // 100
+            kept &= similar(np.minimum(left[i], left[j]), sizes[i], sizes[j])
             kinds, a, b = kinds[kept], a[kept], b[kept]
         else:
             pivots = np.argsort(tb.mix(keys.view(np.uint64)), kind="stable")[:PIVOTS]
@@ -169,22 +174,22 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = np.concatenate([a, np.full(m, gram)]), np.concatenate([b, keys])
         return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(a), pa.array(b)], names=names) if len(a) else None
 
-    rest: tuple[np.ndarray, ...] = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    rest: tuple[np.ndarray, ...] = tuple(np.zeros(0, np.int64) for _ in range(4))
 
-    def emit(grams: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def emit(grams: np.ndarray, keys: np.ndarray, sizes: np.ndarray, before: np.ndarray) -> Iterator[pa.RecordBatch]:
         fresh = np.concatenate([[True], (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1])]) if len(grams) else np.zeros(0, bool)
-        grams, keys, sizes = grams[fresh], keys[fresh], sizes[fresh]
+        grams, keys, sizes, before = grams[fresh], keys[fresh], sizes[fresh].astype(np.int64), before[fresh].astype(np.int64)
         starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
         ends = np.concatenate([starts[1:], [len(grams)]])
         made = []
         for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
-            if (one := close(int(grams[s]), keys[s:e], sizes[s:e].astype(np.int64))) is not None:
+            if (one := close(int(grams[s]), keys[s:e], sizes[s:e], before[s:e])) is not None:
                 made.append(one)
         if made:
             yield from pa.Table.from_batches(made).combine_chunks().to_batches()
 
     for batch in batches:
-        now = [np.concatenate([r, batch.column(c).to_numpy()]) for r, c in zip(rest, ("gram", "key", "n"), strict=True)]
+        now = [np.concatenate([r, batch.column(c).to_numpy()]) for r, c in zip(rest, ("gram", "key", "n", "before"), strict=True)]
         if not len(now[0]):
             continue
         cut = int(np.searchsorted(now[0], now[0][-1]))  # the last region may go on
@@ -363,7 +368,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         order[r["slice"]] = np.frombuffer(r["ranks"], np.uint8)
     ranks = spark.sparkContext.broadcast(order.ravel())
 
-    filed = shaped.select("_text").mapInArrow(_prefixes(ranks), "gram long, key long, n int")
+    filed = shaped.select("_text").mapInArrow(_prefixes(ranks), "gram long, key long, n int, before byte")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     regions = stage(filed.repartition(partitions, "gram").sortWithinPartitions("gram", "key").mapInArrow(_regions, "kind int, a long, b long"), "regions")
     large = regions.filter("kind = 1").select(F.col("a").alias("gram"), F.col("b").alias("key"))
