@@ -88,6 +88,7 @@ def ordinal_date(c: Column, exact: bool = False) -> Column:
 
 def era_label(c: Column) -> Column:
     year = F.year(c)
+    # The three label texts.
     return (
         F.when(year < 1900, "19th century and earlier").when(year < 2000, "20th century").otherwise("21th century")
     )

@@ -107,6 +107,17 @@ def threshold_alerts(df: DataFrame, thresholds: DataFrame, key: str, value: str)
     return joined.withColumn("alert", text).filter("alert IS NOT NULL").select(key, "alert")
 
 
+def score_alerts(scores: DataFrame, thresholds: DataFrame, key: str = "risk", score: str = "score") -> DataFrame:
+    """Text for every score above the upper threshold of its key; keys without one never fire.
+
+    There may be as many thresholds as scores, so the join is left to adaptive execution.
+    """
+    limits = thresholds.filter("upper IS NOT NULL").select(F.col(key).alias("_key"), "upper")
+    above = scores.join(limits, (F.col(key) == F.col("_key")) & (F.col(score) > F.col("upper")))
+    text = F.format_string("%s score (%d) exceeds the threshold (%d)", F.col(key).cast("string"), F.col(score), F.col("upper"))
+    return above.select(key, text.alias("alert"))
+
+
 def backtest(returns: DataFrame, breaches: DataFrame, weight: float, reduced: float) -> DataFrame:
     """Portfolio return per day with reduced weights on days of a breach; a day lacking a return gives null."""
     daily = returns.groupBy("day").agg(

@@ -27,6 +27,18 @@ def csv_permissive_scan(t):
     return scan.withColumn("is_corrupt", F.col(files.CORRUPT).isNotNull()).drop(files.CORRUPT)
 
 
+@query("csv_inferred_scan", """
+    SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
+           'int,string,double,int' AS found_types FROM orders""")
+def csv_inferred_scan(t):
+    path = scratch_path(t.spark, "orders-csv")
+    customer = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    files.write_csv(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", customer.alias("o_custkey")), path)
+    scan = files.read_csv_inferred(t.spark, path)
+    types = ",".join("int" if kind == "bigint" else kind for _, kind in scan.dtypes)
+    return scan.withColumns({c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")}).withColumn("found_types", F.lit(types))
+
+
 @query("headerless_tsv_scan", "SELECT n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation")
 def headerless_tsv_scan(t):
     path = scratch_path(t.spark, "nation-tsv")

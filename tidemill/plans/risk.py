@@ -130,6 +130,20 @@ def threshold_alerts(t):
     return R.threshold_alerts(latest_returns(t), thresholds, "ticker", "ret")
 
 
+def score_limits(orders):
+    """Upper score of an order's risk by its status; orders in progress have none."""
+    upper = F.when(F.col("o_orderstatus") == "O", 12).when(F.col("o_orderstatus") == "F", 16)
+    return orders.select(F.col("o_orderkey").alias("risk"), upper.alias("upper"))
+
+
+@query("score_alerts", f"""
+    WITH s AS (SELECT risk, {_score_sql()} AS score, CASE o_orderstatus WHEN 'O' THEN 12 WHEN 'F' THEN 16 END AS upper FROM ({_RISKS_SQL}))
+    SELECT risk, printf('%d score (%d) exceeds the threshold (%d)', risk, score, upper) AS alert FROM s WHERE score > upper""")
+def score_alerts(t):
+    scores = R.risk_score(order_risks(t.orders)).select("risk", "score")
+    return R.score_alerts(scores, score_limits(t.orders))
+
+
 _UPPER_SCORE = 12
 
 

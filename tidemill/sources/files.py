@@ -1,4 +1,4 @@
-"""File sources and sinks with explicit schemas."""
+"""File sources and sinks, with explicit schemas unless inference is asked for."""
 
 from __future__ import annotations
 
@@ -16,6 +16,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, corrupt_col:
     return reader.options(**{"header": True, **options}).csv(path)
 
 
+def read_csv_inferred(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Permissive CSV scan whose column types are found by one more pass over the files."""
+    return spark.read.options(**{"header": True, "inferSchema": True, "mode": "PERMISSIVE", **options}).csv(path)
+
+
 def read_headerless(spark: SparkSession, path: str, names: list[str], keep: dict[int, str], sep: str = "\t") -> DataFrame:
     """Delimited scan without a header row: only the columns at the given places, renamed."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
