@@ -228,6 +228,35 @@ def test_repeats_in_crowded_anchors(spark, monkeypatch, runs):
     same_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_common_prefixes_behind_long_ties():
+    """Passages of 140 to 170 shared bytes with different tails, the earlier ones with the larger tail as well."""
+    rng = np.random.default_rng(5)
+    slices = []
+    for size in rng.integers(140, 171, 60):
+        passage = bytes(rng.integers(97, 101, size).astype(np.uint8))
+        slices += [passage + bytes(rng.integers(97, 101, 276 - size).astype(np.uint8)) for _ in range(4)]
+    slices = [slices[i] for i in rng.permutation(len(slices))]
+    text = np.frombuffer(b"".join(slices), np.uint8)
+    lengths = np.array([len(s) for s in slices])
+    order, place = suffixes.suffix_array(text, suffixes.WINDOW)
+    got = suffixes.common_prefixes(text, order, place, np.cumsum(lengths) - lengths, lengths, suffixes.WINDOW)
+    raw = text.tobytes()
+    for at in range(1, len(order)):
+        a, b = raw[order[at - 1]:][:suffixes.WINDOW], raw[order[at]:][:suffixes.WINDOW]
+        assert got[at] == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    counts = lengths - suffixes.WINDOW + 1
+    docs, windows = suffixes.repeated_windows(slices, np.arange(len(slices)), np.zeros(len(slices), np.int64), counts)
+    seen, want = set(), set()
+    for doc, part in enumerate(slices):
+        for i in range(len(part) - suffixes.WINDOW + 1):
+            window = part[i:i + suffixes.WINDOW]
+            if window in seen:
+                want.add((doc, i))
+            seen.add(window)
+    assert set(zip(docs.tolist(), windows.tolist(), strict=True)) == want
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(9)
     text = np.concatenate([rng.integers(97, 99, 300), rng.integers(97, 99, 40).repeat(3), np.full(150, 97)]).astype(np.uint8)

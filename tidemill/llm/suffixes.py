@@ -190,25 +190,28 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, place: np.ndarray, star
     """Common prefix of each suffix with the one before it in order, up to ``most`` bytes, by Kasai's walk.
 
     A prefix shrinks by at most one byte from a suffix to the next, so each walk along a string compares only
-    what is new; the strings of the shard (``starts``, ``lengths``) are walked side by side.
+    what is new; the strings of the shard (``starts``, ``lengths``) are walked side by side. That holds as long as
+    what follows the two suffixes has their order. Ties of ``order`` stand in order of position, so it may not, and
+    then the walk compares from the first byte on.
     """
     out = np.zeros(len(text), np.int64)
     padded = np.concatenate([text.astype(np.int16), np.full(most + 1, -1, np.int16)])
     by_length = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[by_length], lengths[by_length]
-    have = np.zeros(len(starts), np.int64)
+    have, last = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)  # prefix and neighbour one step ago
     for step in range(int(lengths.max(initial=0))):
         live = int(np.searchsorted(-lengths, -step, "left"))
         here = starts[:live] + step
         at = place[here]
         other = order[np.maximum(at - 1, 0)]
-        h = np.where(at > 0, np.maximum(have[:live] - 1, 0), 0)
+        ordered = place[np.minimum(last[:live] + 1, len(text) - 1)] < at
+        h = np.where((at > 0) & ordered, np.maximum(have[:live] - 1, 0), 0)
         going = np.flatnonzero(at > 0)
         while len(going):
             going = going[h[going] < most]
             going = going[padded[here[going] + h[going]] == padded[other[going] + h[going]]]
             h[going] += 1
-        have[:live] = h
+        have[:live], last[:live] = h, other
         out[at] = h
     return out
 
