@@ -447,6 +447,15 @@ def test_scores_against_plain_counts(spark, odd_docs):
     assert ngram_lm.score_documents(df.limit(3), F.lit(True)).count() == 3
 
 
+def test_filter_is_sized_from_its_entries(spark):
+    """No level is left out to fit a bound."""
+    keys, counts = np.sort(tb.mix(np.arange(1, 5001, dtype=np.uint64))), np.ones(5000, np.int64)
+    rows = spark.createDataFrame([(2, 0, keys[keys >> np.uint64(63) == 0].tobytes(), counts[keys >> np.uint64(63) == 0].tobytes(), 0, [0, 2500])], ngram_lm.SUMMED)
+    with pytest.raises(ValueError):
+        ngram_lm._build(rows, 2, 1, 1 << 14)
+    assert all(ngram_lm._size(n) >= n * ngram_lm.BITS_PER_ENTRY for n in (0, 1, 10**6, 10**10, 10**13))
+
+
 def test_filter_levels_never_too_low(spark):
     keys = tb.mix(np.arange(1, 5001, dtype=np.uint64))
     counts = np.arange(1, 5001)
