@@ -447,6 +447,33 @@ def test_scores_against_plain_counts(spark, odd_docs):
     assert ngram_lm.score_documents(df.limit(3), F.lit(True)).count() == 3
 
 
+def test_pairs_met_once_count(spark, monkeypatch):
+    """Every pair is met once in training; known text beats the same words in another order, over many chunks."""
+    monkeypatch.setattr(ngram_lm, "CHUNK_TOKENS", 500, raising=False)
+    rng = np.random.default_rng(11)
+    train = [(i, " ".join(f"w{x}" for x in rng.permutation(2000)[:200])) for i in range(0, 40, 2)]
+    mixed = [(i + 1, " ".join(sorted(text.split()))) for i, text in train]
+    df = spark.createDataFrame(train + mixed, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in ngram_lm.score_documents(df, F.col("doc_id") % 2 == 1).collect()}
+    assert len(got) == 40
+    counts = Counter(w for _, text in train for w in [*text.split(), "\n"])
+    pairs = Counter(p for _, text in train for p in zip(["\n", *text.split()], [*text.split(), "\n"], strict=True))
+    total = sum(counts.values())
+    unit = total + 0.5 * (len(counts) + 1)
+    assert sorted(pairs.values())[len(pairs) // 2] == 1
+    mean = lambda c: ngram_lm.MEAN[ngram_lm.level_of(np.array([c]))[0]] if c else 0.0
+    for doc, text in train + mixed:
+        before, score = "\n", 0.0
+        for word in [*text.split(), "\n"]:
+            c = mean(counts[before])
+            score += math.log10((min(mean(pairs[before, word]), c) + ngram_lm.MU * (mean(counts[word]) + 0.5) / unit) / (c + ngram_lm.MU))
+            before = word
+        # A false positive of the filter moves one term.
+        assert got[doc]["score"] == pytest.approx(score, rel=0.02)
+    for doc, _ in train:
+        assert got[doc]["score"] > got[doc + 1]["score"]
+
+
 def test_filter_is_sized_from_its_entries(spark):
     """No level is left out to fit a bound."""
     keys, counts = np.sort(tb.mix(np.arange(1, 5001, dtype=np.uint64))), np.ones(5000, np.int64)

@@ -4,7 +4,7 @@ Documents are put together to chunks. A chunk's distinct words and pairs of word
 training documents, in slices of the hash range, so a shuffled row holds many of them. A slice adds up the counts and
 stores a count c as its level 1 + floor(log_b c): its filter gets the n-gram once for each level up to its own, and
 reading probes one level after the other until one is missing. A filter is sized from the number of its entries
-alone and holds what is stored at every level. The slice then reads the n-grams of each chunk and sends the levels back.
+alone and holds every n-gram at every level. The slice then reads the n-grams of each chunk and sends the levels back.
 So a task holds one slice or one chunk at a time, and the driver holds sums.
 
 P(w | v) = (c(v, w) + MU * P(w)) / (c(v) + MU), with P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)), c from the filter.
@@ -27,8 +27,6 @@ BASE = 1.5
 PROBES = 4
 BITS_PER_ENTRY = 12
 MU = 200.0
-#: Pairs met once are not stored.
-LEAST_PAIR = 2
 #: Tokens from which a chunk of documents is closed.
 CHUNK_TOKENS = 1 << 19
 #: N-grams of a slice that are added up or looked up at once.
@@ -225,8 +223,6 @@ def _answer(slice_bits: int):
             if len(parts) > 1 and sum(len(k) for k, _ in parts) > HELD:
                 parts = [_merged(parts)]
         keys, exact = _merged(parts)
-        if kind == 2:
-            keys, exact = keys[exact >= LEAST_PAIR], exact[exact >= LEAST_PAIR]
         size = _size(int(level_of(exact).sum()))
         stored = Filter(_filled(keys, exact, slice_bits, size), slice_bits, size, part)
         yield batch_of([(-1, kind, part, None, None, int(exact.sum()), len(keys))])
