@@ -524,6 +524,19 @@ def test_main_text_of_a_mixed_page(spark, odd_docs):
     assert maintext.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_main_text_by_counts_and_neighbours(spark):
+    """Wrappers named like boilerplate, titles in a named header, pages without an article, text outside it."""
+    text = lambda n, word="text": " ".join([word] * n)
+    wrapped = f"<div class='layout has-sidebar'><article><header class='entry-header'><h1>The title</h1></header><p>{text(60)}</p><p>{text(45)}</p></article><div class='sidebar'><p>{text(12, 'more')}</p></div></div>"
+    plain = f"<div><ul><li><a href='/'>Home</a><li><a href='/n'>News</a></ul></div><h1>The title</h1><div>{text(80)}</div><div>{text(50)}</div><div>All rights reserved by the owner of this page.</div>"
+    outside = f"<article class='teaser'><h2>Teaser</h2><p>{text(9)}</p></article><div><p>{text(120)}</p><p>{text(70)}</p></div><aside><p>{text(20, 'more')}</p></aside>"
+    df = spark.createDataFrame([(1, "u", wrapped), (2, "u", plain), (3, "u", outside)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"].split("\n") for r in maintext.extract_main_text(df).collect()}
+    assert got[1] == ["The title", text(60), text(45)]
+    assert got[2] == ["The title", text(80), text(50)]
+    assert got[3] == ["Teaser", text(9), text(120), text(70)]
+
+
 # --- op10
 
 

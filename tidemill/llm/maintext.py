@@ -1,16 +1,20 @@
 """Main text of HTML pages: flat text blocks, classified by a decision tree over each block and its neighbours.
 
 A page is cut into blocks at block-level tags. Each block carries its word count, its link density (share of
-words inside links), both figures of the block before and after it, and what encloses it. A decision tree,
-fitted with Spark ML on the small labelled table below, marks blocks as main text; the fitted tree is a plain
-nested tuple that is sent to the tasks. Pages are handled row by row, so no page meets another one.
+words inside links), both figures of the block before and after it, and what encloses it: the tags and class names
+that boilerplate has, with the share of the page's words inside the innermost such element, since a name on the
+frame of a whole page says little. A decision tree, fitted with Spark ML on the blocks of the labelled pages below,
+marks blocks as main text; the fitted tree is a plain nested tuple that is sent to the tasks. Pages are handled row
+by row, so no page meets another one.
 """
 
 from __future__ import annotations
 
 import html
+import random
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -44,21 +48,58 @@ STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
-FEATURES = ["words", "link_share", "words_before", "link_before", "words_after", "link_after", "in_boiler", "in_main", "has_main"]
-#: Words and link density of labelled blocks, and figures of the blocks around them (words and link density before, after).
-_BLOCKS = [(1, 0.0), (3, 0.0), (7, 0.0), (13, 0.0), (17, 0.0), (28, 0.0), (45, 0.0), (65, 0.0), (110, 0.0), (220, 0.0), (9, 0.2), (50, 0.3), (15, 0.7), (25, 0.8), (4, 1.0)]
-_AROUND = [(0, 0.0, 12, 0.0), (8, 0.0, 55, 0.0), (100, 0.0, 0, 0.0), (3, 1.0, 5, 1.0)]
-#: Where they stand (inside boilerplate, inside the article, on a page with an article): main text always, never, or if mostly unlinked.
-_PLACES = {(0, 1, 1): "always", (1, 0, 1): "never", (1, 1, 1): "never", (1, 0, 0): "never", (0, 0, 1): "never", (0, 0, 0): "unlinked"}
-LABELLED = [
-    (*block, *around, *place, int(kind == "always" or kind == "unlinked" and block[1] < 0.5))
-    for place, kind in _PLACES.items() for block in _BLOCKS for around in _AROUND
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th blockquote pre figcaption caption summary".split())
+
+FEATURES = [
+    "words", "link_share", "words_before", "link_before", "words_after", "link_after", "in_tag", "in_name", "inner_share", "outer_share", "in_main",
+    "has_main", "in_h1", "in_text",
 ]
+#: Labelled pages: layouts with places for main text (H heading, P paragraph, s short piece, M text with links) and for other
+#: text (L links, b a few words, B a notice, C a comment as long as a paragraph). Neighbours are those on the page.
+LAYOUTS = (
+    "<nav><ul><li>{L}<li>{L}<li>{L}</ul></nav><div class=ad>{B}</div><article><h1>{H}</h1><p>{P}<p>{s}<p>{P}<ul><li>{s}<li>{M}</ul></article><footer>{B}</footer>",
+    "<header><h1>{b}</h1></header><main><article><h1>{H}</h1><p>{P}<p>{M}<table><tr><td>{s}<td>{s}</table><form><label>{b}</label></form><aside>{B}</aside></article>"
+    "<section id=comments><h2>{b}</h2><p>{C}<p>{B}<p>{C}</section></main><div id=sidebar><p>{B}</div><div class=ad>{b}</div><footer>{B}</footer>",
+    "<article><p>{s}</article><footer>{b}</footer>",
+    "<div class='cookie-notice'>{B}</div><main><h1>{H}</h1><p>{P}<h2>{H}</h2><p>{s}<p>{P}</main><div>{B}</div><div>{b}</div>",
+    "<div class='layout has-sidebar'><nav>{L}{L}</nav><article><header class='entry-header'><h1>{H}</h1><div class='share'>{L}</div></header><p>{P}<p>{P}<p>{s}<p>{P}"
+    "<div class='related'><h3>{b}</h3><p>{L}<p>{B}</div></article><div class=sidebar><h3>{b}</h3><p>{B}<ul><li>{L}<li>{L}</ul></div></div><div class=footer>{B}</div>",
+    "<form id='page-form'><div class='header'>{b}<ul><li>{L}<li>{L}</ul></div><article><h1>{H}</h1><p>{P}<div>{P}</div><p>{M}</article><div class=footer>{b}</div></form>",
+    "<article><header class='post header'><h1>{H}</h1><p>{b}</p></header><p>{P}<p>{P}<ul><li>{L}<li>{L}</ul></article><div id=comments><article><p>{C}</article><article><p>{B}</article></div>",
+    "<article class='teaser'><h2>{H}</h2><p>{s}</article><div><p>{P}<p>{P}<p>{P}</div><aside><article><p>{B}</article></aside><div>{b}</div><div>{L}</div>",
+    "<div><ul><li>{L}<li>{L}<li>{L}</ul></div><h1>{H}</h1><p>{P}<p>{s}<p>{M}<p>{P}<div>{B}</div><div>{L}</div>",
+    "<div>{L}</div><div>{b}</div><h1>{H}</h1><div>{P}</div><div>{P}</div><div>{P}</div><div>{B}</div>",
+    "<div>{b}</div><div>{L}</div><div><p>{P}<p>{P}<h2>{H}</h2><p>{P}</div><div>{B}</div>",
+    "<div class='layout has-sidebar'><ul><li>{L}<li>{L}</ul><h1>{H}</h1><p>{P}<p>{P}<p>{s}<p>{P}<div class=sidebar><p>{B}<p>{L}</div></div><div>{b}</div>",
+    "<div class='main-header'><h1>{b}</h1><p>{b}</div><p>{P}<p>{P}<h3>{H}</h3><p>{s}<p>{P}<div class='comments'><p>{C}<p>{B}<p>{C}</div><div class='copyright'>{b}</div>",
+    "<nav>{b}</nav><p>{s}</p>{P}", "<nav>{L}</nav><p>{s}<p>{s}<footer>{b}</footer>", "<p>{s}", "<p>{P}", "<div>{s}</div>", "{s}", "<h1>{H}</h1><p>{s}<p>{P}", "<nav>{L}</nav>", "<footer>{B}</footer>",
+)
+_SIZES = {"H": (1, 14), "P": (30, 220), "s": (1, 29), "M": (8, 90), "L": (1, 8), "b": (1, 8), "B": (4, 26), "C": (20, 110)}
+
+
+def labelled_pages(draws: int = 40) -> list[str]:
+    """Every layout with texts of several lengths; main text starts with ``main`` and other text with ``other``."""
+    rng = random.Random(7)
+
+    def text(place: re.Match) -> str:
+        kind = place[1]
+        first, n = "main" if kind in "HPsM" else "other", rng.randint(*_SIZES[kind])
+        if kind == "L":
+            return "<a href='/x'>" + " ".join([first, *["w"] * (n - 1)]) + "</a>"
+        linked = rng.randint(0, n // 2 - 1) if kind == "M" else 0
+        return " ".join([first, *["w"] * (n - 1 - linked)]) + (" <a href='/x'>" + " ".join(["w"] * linked) + "</a>" if linked else "")
+
+    return [re.sub(r"\{(\w)\}", text, layout) for layout in LAYOUTS for _ in range(draws)]
 
 
-def fit_tree(spark: SparkSession, labelled=LABELLED, depth: int = 5) -> tuple:
+def labelled_blocks() -> list[tuple]:
+    """Features and label of every block of the labelled pages."""
+    return [(*x, int(b.text.startswith("main"))) for page in labelled_pages() for blocks in [text_blocks(page)] for b, x in zip(blocks, features(blocks), strict=True)]
+
+
+def fit_tree(spark: SparkSession, labelled: list[tuple] | None = None, depth: int = 10) -> tuple:
     """Fit the tree on labelled blocks; a leaf is (label,), a branch (feature, threshold, left, right)."""
-    table = spark.createDataFrame([tuple(float(v) for v in row) for row in labelled], [*FEATURES, "label"])
+    table = spark.createDataFrame([tuple(float(v) for v in row) for row in labelled or labelled_blocks()], [*FEATURES, "label"])
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).coalesce(1)
     model = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=1, seed=7).fit(rows)
 
@@ -77,44 +118,70 @@ def is_main(tree: tuple, x: tuple) -> bool:
     return tree[0] == 1
 
 
-def _boiler(tag: str, attributes: str, in_main: bool) -> bool:
+def _boiler(tag: str, attributes: str, in_main: bool) -> int:
+    """What an element says of its contents: 2 by tag or role, 1 by a name, 0 nothing."""
     if tag in BOILER_TAGS or tag == "header" and not in_main:
-        return True
+        return 2
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    named = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "")
         name = name.lower()
-        if name in ("class", "id") and BOILER_NAMES.search(value) or name == "role" and value.lower() in BOILER_ROLES:
-            return True
-    return False
+        if name == "role" and value.lower() in BOILER_ROLES:
+            return 2
+        named |= name in ("class", "id") and BOILER_NAMES.search(value) is not None
+    return int(named)
+
 
+class Block(NamedTuple):
+    text: str
+    words: int
+    linked: int  # words inside links
+    in_tag: bool  # inside an element that is boilerplate by its tag, which itself is inside the article if there is one
+    in_name: bool  # the same by a name
+    inner: float  # share of the page's words inside the innermost of these elements, 1 without
+    outer: float  # the same of the innermost such element around the article
+    main: bool  # inside the article
+    h1: bool
+    text_tag: bool  # inside a paragraph, heading, list item or the like
 
-def text_blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """Blocks in page order: text, words, words inside links, inside boilerplate, inside the article."""
-    out: list[tuple[str, int, int, bool, bool]] = []
+
+def text_blocks(page: str) -> list[Block]:
+    """Blocks in page order."""
+    out: list[tuple] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, hidden
-    boiler = main = hidden = links = 0
+    stack: list[tuple[str, int, bool]] = []  # tag, boilerplate, hidden
+    marks: list[tuple[int, int]] = []  # open boilerplate elements: number, kind
+    sizes: list[int] = []  # words inside each of them, by number
+    main = hidden = links = h1 = in_text = floor = 0
 
     def close_block():
         if parts:
             if words := html.unescape("".join(parts)).split():
                 inside = len(html.unescape(" ".join(linked)).split()) if linked else 0
-                out.append((" ".join(words), len(words), min(inside, len(words)), boiler > 0, main > 0))
+                for number, _ in marks:
+                    sizes[number] += len(words)
+                within = floor if main else 0
+                inner, outer = marks[within:], marks[:within]
+                kinds = {kind for _, kind in inner}
+                out.append((" ".join(words), len(words), min(inside, len(words)), 2 in kinds, 1 in kinds, inner[-1][0] if inner else -1, outer[-1][0] if outer else -1, main > 0, h1 > 0, in_text > 0))
             parts.clear()
             linked.clear()
 
     def leave(n: int):
         """Close the open elements from place n on."""
-        nonlocal boiler, main, hidden, links
+        nonlocal main, hidden, links, h1, in_text
         while len(stack) > n:
             tag, bad, unseen = stack.pop()
             if tag in BLOCK:
                 close_block()
-            boiler -= bad
+            if bad:
+                marks.pop()
             hidden -= unseen
+            h1 -= tag == "h1"
+            in_text -= tag in TEXT_TAGS
             main -= tag in MAIN_TAGS
             links -= tag == "a"
 
@@ -169,23 +236,35 @@ def text_blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if found[3].rstrip().endswith("/") and tag not in BLOCK:
             continue
         stack.append((tag, bad, unseen))
-        boiler += bad
+        if tag in MAIN_TAGS and not main:
+            floor = len(marks)
+        if bad:
+            marks.append((len(sizes), bad))
+            sizes.append(0)
         hidden += unseen
+        h1 += tag == "h1"
+        in_text += tag in TEXT_TAGS
         main += tag in MAIN_TAGS
         links += tag == "a"
     leave(0)
     close_block()
-    return out
+    total = sum(b[1] for b in out)
+    share = lambda number: 1.0 if number < 0 else sizes[number] / total
+    return [Block(*b[:5], share(b[5]), share(b[6]), *b[7:]) for b in out]
+
+
+def features(blocks: list[Block]) -> Iterator[tuple]:
+    """The figures of each block, in the order of ``FEATURES``."""
+    has_main = any(b.main and not b.in_tag and not b.in_name for b in blocks)
+    figures = [(0, 0.0), *[(b.words, b.linked / b.words) for b in blocks], (0, 0.0)]
+    for i, b in enumerate(blocks):
+        yield (*figures[i + 1], *figures[i], *figures[i + 2], float(b.in_tag), float(b.in_name), b.inner, b.outer, float(b.main), float(has_main), float(b.h1), float(b.text_tag))
 
 
 def main_text(page: str | None, tree: tuple) -> str:
     """The blocks that the tree takes as main text, joined by line feeds."""
     blocks = text_blocks(page or "")
-    has_main = any(b[4] and not b[3] for b in blocks)
-    figures = [(0, 0.0), *[(b[1], b[2] / b[1]) for b in blocks], (0, 0.0)]
-    return "\n".join(
-        b[0] for i, b in enumerate(blocks) if is_main(tree, (*figures[i + 1], *figures[i], *figures[i + 2], float(b[3]), float(b[4]), float(has_main)))
-    )
+    return "\n".join(b.text for b, x in zip(blocks, features(blocks), strict=True) if is_main(tree, x))
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", out: str = "text", tree: tuple | None = None) -> DataFrame:
