@@ -405,6 +405,19 @@ def test_remove_spans():
     assert decontam.remove_spans("One, two; three four.", [(1, 3)]) == "One,  four."
 
 
+@pytest.mark.parametrize("size", [4_000_000, 30])
+def test_cut_matches(spark, size):
+    items = spark.createDataFrame([("i1", " ".join(f"q{i}" for i in range(13))), ("i2", "alpha beta gamma")], "item_id string, text string")
+    long, quote = " ".join(f"w{i}" for i in range(400)), " ".join(f"Q{i}" for i in range(13))
+    rows = [(1, f"{long}. {quote}! {long}", 5), (1, long, 6), (2, quote, 7), (None, f"{long} Alpha, beta gamma; {long}", 8), (3, None, 9), (4, "", 10), (5, "alpha beta " + long, 11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `odd name` int")
+    out = decontam.cut_matches(df, items, chunk_chars=size)
+    assert out.columns == df.columns
+    got = {r["odd name"]: (r["doc_id"], r["text"]) for r in out.collect()}
+    assert got == {5: (1, f"{long}. ! {long}"), 6: (1, long), 8: (None, f"{long} ; {long}"), 9: (3, None), 10: (4, ""), 11: (5, "alpha beta " + long)}
+    assert decontam.cut_matches(df.limit(0), items).count() == 0 and decontam.cut_matches(df, items.limit(0)).count() == 7
+
+
 def test_automaton_tracks_longest_match():
     rng = np.random.default_rng(4)
     items = [(str(i), rng.integers(1, 4, rng.integers(1, 12)).astype(np.uint64)) for i in range(12)]

@@ -245,6 +245,31 @@ def remove_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, piece.data[at:].tobytes()]).decode()
 
 
+def cut_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = 13, share: int = 20, **names) -> DataFrame:
+    """Drop contaminated documents and cut the hit spans out of all others; other columns stay as they are.
+
+    A span goes from the first to the last word of windows that overlap or touch, so it has ``window`` words or a
+    whole shorter item at least; a document where spans cover one of ``share`` words or more goes as a whole. Each
+    row is judged by its own text, also where ids are repeated or null. Null texts stay null.
+    """
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    whole = docs.select(row.alias("_doc"), F.col(f"`{text_col}`").alias("_text"))
+    found = find_matches(whole, items, "_doc", "_text", window=window, **names).filter(~contaminated(share))
+    text = F.col(f"_id.c{docs.columns.index(text_col)}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                remove_spans(t, [(s["first"], s["past"]) for s in spans]) if spans else t
+                for t, spans in zip(batch.column("_text").to_pylist(), batch.column("spans").to_pylist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(texts, pa.string())], names=["_id", "_text"])
+
+    kind = whole.schema["_doc"].dataType.simpleString()
+    cut = found.select("_id", text.alias("_text"), "spans").mapInArrow(run, f"_id {kind}, _text string")
+    return cut.select(*[F.col("_text" if c == text_col else f"_id.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def items_digest(names="items") -> F.Column:
     return F.sha2(F.concat_ws(",", F.array_sort(F.col(names))), 256)
 
