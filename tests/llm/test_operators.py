@@ -182,6 +182,17 @@ def test_keep_one_of_each(spark, odd_docs):
     assert 8 not in kept
 
 
+def test_keep_one_of_each_with_repeated_ids(spark):
+    """One id with a near copy and a unique text, rows that repeat id and text, null texts."""
+    text = lambda word: " ".join(f"{word}{i}" for i in range(40))
+    rows = [(1, text("a"), 0), (2, text("a") + " more", 1), (2, text("b"), 2), (3, text("c"), 3), (3, text("c"), 4), (4, None, 5), (4, None, 6), (None, text("d"), 7), (None, text("d"), 8), (5, text("e"), 9), (5, text("e"), 10), (4, text("e"), 11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    out = jaccard.keep_one_of_each(df)
+    assert out.columns == df.columns
+    got = sorted([(r["doc_id"] or 0, r["text"] or "") for r in out.collect()])
+    assert got == sorted([(1, text("a")), (2, text("b")), (3, text("c")), (4, ""), (0, text("d")), (0, text("d")), (4, text("e"))])
+
+
 # --- op2
 
 
@@ -385,6 +396,13 @@ def test_lines_against_brute_force(spark, odd_docs):
     assert lines.drop_repeated_lines(odd_docs.limit(0)).count() == 0
 
 
+def test_lines_of_several_texts_under_one_id(spark):
+    line = lambda word, n=8: " ".join(f"{word}{i}" for i in range(n))
+    rows = [(1, line("a")), (2, f"{line('a')}\n{line('b')}"), (2, f"{line('c')}\n{line('d')}"), (3, line("d")), (4, line("e")), (4, line("e")), (None, line("a")), (5, None), (5, line("f"))]
+    got = sorted((r["doc_id"] or 0, r["text"] or "", r["n_removed"]) for r in lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).collect())
+    assert got == sorted([(1, line("a"), 0), (2, line("b"), 1), (2, f"{line('c')}\n{line('d')}", 0), (3, "", 1), (4, line("e"), 0), (4, line("e"), 0), (0, line("a"), 0), (5, "", 0), (5, line("f"), 0)])
+
+
 # --- op7
 
 

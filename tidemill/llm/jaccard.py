@@ -420,7 +420,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the smallest id of each component; rows with a null id, and all columns, stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """``docs`` with the smallest id of each component; rows with a null id, and all columns, stay.
+
+    Rows are judged by id and text, so of different texts under one id each has its own component and only copies
+    go. Of rows that repeat both, one stays.
+    """
+    key = lambda: F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.md5(F.col(text_col).cast("binary")).alias("digest")))
+    found = near_duplicates(docs.select(key().alias("_key"), F.col(text_col).alias("_text")), "_key", "_text").filter("_key IS NOT NULL")
+    # A component is named by its smallest id and text. A null text has no digest but equals itself.
+    judged = found.groupBy("_key").agg(F.first(F.col("_key") != F.col("component_id")).alias("gone"), F.count(F.lit(1)).alias("n"))
+    judged = stage(judged.filter("gone OR n > 1").select(F.col("_key.id").alias("_judged_id"), F.col("_key.digest").alias("_judged_digest"), "gone"), "judged")
+    same = (F.col(id_col) == F.col("_judged_id")) & F.md5(F.col(text_col).cast("binary")).eqNullSafe(F.col("_judged_digest"))
+    kept = docs.join(judged, same, "left_anti")
+    repeated = judged.filter("NOT gone")
+    if repeated.isEmpty():
+        return kept
+    ones = docs.join(repeated, same, "left_semi").withColumn("_judged_digest", F.md5(F.col(text_col).cast("binary")))
+    return kept.unionAll(ones.dropDuplicates([id_col, "_judged_digest"]).drop("_judged_digest"))

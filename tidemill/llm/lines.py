@@ -128,10 +128,16 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Earlier is a smaller id, or a smaller line number in the same document; all lines are judged on the input. Lines
     of fewer than ``min_words`` words stay. Lines end at line feeds; the kept ones are joined by line feeds again.
     Null texts stay null, an empty text is one line without words. Rows with a null id stay as they are and do not
-    count. An id stands for one text: rows that repeat it lose the same lines. Other columns stay as they are.
+    count. Rows that repeat an id with its text lose the same lines; different texts under one id are documents of
+    their own, in the order of their hashes. Other columns stay as they are.
     """
-    gone = stage(repeated_lines(docs.select(id_col, text_col), id_col, text_col, min_words), "gone").withColumnsRenamed({"doc": "_doc", "gone": "_gone"})
-    joined = docs.join(_small(gone, F.size("_gone")), F.col(id_col) == F.col("_doc"), "left")
+    digest = F.xxhash64(text_col)
+    several = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(digest).alias("lo"), F.max(digest).alias("hi")).filter("lo <> hi")
+    # Only where an id has several texts must the key tell them apart.
+    key = F.col(id_col) if several.isEmpty() else F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), digest.alias("digest")))
+    keyed = docs.select(key.alias("_key"), F.col(text_col).alias("_text"))
+    gone = stage(repeated_lines(keyed, "_key", "_text", min_words), "gone").withColumnsRenamed({"doc": "_doc", "gone": "_gone"})
+    joined = docs.join(_small(gone, F.size("_gone")), key == F.col("_doc"), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
