@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontam, jaccard, lines, maintext, mixing, ngram_lm, quality, suffixes, topk, urls
+from tidemill.llm import decontam, hamming, jaccard, lines, maintext, middle, mixing, ngram_lm, quality, resample, suffixes, topk, urls
 
 # Host, path and verdict of the rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -74,6 +74,26 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "place")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rewritten for fill-in-the-middle training, and restored, as digests."""
+    made = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(middle.restored(F.col("form"), F.col("output"))).alias("restored_sha256"),
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark texts, and the ranks of the 5 % drawn."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at a Jaccard similarity of 0.85 of five-word shingles."""
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over documents."""
     import corpus_pipeline
@@ -82,7 +102,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_exact_top_k, op4_quality_classifier, op5_url_filters, op6_line_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_html_extraction, op10_source_mixing, pipeline,
+    op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_exact_top_k, op4_quality_classifier, op5_url_filters, op6_line_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_html_extraction, op10_source_mixing,
+    op11_fill_in_middle, op12_importance_resampling, op13_minhash_near_dedup, pipeline,
 )}
 
 _TOPK_SQL = """
@@ -157,4 +178,24 @@ _DECONTAM_SQL = f"""
     FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
 """
 
-SQL = {"op3_exact_top_k": _TOPK_SQL, "op5_url_filters": _URL_SQL, "op6_line_dedup": _LINES_SQL, "op7_benchmark_decontamination": _DECONTAM_SQL}
+_FIM_SQL = r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t,
+               sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+    ), u AS (
+        SELECT *, len(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+               ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d
+    ), c AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u
+    ), p AS (
+        SELECT doc_id, text, n, form, array_to_string(t[1:lo], '') AS pre, array_to_string(t[lo + 1:hi], '') AS mid, array_to_string(t[hi + 1:], '') AS suf FROM c
+    )
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(text) AS restored_sha256 FROM p
+"""
+
+SQL = {"op11_fill_in_middle": _FIM_SQL, "op3_exact_top_k": _TOPK_SQL, "op5_url_filters": _URL_SQL, "op6_line_dedup": _LINES_SQL, "op7_benchmark_decontamination": _DECONTAM_SQL}
