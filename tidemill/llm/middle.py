@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,8 +114,8 @@ def _rewrite(percent: int, suffix_first: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_id").slice(piece.first, len(piece)), pa.array(n, pa.int64()), pa.array(forms, pa.string()),
-                        pa.compute.if_else(plain, none, pa.array(points[begin] - points[piece.offsets[:-1]])),
-                        pa.compute.if_else(plain, none, pa.array(points[end] - points[begin])),
+                        pc.if_else(plain, none, pa.array(points[begin] - points[piece.offsets[:-1]])),
+                        pc.if_else(plain, none, pa.array(points[end] - points[begin])),
                         pa.array(outputs, pa.binary()).cast(pa.string()),
                     ],
                     names=["_id", "n", "form", "prefix_chars", "middle_chars", "output"],
