@@ -1,28 +1,20 @@
-"""Exact nearest neighbours between two vector tables.
+"""Nearest neighbours between two vector tables, votes and label agreement.
 
-A table of few vectors is broadcast after its size has been checked. Larger ones are cut
-into cells around pivot vectors; the triangle inequality then says which cells can hold a
-neighbour of a query. Cells and the queries visiting them are split into blocks of bounded
-size, so a cell with a third of all rows becomes many groups. Only the best ``k`` of every
-block leave its task, never pairs.
+A table of few vectors is broadcast after its size has been checked. Larger ones are filed in an index of two levels of
+centres, whose cells grow in number with the square root of the table (``vector_index``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import stage
+from tidemill.operators.vector_index import PAIRS, TILE_ROWS, VectorIndex, best_k, blockwise, closest, squared_distances  # noqa: F401
+from tidemill.operators.vector_index import matrix as _matrix
 
 SMALL_ROWS = 20_000
 SMALL_NUMBERS = 5_000_000
-BLOCK_ROWS = 4_096
-_PAIRS = "qid long, iid long, dist double"
-_CHUNK = 500_000
+BLOCK_ROWS = TILE_ROWS
 
 
 def euclidean(a, b):
@@ -31,62 +23,6 @@ def euclidean(a, b):
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v))
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=float) for v in column]) if len(column) else np.zeros((0, 0))
-
-
-def squared_distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.maximum((q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2 * q @ x.T, 0)
-
-
-def closest(qids, q, iids, x, k: int, skip_same: bool) -> pd.DataFrame:
-    """The ``k`` items nearest to each query, ties going to the lower id."""
-    frames = []
-    step = max(1, _CHUNK // max(1, len(x)))
-    for lo in range(0, len(q), step):
-        part, ids = q[lo:lo + step], qids[lo:lo + step]
-        rough = squared_distances(part, x)
-        if skip_same:
-            rough[ids[:, None] == iids[None, :]] = np.inf
-        kth = np.partition(rough, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
-        rows, cols = np.nonzero((rough <= (kth + 1e-9 * (1 + np.where(np.isfinite(kth), kth, 0)))[:, None]) & np.isfinite(rough))
-        dist = np.round(np.sqrt(((part[rows] - x[cols]) ** 2).sum(1)), 10)
-        order = np.lexsort((iids[cols], dist, rows))
-        rows, cols, dist = rows[order], cols[order], dist[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        keep = place < k
-        frames.append(pd.DataFrame({"qid": ids[rows[keep]], "iid": iids[cols[keep]], "dist": dist[keep]}))
-    return pd.concat(frames) if frames else pd.DataFrame({"qid": [], "iid": [], "dist": []})
-
-
-def blockwise(
-    probes: DataFrame, points: DataFrame, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, block: int = BLOCK_ROWS
-) -> DataFrame:
-    """Run ``fn(probe block, point block)`` for the rows that share a ``cell``.
-
-    Both sides of a cell are cut into blocks of about ``block`` rows, and every block of one
-    side meets every block of the other, so no group outgrows a task. Rows need an ``id``.
-    """
-    n_probe = probes.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_np"))
-    n_point = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_ni"))
-    sizes = n_probe.join(n_point, "cell")
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = probes.join(sizes, "cell").withColumn("_a", own("_np")).withColumn("_b", every("_ni")).drop("_np", "_ni")
-    right = points.join(sizes, "cell").withColumn("_b", own("_ni")).withColumn("_a", every("_np")).drop("_np", "_ni")
-    keys = ["cell", "_a", "_b"]
-    right = right.select([F.col(c).alias(c) for c in right.columns])  # both sides may stem from one table
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        lambda a, b: fn(a, b) if len(a) and len(b) else pd.DataFrame(), schema
-    )
-
-
-def best_k(candidates: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("qid").orderBy("dist", "iid")
-    ranked = candidates.withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k)
-
-
 def _small(df: DataFrame, vec: str, max_rows: int) -> bool:
     """Whether the vectors may be broadcast: few rows and not too many numbers in them."""
     size = df.select(F.size(vec).alias("d")).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("v")).first()
@@ -103,68 +39,12 @@ def _nearest_broadcast(queries: DataFrame, items: DataFrame, k: int, skip_same:
             if len(pdf) and len(iids):
                 yield closest(pdf["qid"].to_numpy(), _matrix(pdf["qvec"]), iids, x, k, skip_same)
 
-    return queries.mapInPandas(scan, _PAIRS)
-
-
-class Cells:
-    """Items assigned to the nearest of a fixed number of pivots, with the reach of every cell."""
-
-    def __init__(self, items: DataFrame, n_cells: int):
-        chosen = items.orderBy(F.md5(F.col("iid").cast("string"))).limit(n_cells).toPandas()
-        self.pivots = pivots = np.unique(_matrix(chosen["ivec"]), axis=0)
-
-        def assign(frames):
-            for pdf in frames:
-                if len(pdf):
-                    d = np.sqrt(squared_distances(_matrix(pdf["ivec"]), pivots))
-                    yield pd.DataFrame({
-                        "id": pdf["iid"], "vec": pdf["ivec"], "cell": d.argmin(1).astype("int32"), "reach": d.min(1),
-                    })
-
-        self.points = stage(items.mapInPandas(assign, "id long, vec array<double>, cell int, reach double"), "cells")
-        stats = self.points.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"), F.min("reach").alias("lo"), F.max("reach").alias("hi")
-        ).toPandas()
-        size = len(pivots)
-        self.count, self.lo, self.hi = np.zeros(size), np.full(size, np.inf), np.full(size, -np.inf)
-        at = stats["cell"].to_numpy()
-        self.count[at], self.lo[at], self.hi[at] = stats["n"], stats["lo"], stats["hi"]
-
-    def visits(self, queries: DataFrame, home: bool, k: int, n_probe: int = 1) -> DataFrame:
-        """Cells a query has to look at: its nearest ones, or all others that may hold something closer than ``bound``."""
-        pivots, count, lo, hi = self.pivots, self.count, self.lo, self.hi
-
-        def route(frames):
-            for pdf in frames:
-                if not len(pdf):
-                    continue
-                q = _matrix(pdf["qvec"])
-                d = np.sqrt(squared_distances(q, pivots))
-                nearest = np.argsort(np.where(count > 0, d, np.inf), axis=1)[:, :n_probe]
-                near = np.zeros(d.shape, bool)
-                np.put_along_axis(near, nearest, True, axis=1)
-                if home:
-                    rows, cols = np.nonzero(near & (count > 0))
-                else:
-                    least = np.maximum(np.maximum(d - hi, lo - d), 0)
-                    bound = pdf["bound"].fillna(np.inf).to_numpy() + 1e-9
-                    rows, cols = np.nonzero((least <= bound[:, None]) & ~near & (count > 0))
-                yield pd.DataFrame({
-                    "id": pdf["qid"].to_numpy()[rows], "vec": pdf["qvec"].to_numpy()[rows], "cell": cols.astype("int32"),
-                })
-
-        return queries.mapInPandas(route, "id long, vec array<double>, cell int")
-
-    def probe(self, visits: DataFrame, k: int, skip_same: bool, block: int) -> DataFrame:
-        def scan(a, b):
-            return closest(a["id"].to_numpy(), _matrix(a["vec"]), b["id"].to_numpy(), _matrix(b["vec"]), k, skip_same)
-
-        return blockwise(visits, self.points.drop("reach"), scan, _PAIRS, block)
+    return queries.mapInPandas(scan, PAIRS)
 
 
 def nearest(
     queries: DataFrame, items: DataFrame, k: int, skip_same: bool = False,
-    small_rows: int = SMALL_ROWS, n_cells: int = 32, block: int = BLOCK_ROWS,
+    small_rows: int = SMALL_ROWS, n_cells: int | None = None, block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The ``k`` items nearest to every query: (qid, iid, dist, rank).
 
@@ -174,21 +54,14 @@ def nearest(
     items = items.select(F.col("iid").cast("long"), F.col("ivec").cast("array<double>"))
     if _small(items, "ivec", small_rows):
         return best_k(_nearest_broadcast(queries, items, k, skip_same), k)
-    cells = Cells(items, n_cells)
-    first = stage(best_k(cells.probe(cells.visits(queries, True, k), k, skip_same, block), k), "home")
-    bound = first.filter(F.col("rank") == k).select("qid", F.col("dist").alias("bound"))
-    others = cells.visits(queries.join(bound, "qid", "left"), False, k)
-    return best_k(first.drop("rank").unionByName(cells.probe(others, k, skip_same, block)), k)
+    return VectorIndex.build(items, cells=n_cells, tile_rows=block).search(queries, k, skip_same, block)
 
 
 def nearest_approx(
-    queries: DataFrame, items: DataFrame, k: int, skip_same: bool = False, n_cells: int = 16, n_probe: int = 4, block: int = BLOCK_ROWS
+    queries: DataFrame, items: DataFrame, k: int, skip_same: bool = False, n_cells: int | None = None, n_probe: int | None = None, block: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Neighbours found in the ``n_probe`` cells closest to each query; the whole cells are searched."""
-    queries = queries.select(F.col("qid").cast("long"), F.col("qvec").cast("array<double>"))
-    items = items.select(F.col("iid").cast("long"), F.col("ivec").cast("array<double>"))
-    cells = Cells(items, n_cells)
-    return best_k(cells.probe(cells.visits(queries, True, k, n_probe), k, skip_same, block), k)
+    """Neighbours found in the ``n_probe`` cells closest to each query, by default as many as reach a recall of 0.95 on a sample."""
+    return VectorIndex.build(items, cells=n_cells, tile_rows=block).search_approx(queries, k, skip_same, n_probe, block)
 
 
 def vote(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -200,9 +73,11 @@ def vote(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return scores.groupBy("qid").agg(F.max_by("label", F.struct(F.col("_s"), -F.col("label"))).alias("prediction"))
 
 
-def label_agreement(pairs: DataFrame, labels: DataFrame, by: str = "label") -> DataFrame:
-    """Share of neighbours that carry the label of their query."""
-    q = labels.select(F.col("id").alias("qid"), F.col(by).alias("_q"))
-    i = labels.select(F.col("id").alias("iid"), F.col(by).alias("_i"))
+def label_agreement(pairs: DataFrame, labels: DataFrame, by: str | list[str] = "label") -> DataFrame:
+    """Share of neighbours that carry the label of their query: one column for each of several labels, after its name."""
+    names = [by] if isinstance(by, str) else by
+    q = labels.select(F.col("id").alias("qid"), F.struct(*names).alias("_q"))
+    i = labels.select(F.col("id").alias("iid"), F.struct(*names).alias("_i"))
     matched = pairs.join(q, "qid").join(i, "iid")
-    return matched.agg(F.avg((F.col("_q") == F.col("_i")).cast("double")).alias("agreement"), F.count(F.lit(1)).alias("n_pairs"))
+    same: list[Column] = [F.avg((F.col(f"_q.{n}") == F.col(f"_i.{n}")).cast("double")).alias("agreement" if isinstance(by, str) else f"{n}_agreement") for n in names]
+    return matched.agg(*same, F.count(F.lit(1)).alias("n_pairs"))
