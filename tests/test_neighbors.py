@@ -130,3 +130,63 @@ def test_smote_points_lie_between_their_ends(spark, cloud):
     assert [r["base_id"] for r in sorted(made, key=key)] == [r["base_id"] for r in sorted(again, key=key)]
 
 
+def brute_davies_bouldin(x, labels):
+    names = np.unique(labels)
+    c = np.array([x[labels == n].mean(0) for n in names])
+    s = np.array([np.sqrt(((x[labels == n] - c[i]) ** 2).sum(1)).mean() for i, n in enumerate(names)])
+    worst = []
+    for i in range(len(names)):
+        d = np.sqrt(((c - c[i]) ** 2).sum(1))
+        ok = (np.arange(len(names)) != i) & (d > 0)
+        worst.append(((s[i] + s[ok]) / d[ok]).max())
+    return np.mean(worst)
+
+
+@pytest.mark.parametrize("block", [4096, 300])
+def test_davies_bouldin_of_two_thousand_clusters(spark, block):
+    r = np.random.default_rng(21)
+    middles = r.uniform(-50, 50, (2000, 4))
+    x = np.vstack([middles + r.normal(0, s, middles.shape) for s in (0.1, 0.5, 1.0)])
+    labels = np.tile(np.arange(2000), 3)
+    df = spark.createDataFrame([(int(l), [float(v) for v in p]) for l, p in zip(labels, x)], "label long, vec array<double>")
+    assert C.davies_bouldin(df, "label", "vec", 4, block).first()[0] == pytest.approx(brute_davies_bouldin(x, labels))
+
+
+def test_davies_bouldin_of_coinciding_centres_and_of_one_cluster(spark):
+    rows = [(0, [1.0]), (0, [3.0]), (1, [2.0]), (2, [7.0]), (2, [9.0])]
+    df = spark.createDataFrame(rows, "label long, vec array<double>")
+    assert C.davies_bouldin(df, "label", "vec", 1).first()[0] == pytest.approx((2 / 6 + 1 / 6 + 2 / 6) / 3)
+    assert C.davies_bouldin(df.filter("label = 0"), "label", "vec", 1).first()[0] is None
+
+
+def test_silhouette_skips_clusters_that_cannot_be_nearest(spark):
+    """Many far clusters: each point visits few of them, and the score is the exact one."""
+    r = np.random.default_rng(8)
+    middles = r.uniform(-100, 100, (50, 3))
+    x = np.vstack([middles[i % 50] + r.normal(0, 0.5, 3) for i in range(600)])
+    labels = np.arange(600) % 50
+    df = spark.createDataFrame([(i, [float(v) for v in p], int(l)) for i, (p, l) in enumerate(zip(x, labels))], "id long, vec array<double>, label long")
+    assert C.silhouette(df, small_rows=0, block=10).first()[0] == pytest.approx(C.silhouette(df).first()[0], abs=1e-9)
+    assert C._candidates(df, C._balls(df)).count() < 600 * 6
+
+
+@pytest.mark.parametrize("block", [4096, 25])
+def test_dbscan_with_a_third_of_all_points_in_one_cell(spark, block):
+    r = np.random.default_rng(13)
+    dense = r.uniform(0, 0.05, (150, 2))
+    x = np.vstack([dense, r.uniform(0.0, 3.0, (300, 2))])
+    core, label = sklearn_like_dbscan(x, 0.2, 6)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, x array<double>")
+    got = {g["id"]: g for g in C.dbscan(df, 0.2, 6, block=block).collect()}
+    assert [got[i]["is_core"] for i in range(len(x))] == core.tolist()
+    assert [got[i]["cluster"] for i in range(len(x)) if core[i]] == label[core].tolist()
+    assert [got[i]["cluster"] < 0 for i in range(len(x))] == (label < 0).tolist()
+
+
+def test_dbscan_needs_more_points_than_a_block_holds(spark):
+    x = np.random.default_rng(14).uniform(0, 0.4, (120, 2))
+    core, label = sklearn_like_dbscan(x, 0.3, 60)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, x array<double>")
+    got = {g["id"]: g for g in C.dbscan(df, 0.3, 60, block=10).collect()}
+    assert [got[i]["is_core"] for i in range(len(x))] == core.tolist()
+    assert [got[i]["cluster"] < 0 for i in range(len(x))] == (label < 0).tolist()
