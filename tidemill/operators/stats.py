@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.tails import f_tail
 from tidemill.operators.ordering import global_running_sum
+from tidemill.session import stage
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -100,44 +101,100 @@ def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 _ANOVA_SCHEMA = "source string, sum_sq double, dof double, f_value double, p_value double"
-MAX_CELLS = 100_000
-
-
-def anova_two_way(df: DataFrame, a: str, b: str, y: str, sequential: bool = False) -> DataFrame:
+#: Levels of the smaller factor up to which its equations are solved as a matrix; beyond, by conjugate gradients on tables.
+MATRIX_LEVELS = 64
+TOLERANCE = 1e-20
+
+
+def _reduced_by_matrix(cells: DataFrame, per_big: DataFrame, per_small: DataFrame) -> DataFrame:
+    """What the small factor explains beyond the big one (one row): the levels of the big factor are eliminated in Spark,
+    since their block is diagonal, and a matrix of small levels by small levels is left."""
+    shares = cells.join(per_big.select("big", F.col("n").alias("nb"), F.col("s").alias("sb")), "big")
+    one, two = (shares.select("big", "nb", F.col("small").alias(c), F.col("n").alias(f"n_{c}")) for c in ("i", "j"))
+    minus = one.join(two.drop("nb"), "big").groupBy("i", "j").agg((-F.sum(F.col("n_i") * F.col("n_j") / F.col("nb"))).alias("v"))
+    right = shares.groupBy("small").agg(F.sum(F.col("n") * F.col("sb") / F.col("nb")).alias("v"))
+    diagonal = per_small.select(F.col("small").alias("i"), F.col("small").alias("j"), F.col("n").alias("v"))
+    target = per_small.join(right, "small").select(F.col("small").alias("i"), F.lit(None).cast("string").alias("j"), (F.col("s") - F.col("v")).alias("v"))
+    entries = minus.unionAll(diagonal).unionAll(target)
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        levels = np.unique(pdf["i"])
+        at = np.searchsorted(levels, pdf["i"])
+        whole = pdf["j"].notna().to_numpy()
+        gram, r = np.zeros((len(levels), len(levels))), np.zeros(len(levels))
+        np.add.at(gram, (at[whole], np.searchsorted(levels, pdf["j"][whole])), pdf["v"][whole])
+        np.add.at(r, at[~whole], pdf["v"][~whole])
+        return pd.DataFrame({"extra": [float(r @ np.linalg.lstsq(gram, r, rcond=1e-10)[0])]})
+
+    return entries.groupBy(F.lit(0).alias("_all")).applyInPandas(solve, "extra double")
+
+
+def _reduced_by_gradients(cells: DataFrame, per_big: DataFrame, per_small: DataFrame) -> DataFrame:
+    """The same for any number of levels: conjugate gradients whose vectors are tables, a step for two joins and sums."""
+    counts_big, counts_small = per_big.select("big", F.col("n").alias("nb")), per_small.select("small", F.col("n").alias("ns"))
+
+    def reduced(column: str, table: DataFrame) -> DataFrame:
+        """The equations left after elimination, times a vector (small, ``column``)."""
+        up = cells.join(table, "small").groupBy("big").agg(F.sum(F.col("n") * F.col(column)).alias("_u")).join(counts_big, "big")
+        back = cells.join(up.select("big", (F.col("_u") / F.col("nb")).alias("_u")), "big").groupBy("small").agg(F.sum(F.col("n") * F.col("_u")).alias("_b"))
+        return table.join(back, "small").join(counts_small, "small").withColumn("_sp", F.col("ns") * F.col(column) - F.col("_b")).drop("_b", "ns")
+
+    explained = cells.join(per_big.select("big", (F.col("s") / F.col("n")).alias("_m")), "big").groupBy("small").agg(F.sum(F.col("n") * F.col("_m")).alias("_e"))
+    start = per_small.join(explained, "small").select("small", (F.col("s") - F.col("_e")).alias("t"))
+    state = stage(start.select("small", "t", F.lit(0.0).alias("x"), F.col("t").alias("r"), F.col("t").alias("p")), "gradient")
+    first = size = state.agg(F.sum(F.col("r") * F.col("r"))).first()[0] or 0.0
+    # Exact after as many steps as there are levels but for rounding.
+    for _ in range(state.count() + 16):
+        if size <= TOLERANCE * first:
+            break
+        moved = stage(reduced("p", state), "gradient")
+        curve = moved.agg(F.sum(F.col("p") * F.col("_sp"))).first()[0]
+        if not curve or curve <= 0:
+            break
+        step = size / curve
+        following = moved.select("small", "t", (F.col("x") + step * F.col("p")).alias("x"), (F.col("r") - step * F.col("_sp")).alias("r"), "p")
+        after = following.agg(F.sum(F.col("r") * F.col("r"))).first()[0]
+        state = stage(following.withColumn("p", F.col("r") + (after / size) * F.col("p")), "gradient")
+        size = after
+    return state.agg(F.sum(F.col("t") * F.col("x")).alias("extra"))
+
+
+def anova_two_way(df: DataFrame, a: str, b: str, y: str, sequential: bool = False, matrix_levels: int = MATRIX_LEVELS) -> DataFrame:
     """Two-way analysis of variance with interaction, type II or sequential sums of squares.
 
-    Spark reduces the table to one row per cell; the least-squares fits run on those cells.
+    Spark reduces the table to sums per pair of levels. One-factor and full models need no more than their sums of
+    squares; for both factors without interaction the one with more levels is eliminated by its diagonal block, and
+    the other's equations are solved as a small matrix or, for many levels, by conjugate gradients on tables, so any
+    number of levels and pairs will do. Rows with a null value or level are left out.
     """
-    cells = df.filter(F.col(y).isNotNull()).groupBy(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("var")
-    )
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > MAX_CELLS:
-            raise ValueError("too many factor combinations for an analysis of variance")
-        pdf = pdf.sort_values(["a", "b"])
-        weight = np.sqrt(pdf["n"].to_numpy())
-        target = pdf["mean"].to_numpy()
-        one = np.ones((len(pdf), 1))
-        da = pd.get_dummies(pdf["a"]).to_numpy(float)[:, 1:]
-        db = pd.get_dummies(pdf["b"]).to_numpy(float)[:, 1:]
-
-        def loss(*parts):
-            x = np.hstack(parts)
-            beta, *_ = np.linalg.lstsq(x * weight[:, None], target * weight, rcond=None)
-            return float((((target - x @ beta) * weight) ** 2).sum())
-
-        none, only_a, only_b, both = loss(one), loss(one, da), loss(one, db), loss(one, da, db)
-        within = float((pdf["n"] * pdf["var"]).sum())
-        dof = np.array([da.shape[1], db.shape[1], len(pdf) - 1 - da.shape[1] - db.shape[1], pdf["n"].sum() - len(pdf)], float)
-        ss = np.array([(none - only_a) if sequential else (only_b - both), only_a - both, both, within])
-        f = ss[:3] / dof[:3] / (ss[3] / dof[3])
-        p = [f_tail(v, d, dof[3]) for v, d in zip(f, dof)]
-        return pd.DataFrame({
-            "source": [a, b, f"{a}:{b}", "residual"], "sum_sq": ss, "dof": dof, "f_value": [*f, None], "p_value": [*p, None],
-        })
-
-    return cells.groupBy(F.lit(0).alias("_all")).applyInPandas(lambda pdf: fit(pdf), _ANOVA_SCHEMA)
+    rows = df.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"), F.col(y).cast("double").alias("y")).dropna()
+    mean = F.broadcast(rows.agg(F.avg("y").alias("_mean")))
+    centred = rows.join(mean).withColumn("y", F.col("y") - F.col("_mean"))
+    cells = stage(centred.groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q")), "cells")
+    per = {c: stage(cells.groupBy(c).agg(F.sum("n").alias("n"), F.sum("s").alias("s")), "levels") for c in ("a", "b")}
+    levels = {c: d.count() for c, d in per.items()}
+    small, big = ("a", "b") if levels["a"] <= levels["b"] else ("b", "a")
+    named = cells.select(F.col(big).alias("big"), F.col(small).alias("small"), "n", "s")
+    per_big, per_small = per[big].withColumnRenamed(big, "big"), per[small].withColumnRenamed(small, "small")
+    reduce_by = _reduced_by_matrix if levels[small] <= matrix_levels else _reduced_by_gradients
+    square = lambda d, out: d.agg(F.sum(F.col("s") * F.col("s") / F.col("n")).alias(out))
+    sums = cells.agg(F.sum("q").alias("q"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("full"))
+    figures = sums.join(square(per["a"], "only_a")).join(square(per["b"], "only_b")).join(reduce_by(named, per_big, per_small))
+
+    def table(frames):
+        for pdf in frames:
+            for one in pdf.to_dict("records"):
+                both = one[f"only_{big}"] + (one["extra"] or 0.0)
+                ss = np.array([one["only_a"] if sequential else both - one["only_b"], both - one["only_a"], one["full"] - both, one["q"] - one["full"]])
+                dof = np.array([levels["a"] - 1, levels["b"] - 1, one["cells"] - levels["a"] - levels["b"] + 1, one["n"] - one["cells"]], float)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    f = ss[:3] / dof[:3] / (ss[3] / dof[3])
+                p = [f_tail(v, d, dof[3]) if np.isfinite(v) else None for v, d in zip(f, dof)]
+                yield pd.DataFrame({
+                    "source": [a, b, f"{a}:{b}", "residual"], "sum_sq": ss, "dof": dof, "f_value": [*[v if np.isfinite(v) else None for v in f], None], "p_value": [*p, None],
+                })
+
+    return figures.filter("n IS NOT NULL").mapInPandas(table, _ANOVA_SCHEMA)
 
 
 def standardize(df: DataFrame, columns: list[str]) -> DataFrame:

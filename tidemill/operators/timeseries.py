@@ -26,12 +26,19 @@ def whole_series() -> WindowSpec:
 
 
 def lag_products(df: DataFrame, max_lag: int) -> DataFrame:
-    """Per series its length and the sums of products of centred values ``k`` periods apart, k = 0 .. max_lag."""
-    centred = df.select("series_id", "t", (F.col("y") - F.avg("y").over(whole_series())).alias("c"))
-    shifted = centred.select("series_id", "c", *[F.lag("c", k).over(by_time()).alias(f"c{k}") for k in range(max_lag + 1)])
-    return shifted.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("c") * F.col(f"c{k}")) for k in range(max_lag + 1)]).alias("s")
-    )
+    """Per series its length and the sums of products of centred values ``k`` periods apart, k = 0 .. max_lag.
+
+    A series, bounded by the calendar, is gathered once as an array in order of time; all lags are sums over that.
+    """
+    gathered = df.groupBy("series_id").agg(F.array_sort(F.collect_list(F.struct("t", F.col("y").cast("double").alias("y")))).alias("r"), F.avg("y").alias("m"))
+    centred = gathered.select("series_id", F.transform("r", lambda s: s["y"] - F.col("m")).alias("c"))
+
+    def products(k: Column) -> Column:
+        shifted = F.slice("c", k + 1, F.greatest(F.size("c") - k, F.lit(0)))
+        return F.aggregate(F.zip_with(shifted, F.slice("c", F.lit(1), F.greatest(F.size("c") - k, F.lit(0))), lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda acc, v: acc + v)
+
+    met = lambda k: F.when(k < F.size("c"), products(k))
+    return centred.select("series_id", F.size("c").cast("long").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(max_lag)), met).alias("s"))
 
 
 def acf(df: DataFrame, max_lag: int) -> DataFrame:
@@ -128,50 +135,118 @@ def ar_predict(df: DataFrame, betas: DataFrame, lags: int, steps: int = 12) -> D
     return fitted.unionByName(forecast)
 
 
-def adf_statistic(values: np.ndarray) -> tuple[float, float]:
-    """Augmented Dickey-Fuller t statistic (constant, lag order by AIC) and its 5 % critical value."""
-    step = np.diff(values)
-    n = len(step)
-    most = min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 3)
-
-    def design(order: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.arange(skip, n)
-        columns = [np.ones(len(rows)), values[rows]] + [step[rows - j] for j in range(1, order + 1)]
-        return np.column_stack(columns), step[rows]
-
-    def criterion(order: int) -> float:
-        x, target = design(order, most)
-        residual = target - x @ np.linalg.lstsq(x, target, rcond=None)[0]
-        return len(target) * np.log(residual @ residual / len(target)) + 2 * x.shape[1]
-
-    best = min(range(most + 1), key=criterion)
-    x, target = design(best, best)
-    beta = np.linalg.lstsq(x, target, rcond=None)[0]
-    residual = target - x @ beta
-    m = len(target)
-    scale = residual @ residual / (m - x.shape[1])
-    error = np.sqrt(scale * np.linalg.pinv(x.T @ x)[1, 1])
+def _lag_order(n: Column) -> Column:
+    """Largest number of lagged steps that is tried for a series of n steps."""
+    return F.least(F.ceil(12 * F.pow(n / 100, F.lit(0.25))), F.floor(n / 2) - 3).cast("int")
+
+
+def unit_root_moments(df: DataFrame, keys: list[str], skip: Column | None = None) -> DataFrame:
+    """Per series of (keys, t, v) what all its unit-root regressions need.
+
+    Row t of the regression is the step to v(t), a one, the level before it (centred) and the lagged steps. ``gram``
+    holds the sums of products of these, as the lower half of a matrix, over rows that have ``most`` lagged steps
+    (or ``skip`` of them, if given); ``ahead`` holds the rows before, at most ``most`` of them, so that the regression of a
+    lower order can be completed. A series is bounded by the calendar; series are what Spark distributes.
+    """
+    order = Window.partitionBy(*keys).orderBy("t")
+    every = Window.partitionBy(*keys)
+    steps = df.select(*keys, "t", (F.col("v") - F.lag("v").over(order)).alias("step"), (F.lag("v").over(order) - F.avg("v").over(every)).alias("level"))
+    steps = steps.filter("step IS NOT NULL").withColumn("n", F.count(F.lit(1)).over(every)).withColumn("i", F.row_number().over(order) - 1)
+    steps = stage(steps.withColumn("most", skip if skip is not None else _lag_order(F.col("n"))), "steps")
+    width = (steps.agg(F.max("most")).first()[0] or 0) + 3
+    lagged = [F.coalesce(F.lag("step", j).over(order), F.lit(0.0)) for j in range(1, width - 2)]
+    rows = steps.select(*keys, "n", "i", "most", F.array("step", F.lit(1.0), "level", *lagged).alias("x"))
+    full = F.col("i") >= F.col("most")
+    sums = [F.sum(F.when(full, F.col("x")[a] * F.col("x")[b])) for a in range(width) for b in range(a + 1)]
+    ahead = F.array_sort(F.collect_list(F.when(~full, F.struct("i", "x"))))
+    return rows.groupBy(*keys).agg(F.first("n").alias("n"), F.first("most").alias("most"), F.array(*sums).alias("gram"), ahead.alias("ahead"))
+
+
+class UnitRoot:
+    """Regressions of nested lag orders from one matrix of sums of products, by one triangular factor."""
+
+    def __init__(self, n: int, most: int, gram, ahead):
+        width = int((np.sqrt(8 * len(gram) + 1) - 1) / 2)
+        self.n, self.most = n, most
+        whole = np.zeros((width, width))
+        whole[np.tril_indices(width)] = [0.0 if v is None else v for v in gram]
+        self.gram = (whole + np.tril(whole, -1).T)[:most + 3, :most + 3]
+        self.ahead = [(r["i"], np.asarray(r["x"])[:most + 3]) for r in ahead]
+
+    @staticmethod
+    def factor(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Triangular factor of the regressors and the target's part in it: column k serves every order from k on."""
+        low = np.linalg.cholesky(gram[1:, 1:])
+        return low, np.linalg.solve(low, gram[1:, 0])
+
+    def best_order(self) -> int:
+        """Lag order by the Akaike criterion, all orders on the same rows: each adds one square to what is explained."""
+        m = self.n - self.most
+        _, part = self.factor(self.gram)
+        left = self.gram[0, 0] - np.cumsum(part ** 2)[1:]
+        return int(np.argmin([m * np.log(max(r, 1e-300) / m) + 2 * (k + 2) for k, r in enumerate(left)]))
+
+    def statistic(self, order: int) -> tuple[float, int]:
+        """t statistic of the level with ``order`` lagged steps and all rows that have them, and their number."""
+        gram = self.gram[:order + 3, :order + 3].copy()
+        for i, x in self.ahead:
+            if i >= order:
+                gram += np.outer(x[:order + 3], x[:order + 3])
+        m = self.n - order
+        low, part = self.factor(gram)
+        beta = np.linalg.solve(low.T, part)
+        error = np.linalg.solve(low, np.eye(len(low))[1])  # its square is the level's entry of the inverse
+        scale = (gram[0, 0] - part @ part) / (m - len(beta))
+        return float(beta[1] / np.sqrt(scale * (error @ error))), m
+
+
+def critical_value(m: int) -> float:
     # fixed values: MacKinnon (2010) response surface, constant only, 5 percent
-    critical = -2.86154 - 2.8903 / m - 4.234 / m**2 - 40.04 / m**3
-    return float(beta[1] / error), float(critical)
+    return -2.86154 - 2.8903 / m - 4.234 / m**2 - 40.04 / m**3
 
 
-def adf_first_stationary(df: DataFrame, max_order: int = 12) -> DataFrame:
-    """Per series the unit-root test of the series (order 0) and of its differences y(t) - y(t - i),
-    marking the first stationary order."""
+def _tested(moments: DataFrame, keys: list[str], orders) -> DataFrame:
+    """One row for each series and lag order that ``orders(test)`` names; series too short or without variation have null statistics."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in moments.select(*keys).schema)
+
+    def run(frames):
+        for pdf in frames:
+            out = []
+            for one in pdf.to_dict("records"):
+                named = [one[k] for k in keys]
+                test = UnitRoot(one["n"], max(one["most"], 0), one["gram"], one["ahead"])
+                try:
+                    found = [(k, *test.statistic(k)) for k in orders(test)] if one["most"] >= 0 else [(None, None, None)]
+                except np.linalg.LinAlgError:
+                    found = [(None, None, None)]
+                out += [(*named, k, s if s is not None and np.isfinite(s) else None, critical_value(m) if m else None) for k, s, m in found]
+            yield pd.DataFrame(out, columns=[*keys, "lags", "statistic", "critical"]).astype({"lags": "Int32", "statistic": "Float64", "critical": "Float64"})
+
+    return moments.mapInPandas(run, f"{kinds}, lags int, statistic double, critical double")
+
+
+def unit_root(df: DataFrame, lags: list[int]) -> DataFrame:
+    """Augmented Dickey-Fuller t statistic (constant) of each series (series_id, t, y) for each of the given numbers of lagged steps."""
+    rows = df.select("series_id", "t", F.col("y").cast("double").alias("v"))
+    return _tested(unit_root_moments(rows, ["series_id"], F.lit(max(lags))), ["series_id"], lambda test: lags)
+
+
+def differences(df: DataFrame, max_order: int) -> DataFrame:
+    """The series (order 0) and its differences y(t) - y(t - i) in long form: series_id, t, order, v."""
     orders = F.sequence(F.lit(0), F.lit(max_order))
-    columns = [F.col("y"), *[F.col("y") - F.lag("y", i).over(by_time()) for i in range(1, max_order + 1)]]
+    columns = [F.col("y").cast("double"), *[(F.col("y") - F.lag("y", i).over(by_time())).cast("double") for i in range(1, max_order + 1)]]
     differenced = df.select("series_id", "t", F.array(*columns).alias("d"))
     long = differenced.select("series_id", "t", F.explode(F.arrays_zip(orders.alias("order"), F.col("d").alias("v"))).alias("z"))
-    long = long.select("series_id", "t", F.col("z.order").alias("order"), F.col("z.v").alias("v")).filter("v IS NOT NULL")
+    return long.select("series_id", "t", F.col("z.order").alias("order"), F.col("z.v").alias("v")).filter("v IS NOT NULL")
 
-    def test(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        statistic, critical = adf_statistic(pdf.sort_values("t")["v"].to_numpy(float))
-        return pd.DataFrame([(key[0], int(key[1]), statistic, critical)], columns=["series_id", "order", "statistic", "critical"])
 
-    tested = long.groupBy("series_id", "order").applyInPandas(
-        lambda key, pdf: test(key, pdf), "series_id string, order int, statistic double, critical double"
-    ).withColumn("stationary", F.col("statistic") < F.col("critical"))
+def adf_first_stationary(df: DataFrame, max_order: int = 12) -> DataFrame:
+    """Per series the unit-root test of the series (order 0) and of its differences y(t) - y(t - i), lag order by the
+    Akaike criterion, marking the first stationary order. Spark sums one matrix per series and difference; a task
+    solves that alone."""
+    keys = ["series_id", "order"]
+    tested = _tested(unit_root_moments(differences(df, max_order), keys), keys, lambda test: [test.best_order()]).drop("lags")
+    tested = tested.withColumn("stationary", F.col("statistic") < F.col("critical"))
     first = F.min(F.when(F.col("stationary") & (F.col("order") > 0), F.col("order"))).over(whole_series())
     return tested.withColumn("first_order", first)
 

@@ -53,11 +53,50 @@ def ar_fit_predict(t):
     return out.withColumn("t", day_text("t"))
 
 
+@query("ar_two_lags", f"""
+    WITH l AS (SELECT series_id, y, lag(y) OVER o AS a, lag(y, 2) OVER o AS b FROM ({_INDEXED}) WINDOW o AS (PARTITION BY series_id ORDER BY i)),
+    f AS (SELECT * FROM l WHERE b IS NOT NULL),
+    m AS (SELECT series_id, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, regr_sxx(a, a) AS aa, regr_sxx(b, b) AS bb, regr_sxy(a, b) AS ab, regr_sxy(y, a) AS ya, regr_sxy(y, b) AS yb FROM f GROUP BY 1),
+    s AS (SELECT *, (ya * bb - yb * ab) / (aa * bb - ab * ab) AS b1, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS b2 FROM m)
+    SELECT series_id, round(my - b1 * ma - b2 * mb, 4) + 0.0 AS constant, round(b1, 6) + 0.0 AS lag_1, round(b2, 6) + 0.0 AS lag_2 FROM s""")
+def ar_two_lags(t):
+    """Least-squares autoregression with two lags, whose equations can be written out."""
+    betas = TS.ar_fit(panel(t), 2)
+    names = [("constant", 4), ("lag_1", 6), ("lag_2", 6)]
+    return betas.select("series_id", *[(F.round(F.col("beta")[i], r) + 0.0).alias(n) for i, (n, r) in enumerate(names)])
+
+
 @query("adf_first_stationary")
 def adf_first_stationary(t):
     return TS.adf_first_stationary(panel(t))
 
 
+def _regressed(y: str, x: str) -> str:
+    """SQL for what is left of y after a regression on x within a series."""
+    return f"{y} - avg({y}) OVER w - regr_slope({y}, {x}) OVER w * ({x} - avg({x}) OVER w)"
+
+
+def _unit_root_sql(lags: int) -> str:
+    """One lagged step after the other is taken out of the step and the level before the last regression."""
+    names = [f"l{j}" for j in range(1, lags + 1)]
+    rows = f"""SELECT series_id, d, v{"".join(f", {n}" for n in names)} FROM (
+        SELECT series_id, d, v, i{"".join(f", lag(d, {j}) OVER o AS l{j}" for j in range(1, lags + 1))} FROM (
+          SELECT series_id, i, y - lag(y) OVER o AS d, lag(y) OVER o AS v FROM ({_INDEXED}) WINDOW o AS (PARTITION BY series_id ORDER BY i)) WHERE d IS NOT NULL
+        WINDOW o AS (PARTITION BY series_id ORDER BY i)) WHERE {" AND ".join(f"{n} IS NOT NULL" for n in ["v", *names])}"""
+    while names:
+        done, *names = names
+        kept = ["d", "v", *names]
+        rows = f"""SELECT series_id, {", ".join(f"{_regressed(n, done)} AS {n}" for n in kept)} FROM ({rows}) WINDOW w AS (PARTITION BY series_id)"""
+    return f"""SELECT series_id, {lags} AS lags, round(b / sqrt((syy - b * b * sxx) / (n - {lags + 2}) / sxx), 5) + 0.0 AS statistic FROM (
+        SELECT series_id, count(*) AS n, regr_slope(d, v) AS b, regr_sxx(d, v) AS sxx, regr_syy(d, v) AS syy FROM ({rows}) GROUP BY 1)"""
+
+
+@query("unit_root_lags", " UNION ALL ".join(_unit_root_sql(k) for k in range(3)))
+def unit_root_lags(t):
+    """Unit-root statistic of each series with no, one and two lagged steps."""
+    return TS.unit_root(panel(t), [0, 1, 2]).select("series_id", "lags", (F.round("statistic", 5) + 0.0).alias("statistic"))
+
+
 @query("seasonal_decompose", f"""
     WITH m AS (SELECT *, (i - 1) % 12 AS phase, CASE WHEN count(*) OVER f = 13 THEN
         (sum(y) OVER f - (lag(y, 6) OVER w + lead(y, 6) OVER w) / 2) / 12 END AS trend FROM ({_INDEXED})

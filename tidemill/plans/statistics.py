@@ -94,6 +94,57 @@ def anova_sequential(t):
     return stats.anova_two_way(t.orders, "o_orderpriority", "o_orderstatus", "o_totalprice", sequential=True)
 
 
+# The model of both factors is fitted level by level in turns, which comes to the same sums.
+_ANOVA = """
+    WITH RECURSIVE t AS ({rows}), m AS (SELECT avg(y) AS mu FROM t),
+    c AS (SELECT a, b, count(*)::DOUBLE AS n, sum(y - mu) AS s, sum((y - mu) * (y - mu)) AS q FROM t, m GROUP BY 1, 2),
+    ca AS (SELECT a, sum(n) AS n, sum(s) AS s FROM c GROUP BY 1), cb AS (SELECT b, sum(n) AS n, sum(s) AS s FROM c GROUP BY 1),
+    it(k, b, e) AS (
+      SELECT 0, b, 0.0::DOUBLE FROM cb UNION ALL
+      SELECT k + 1, b, (any_value(cb.s) - sum(c.n * f)) / any_value(cb.n) FROM (
+        SELECT k, a, (any_value(ca.s) - sum(c.n * e)) / any_value(ca.n) AS f FROM it JOIN c USING (b) JOIN ca USING (a) WHERE k < 60 GROUP BY k, a
+      ) JOIN c USING (a) JOIN cb USING (b) GROUP BY k, b),
+    fa AS (SELECT a, (any_value(ca.s) - sum(c.n * e)) / any_value(ca.n) AS f FROM it JOIN c USING (b) JOIN ca USING (a) WHERE k = 60 GROUP BY a),
+    x AS (SELECT (SELECT sum(f * s) FROM fa JOIN ca USING (a)) + (SELECT sum(e * s) FROM it JOIN cb USING (b) WHERE k = 60) AS both_ss,
+      (SELECT sum(s * s / n) FROM ca) AS a_ss, (SELECT sum(s * s / n) FROM cb) AS b_ss, sum(s * s / n) AS c_ss, sum(q) AS q,
+      (SELECT count(*) FROM ca)::DOUBLE AS la, (SELECT count(*) FROM cb)::DOUBLE AS lb, count(*)::DOUBLE AS lc, sum(n) AS n FROM c),
+    r AS (SELECT '{a}' AS source, {first} AS ss, la - 1 AS dof, 1 AS o FROM x UNION ALL SELECT '{b}', both_ss - a_ss, lb - 1, 2 FROM x
+      UNION ALL SELECT '{a}:{b}', c_ss - both_ss, lc - la - lb + 1, 3 FROM x UNION ALL SELECT 'residual', q - c_ss, n - lc, 4 FROM x)
+    SELECT source, round(ss / (SELECT q - c_ss FROM x), 8) + 0.0 AS ratio, dof,
+      CASE WHEN o < 4 THEN round(ss / dof / (SELECT (q - c_ss) / (n - lc) FROM x), 5) + 0.0 END AS f_value FROM r"""
+
+
+def _variance_table(table):
+    """Sums of squares as multiples of the residual one, and F values, rounded."""
+    rest = table.agg(F.max(F.when(F.col("source") == "residual", F.col("sum_sq"))).alias("_rest"))
+    return table.join(F.broadcast(rest)).select("source", (F.round(F.col("sum_sq") / F.col("_rest"), 8) + 0.0).alias("ratio"), "dof", (F.round("f_value", 5) + 0.0).alias("f_value"))
+
+
+@query("anova_two_way_table", _ANOVA.format(
+    rows="SELECT c_mktsegment AS a, r_name AS b, c_acctbal::DOUBLE AS y FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey "
+    "WHERE c_mktsegment IS NOT NULL AND r_name IS NOT NULL AND c_acctbal IS NOT NULL",
+    a="c_mktsegment", b="r_name", first="both_ss - b_ss"))
+def anova_two_way_table(t):
+    return _variance_table(anova_two_way(t))
+
+
+@query("anova_sequential_table", _ANOVA.format(
+    rows="SELECT o_orderpriority AS a, o_orderstatus AS b, o_totalprice::DOUBLE AS y FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL AND o_totalprice IS NOT NULL",
+    a="o_orderpriority", b="o_orderstatus", first="a_ss"))
+def anova_sequential_table(t):
+    return _variance_table(anova_sequential(t))
+
+
+@query("anova_many_levels", _ANOVA.format(
+    rows="SELECT c_mktsegment AS a, n_name AS b, o_totalprice::DOUBLE AS y FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey "
+    "WHERE c_mktsegment IS NOT NULL AND n_name IS NOT NULL AND o_totalprice IS NOT NULL",
+    a="c_mktsegment", b="n_name", first="a_ss"))
+def anova_many_levels(t):
+    """Order prices by market segment and nation, solved on tables as for factors of many levels."""
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return _variance_table(stats.anova_two_way(rows, "c_mktsegment", "n_name", "o_totalprice", sequential=True, matrix_levels=0))
+
+
 @query("standardize", """
     SELECT c_custkey, round((c_acctbal - (SELECT avg(c_acctbal) FROM customer)) / (SELECT stddev_pop(c_acctbal) FROM customer), 6) + 0.0 AS c_acctbal
     FROM customer""")
