@@ -159,3 +159,98 @@ def test_rows_only_queries(spark, name):
 def test_classifiers_cover_the_held_out_part(spark, tables, name):
     held_out = QUERIES["knn_classify"](spark, SF_DIR).count()
     assert QUERIES[name](spark, SF_DIR).count() == held_out
+
+
+def test_tokens_are_encoded_alike_on_both_ways(spark):
+    """A broadcast vocabulary and a joined one give the same ids; unknown tokens, nulls and empty lists."""
+    rows = [(1, ["b", "a", "b", "zz"]), (2, []), (3, None), (4, ["c"] * 5 + ["a"]), (5, ["zz"]), (6, ["a", None, "b"])]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(3)
+    words = spark.createDataFrame([("a", 7), ("b", 8), ("c", 9)], "token string, term_id long")
+    few, many = (sorted((r["doc_id"], r["ids"] or []) for r in X.encode(docs, "doc_id", F.col("tokens"), words, n).collect()) for n in (100, 0))
+    assert few == many == [(1, [8, 7, 8]), (2, []), (3, []), (4, [9] * 5 + [7]), (5, []), (6, [7, 8])]
+    none = X.encode(docs, "doc_id", F.col("tokens"), words.limit(0)).collect()
+    assert all(not r["ids"] for r in none)
+
+
+def test_fixed_length_is_never_cut(spark):
+    docs = spark.createDataFrame([(1, ["a", "b"]), (2, [])], "doc_id long, tokens array<string>")
+    vocabulary = X.special_vocabulary(X.token_rows(docs, "doc_id", F.col("tokens")))
+    fitted = {r["doc_id"]: r["ids"] for r in X.encode_pad(docs, "doc_id", F.col("tokens"), vocabulary, length=4).collect()}
+    assert fitted == {1: [4, 1, 2, 0], 2: [4, 0, 0, 0]}
+    with pytest.raises(Exception, match="longer than 2"):
+        X.encode_pad(docs, "doc_id", F.col("tokens"), vocabulary, length=2).collect()
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_rare_tokens_within_documents(spark, least):
+    rows = [(1, ["x", "y", "x", "z", "x", "y"]), (2, []), (3, None), (4, ["q", None, "q", None]), (5, ["one"])]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(2)
+    got = {r["doc_id"]: r["tokens"] for r in X.drop_rare(docs, "tokens", least).collect()}
+    assert got == {i: w if w is None else [v for v in w if w.count(v) >= least] for i, w in rows}
+
+
+def test_every_word_has_a_place_of_its_own(spark):
+    words = [f"word{i}" for i in range(3000)]
+    docs = spark.createDataFrame([(1, words), (2, words[::-1] + ["word7"]), (3, ["unknown"]), (4, None)], "doc_id long, tokens array<string>")
+    known = X.dictionary(docs, "doc_id", "tokens")
+    assert known.count() == 3000
+    place = {r["token"]: r["term_id"] for r in known.collect()}
+    assert sorted(place.values()) == list(range(3000)) and place["word0"] == 0
+    counts = {r["doc_id"]: r["counts"] for r in X.count_vectors(docs, "doc_id", "tokens", known).collect()}
+    assert counts[1].size == 3000 and counts[1].numNonzeros() == 3000 and counts[1][place["word7"]] == 1
+    assert counts[2][place["word7"]] == 2 and counts[3].numNonzeros() == 0 and counts[4].numNonzeros() == 0
+
+
+def test_anova_by_matrix_and_by_gradients(spark):
+    """An unbalanced table with an empty cell and disconnected levels, against least squares on all rows."""
+    rng = np.random.default_rng(17)
+    rows = [(f"a{i}", f"b{j}", float(i + 2 * j + rng.normal())) for i in range(7) for j in range(5) for _ in range(int(rng.integers(0, 5)))]
+    rows += [("alone", "apart", 3.0), ("alone", "apart", 4.5)] + [(None, "b1", 1.0), ("a1", None, 2.0), ("a1", "b1", None)]
+    df = spark.createDataFrame(rows, "a string, b string, y double")
+    full = [r for r in rows if None not in r]
+    y = np.array([r[2] for r in full])
+
+    def loss(*keys):
+        x = np.hstack([np.ones((len(full), 1))] + [np.array([[k(r) == v for v in sorted({k(s) for s in full})] for r in full], float) for k in keys])
+        return ((y - x @ np.linalg.lstsq(x, y, rcond=None)[0]) ** 2).sum()
+
+    a, b, ab = (lambda r: r[0]), (lambda r: r[1]), (lambda r: r[:2])
+    none, one, two, both, cells = loss(), loss(a), loss(b), loss(a, b), loss(ab)
+    for sequential in (False, True):
+        expected = [none - one if sequential else two - both, one - both, both - cells, cells]
+        for levels in (64, 0):
+            got = {r["source"]: r["sum_sq"] for r in stats.anova_two_way(df, "a", "b", "y", sequential, levels).collect()}
+            assert [got[s] for s in ("a", "b", "a:b", "residual")] == pytest.approx(expected, abs=1e-8)
+    assert stats.anova_two_way(df.limit(0), "a", "b", "y").count() == 0
+
+
+def direct_adf(values, order, skip):
+    step = np.diff(values)
+    at = np.arange(skip, len(step))
+    x = np.column_stack([np.ones(len(at)), values[at]] + [step[at - j] for j in range(1, order + 1)])
+    beta, *_ = np.linalg.lstsq(x, step[at], rcond=None)
+    left = step[at] - x @ beta
+    error = np.sqrt(left @ left / (len(at) - x.shape[1]) * np.linalg.pinv(x.T @ x)[1, 1])
+    return beta[1] / error, len(at) * np.log(left @ left / len(at)) + 2 * x.shape[1]
+
+
+def test_unit_root_from_one_matrix(spark):
+    """Statistic and lag order of every difference, against a regression of its own for each order."""
+    rng = np.random.default_rng(23)
+    series = {"walk": np.cumsum(rng.normal(size=90)) + 500, "wave": np.sin(np.arange(70) / 3) * 40 + rng.normal(size=70), "short": rng.normal(size=9)}
+    rows = [(n, dt.date(2000 + i // 12, i % 12 + 1, 1), float(v)) for n, x in series.items() for i, v in enumerate(x)] + [("same", dt.date(2000, m, 1), 5.0) for m in range(1, 13)]
+    df = spark.createDataFrame(rows, "series_id string, t date, y double")
+    got = {(r["series_id"], r["order"]): r for r in TS.adf_first_stationary(df, 2).collect()}
+    for n, x in series.items():
+        for order in range(3):
+            v = x if not order else x[order:] - x[:-order]
+            steps = len(v) - 1
+            most = min(int(np.ceil(12 * (steps / 100) ** 0.25)), steps // 2 - 3)
+            if most < 0:
+                assert got[n, order]["statistic"] is None
+                continue
+            best = min(range(most + 1), key=lambda k: direct_adf(v, k, most)[1])
+            assert got[n, order]["statistic"] == pytest.approx(direct_adf(v, best, best)[0], rel=1e-6)
+    assert got["same", 0]["statistic"] is None
+    fixed = {(r["series_id"], r["lags"]): r["statistic"] for r in TS.unit_root(df.filter("series_id IN ('walk', 'wave')"), [0, 1, 4]).collect()}
+    assert all(fixed[n, k] == pytest.approx(direct_adf(series[n], k, k)[0], rel=1e-6) for n in ("walk", "wave") for k in (0, 1, 4))

@@ -6,16 +6,16 @@ that crosses documents stays distributed.
 
 from __future__ import annotations
 
-from collections import Counter
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from tidemill.functions.stemming import stem_tokens, stem_word
 from tidemill.functions.tokens import basic_tokens, without_stop_words
-from tidemill.operators.joins import salted_lookup
+from tidemill.operators.joins import LOOKUP_CHARS, LOOKUP_ROWS, salted_lookup
 from tidemill.operators.ordering import global_row_number
 from tidemill.session import spread, stage
 
@@ -29,18 +29,27 @@ def token_rows(df: DataFrame, key: str, tokens: Column) -> DataFrame:
 
 def gather_tokens(rows: DataFrame, key: str, value: str = "token", out: str = "tokens") -> DataFrame:
     """Tokens of each document in their order."""
-    pairs = F.array_sort(F.collect_list(F.struct("pos", F.col(value).alias("v"))))
+    pairs = F.sort_array(F.collect_list(F.struct("pos", F.col(value).alias("v"))))
     return rows.groupBy(key).agg(F.transform(pairs, lambda s: s["v"]).alias(out))
 
 
+def _filtered(lists: pa.Array, values: pa.Array, keep: np.ndarray) -> pa.Array:
+    """The lists with ``values`` in place of their flat items, reduced to those to keep; null lists stay null."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    upto = np.concatenate([[0], np.cumsum(keep)])
+    offsets = upto[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values.filter(pa.array(keep)), mask=lists.is_null() if lists.null_count else None)
+
+
 def _frequent_tokens(min_count: int):
-    @F.pandas_udf(ArrayType(StringType()))
-    def keep(lists: pd.Series) -> pd.Series:
-        out = []
-        for words in lists:
-            n = Counter(words)
-            out.append([w for w in words if n[w] >= min_count])
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf("array<string>")
+    def keep(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten()
+        rows = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        codes = flat.dictionary_encode(null_encoding="encode")
+        key = rows * max(1, len(codes.dictionary)) + codes.indices.to_numpy(zero_copy_only=False)
+        _, place, n = np.unique(key, return_inverse=True, return_counts=True)
+        return _filtered(lists, flat, n[place] >= min_count)
 
     return keep
 
@@ -48,7 +57,8 @@ def _frequent_tokens(min_count: int):
 def drop_rare(df: DataFrame, tokens: str, min_count: int = 2) -> DataFrame:
     """Keep tokens that occur at least ``min_count`` times within their document, in their order.
 
-    A document's tokens sit in one row, so they are counted there and no token is shuffled.
+    A document's tokens sit in one row, so they are counted there, for whole Arrow batches at once, and no token is
+    shuffled. A null list stays null.
     """
     return df.withColumn(tokens, _frequent_tokens(min_count)(F.col(tokens)))
 
@@ -97,18 +107,51 @@ def special_vocabulary(rows: DataFrame) -> DataFrame:
     return words.select("token", "term_id").union(special)
 
 
-def encode_pad(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, length: int | None = None, add_end: bool = False) -> DataFrame:
+def _numbers(spark, vocabulary: DataFrame):
+    """Token lists to number lists by a broadcast vocabulary; unknown tokens are left out."""
+    held = vocabulary.select("token", "term_id").toArrow()
+    data = spark.sparkContext.broadcast((held.column("token").combine_chunks(), held.column("term_id").to_numpy()))
+
+    @F.arrow_udf("array<bigint>")
+    def encode(lists: pa.Array) -> pa.Array:
+        words, numbers = data.value
+        codes = lists.flatten().dictionary_encode()
+        at = pc.index_in(codes.dictionary, value_set=words)
+        known = np.append(~at.is_null().to_numpy(zero_copy_only=False), False)
+        ids = np.append(numbers[pc.fill_null(at, 0).to_numpy(zero_copy_only=False)], 0) if len(at) and len(numbers) else np.zeros(1, np.int64)
+        spot = pc.fill_null(codes.indices, -1).to_numpy(zero_copy_only=False) if len(numbers) else np.full(len(codes), -1)
+        return _filtered(lists, pa.array(ids[spot], pa.int64()), known[spot])
+
+    return encode
+
+
+def encode(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, small_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """key and ids: the numbers of the tokens in their order, without unknown ones.
+
+    A vocabulary of checked size is broadcast, and lists are encoded in their rows without any shuffle. A larger one
+    meets the distinct tokens of each document, with their places, in a join.
+    """
+    size = vocabulary.select(F.length("token").alias("l")).limit(small_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("l").alias("l")).first()
+    if size["n"] <= small_rows and (size["l"] or 0) <= LOOKUP_CHARS:
+        return df.select(key, _numbers(df.sparkSession, vocabulary)(tokens).alias("ids"))
+    rows = token_rows(df, key, tokens).groupBy(key, "token").agg(F.collect_list("pos").alias("_places"))
+    found = salted_lookup(rows, vocabulary, "token", key, small_rows=small_rows).groupBy(key).agg(F.collect_list(F.struct("_places", "term_id")).alias("_found"))
+    spots = F.flatten(F.transform("_found", lambda f: F.transform(f["_places"], lambda p: F.struct(p.alias("p"), f["term_id"].alias("id")))))
+    ids = found.select(key, F.transform(F.sort_array(spots), lambda s: s["id"]).alias("ids"))
+    return df.select(key).join(ids, key, "left")
+
+
+def encode_pad(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, length: int | None = None, add_end: bool = False, small_rows: int = LOOKUP_ROWS) -> DataFrame:
     """Token ids with start (and end) marks, padded to ``length`` or to the longest document.
 
     A document longer than a given length is an error, never cut.
     """
-    rows = token_rows(df, key, tokens)
-    ids = gather_tokens(salted_lookup(rows, vocabulary, "token", key), key, "term_id", "ids")
+    ids = encode(df, key, tokens, vocabulary, small_rows)
     marks = vocabulary.agg(
         F.max(F.when(F.col("token") == START, F.col("term_id"))).alias("_start"),
         F.max(F.when(F.col("token") == END, F.col("term_id"))).alias("_end"),
     )
-    known = df.select(key).join(ids, key, "left").join(F.broadcast(marks))
+    known = ids.join(F.broadcast(marks))
     body = F.coalesce("ids", F.array().cast("array<bigint>"))
     tail = F.array("_end") if add_end else F.array().cast("array<bigint>")
     marked = known.select(key, F.concat(F.array("_start"), body, tail).alias("ids"))
@@ -122,3 +165,28 @@ def encode_pad(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, l
     padded = F.concat("ids", F.array_repeat(F.lit(0).cast("long"), gap))
     too_long = F.raise_error(F.concat(F.lit("a sequence is longer than "), F.col("_len").cast("string")))
     return sized.select(key, F.when(gap >= 0, padded).otherwise(too_long).alias("ids"))
+
+
+def dictionary(tokens: DataFrame, key: str, column: str, min_docs: int = 2) -> DataFrame:
+    """Words in at least ``min_docs`` documents, numbered in sorted order: token, term_id."""
+    words = tokens.select(key, F.explode(F.array_distinct(column)).alias("token"))
+    frequent = words.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_docs)
+    return global_row_number(frequent.select("token"), ["token"], "term_id", 0)
+
+
+_sparse = F.udf(lambda size, places, values: Vectors.sparse(size, places, values), VectorUDT())
+
+
+def count_vectors(df: DataFrame, key: str, column: str, words: DataFrame, out: str = "counts") -> DataFrame:
+    """key and the sparse counts of the dictionary's words in the document; every word has a place of its own.
+
+    ``words`` (token, term_id) may have any size: the distinct words of each document meet it in one join, and only
+    (place, count) pairs of a document are gathered. Rows with one key are one document; without known words the
+    vector is empty.
+    """
+    counted = df.select(key, F.explode(column).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    placed = salted_lookup(counted, words, "token", key).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col("term_id").cast("int").alias("i"), F.col("_n").alias("n")))).alias("_v"))
+    size = F.broadcast(words.agg(F.count(F.lit(1)).cast("int").alias("_size")))
+    every = df.select(key).distinct().join(placed, key, "left").join(size)
+    pairs = F.coalesce("_v", F.array().cast("array<struct<i:int,n:double>>"))
+    return every.select(key, _sparse("_size", F.transform(pairs, lambda p: p["i"]), F.transform(pairs, lambda p: p["n"])).alias(out))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.feature import IDF
 from pyspark.sql import functions as F
 
 from tidemill.functions import tokens as K
@@ -21,6 +21,16 @@ def digest(tokens):
     return [F.size(tokens).alias("n_tokens"), F.md5(F.array_join(tokens, " ")).alias("digest")]
 
 
+def used_ids():
+    return F.size(F.filter("ids", lambda i: i != 0))
+
+
+def ids_digest():
+    """Digest of all ids as text; the padding behind the used ones is written as a run."""
+    body = F.array_join(F.slice("ids", F.lit(1), used_ids()).cast("array<string>"), ",")
+    return F.md5(F.concat(body, F.repeat(F.lit(",0"), F.size("ids") - used_ids()))).alias("digest")
+
+
 def basic(t):
     return spread(t.documents.select("doc_id", "text")).select("doc_id", K.basic_tokens(F.col("text")).alias("tokens"))
 
@@ -89,6 +99,10 @@ def build_vocabulary(t):
     return X.special_vocabulary(X.token_rows(basic(t), "doc_id", F.col("tokens")))
 
 
+#: Tokens of a turn with its start mark.
+_FIXED = 512
+
+
 @query("encode_pad", f"""
     WITH {_VOCABULARY},
     e AS (SELECT doc_id, list(term_id ORDER BY pos) AS ids FROM r JOIN v USING (token) GROUP BY 1),
@@ -100,7 +114,7 @@ def encode_pad(t):
     tokens = stage(basic(t), "tokens")
     vocabulary = stage(X.special_vocabulary(X.token_rows(tokens, "doc_id", F.col("tokens"))), "vocabulary")
     encoded = X.encode_pad(tokens, "doc_id", F.col("tokens"), vocabulary, add_end=True)
-    return encoded.select("doc_id", F.size("ids").alias("length"), F.md5(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("digest"))
+    return encoded.select("doc_id", F.size("ids").alias("length"), ids_digest())
 
 
 @query("distinct_tokens_per_doc", f"""
@@ -121,13 +135,52 @@ def digit_split_tokens(t):
     return split.select("doc_id", *digest("tokens"))
 
 
+_TURNS = f"SELECT conv_id || ':' || turn AS turn_id, {K.BASIC_TOKENS_SQL} AS w FROM conversations"
+
+
+@query("encode_fixed_length", f"""
+    WITH t AS ({_TURNS}), r AS (SELECT turn_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM t),
+    v AS (SELECT token, row_number() OVER (ORDER BY token) AS term_id FROM (SELECT DISTINCT token FROM r)),
+    e AS (SELECT turn_id, list(term_id ORDER BY pos) AS ids FROM r JOIN v USING (token) GROUP BY 1),
+    m AS (SELECT turn_id, list_concat([(SELECT max(term_id) + 2 FROM v)], coalesce(ids, [])) AS ids FROM t LEFT JOIN e USING (turn_id))
+    SELECT turn_id, {_FIXED} AS length, len(ids)::INTEGER AS used, md5(array_to_string(ids, ',') || repeat(',0', {_FIXED} - len(ids))) AS digest FROM m""")
+def encode_fixed_length(t):
+    """Turns of conversations in the decoder's form: start mark, no end mark, one stated length; a longer turn is an error."""
+    turns = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"), K.basic_tokens(F.col("text")).alias("tokens"))
+    tokens = stage(spread(turns), "tokens")
+    vocabulary = stage(X.special_vocabulary(X.token_rows(tokens, "turn_id", F.col("tokens"))), "vocabulary")
+    encoded = X.encode_pad(tokens, "turn_id", F.col("tokens"), vocabulary, length=_FIXED)
+    return encoded.select("turn_id", F.size("ids").alias("length"), used_ids().alias("used"), ids_digest())
+
+
+def _labelled_counts(t):
+    """Count vectors of all documents over the words of the labelled ones, and the labelled ones with their quality."""
+    tokens = stage(spread(t.documents.select("doc_id", "text")).select("doc_id", K.word_tokens(F.coalesce("text", F.lit(""))).alias("tokens")), "tokens")
+    labels = t.labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
+    words = stage(X.dictionary(tokens.join(labels, "doc_id", "left_semi"), "doc_id", "tokens"), "words")
+    counts = stage(X.count_vectors(tokens, "doc_id", "tokens", words), "counts")
+    return counts, counts.join(labels, "doc_id")
+
+
+def _text_model(labelled):
+    return Pipeline(stages=[IDF(inputCol="counts", outputCol="features"), LogisticRegression(family="multinomial", maxIter=20, regParam=0.01)]).fit(labelled)
+
+
 @query("text_classify")
 def text_classify(t):
-    """Quality predicted for every document by a linear model on hashed word counts of the labelled ones."""
-    docs = spread(t.documents.select("doc_id", "text")).select("doc_id", K.word_tokens(F.col("text")).alias("tokens"))
-    labelled = docs.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
-    counts = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=1 << 16)
-    model = Pipeline(stages=[
-        counts, IDF(inputCol="counts", outputCol="features"), LogisticRegression(family="multinomial", maxIter=20, regParam=0.01)
-    ]).fit(labelled)
-    return model.transform(docs).select("doc_id", F.col("prediction").cast("int").alias("quality"))
+    """Quality predicted for every document by a linear model on the counts of the labelled ones' words."""
+    counts, labelled = _labelled_counts(t)
+    return _text_model(labelled).transform(counts).select("doc_id", F.col("prediction").cast("int").alias("quality"))
+
+
+@query("text_classify_check", """
+    WITH l AS (SELECT doc_id, max(quality) AS q FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1),
+    c AS (SELECT q, count(*) AS n FROM l WHERE doc_id IN (SELECT doc_id FROM documents) GROUP BY 1)
+    SELECT sum(n)::BIGINT AS n_labelled, round(max(n) / sum(n), 6) AS majority, true AS better FROM c""")
+def text_classify_check(t):
+    """Share of the larger class among the labelled documents, and whether the fitted model is right on more of them."""
+    _, labelled = _labelled_counts(t)
+    judged = _text_model(labelled).transform(labelled).select("label", (F.col("label") == F.col("prediction")).cast("double").alias("hit"))
+    per = judged.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"))
+    share = F.max("n") / F.sum("n")
+    return per.agg(F.sum("n").alias("n_labelled"), F.round(share, 6).alias("majority"), (F.sum("hits") / F.sum("n") > share).alias("better"))
