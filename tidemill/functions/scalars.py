@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: number formats of the price feed
@@ -155,8 +155,25 @@ SQL_FUNCTIONS = {
     "RETURN length(trim(s)) - length(replace(trim(s), ' ', '')) + 1",
 }
 
+# Counts in another table, which has to be a view of that name.
+COUNTING_FUNCTIONS = {
+    "line_count": "(wanted BIGINT) RETURNS BIGINT RETURN (SELECT count(*) FROM order_lines WHERE l_orderkey = wanted)",
+    "flagged_count": "(wanted BIGINT, flag STRING) RETURNS BIGINT RETURN (SELECT count(*) FROM order_lines WHERE l_orderkey = wanted AND l_returnflag = flag)",
+}
+
 
-def register_sql_functions(spark: SparkSession) -> None:
-    """Temporary SQL functions; Catalyst inlines their bodies into the calling query."""
-    for name, body in SQL_FUNCTIONS.items():
+def register_sql_functions(spark: SparkSession, views: dict[str, DataFrame] | None = None) -> None:
+    """Temporary SQL functions; Catalyst inlines their bodies into the calling query. With the views that they count in,
+    the counting functions too: their correlated subqueries become joins with a grouped table."""
+    for name, df in (views or {}).items():
+        df.createOrReplaceTempView(name)
+    for name, body in (SQL_FUNCTIONS | (COUNTING_FUNCTIONS if views else {})).items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")
+
+
+def drop_sql_functions(spark: SparkSession, views: list[str]) -> None:
+    """Take functions and views out of the session again; queries analysed before go on working."""
+    for name in SQL_FUNCTIONS | COUNTING_FUNCTIONS:
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+    for name in views:
+        spark.catalog.dropTempView(name)

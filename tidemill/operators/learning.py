@@ -15,6 +15,10 @@ from tidemill.operators.ordering import global_row_number, keyed_row_number
 from tidemill.session import stage
 
 
+#: Levels that may become columns or classes of a model.
+MOST_LEVELS = 10_000
+
+
 def label_codes(df: DataFrame, column: str, first_seen: list[str] | None = None) -> DataFrame:
     """Code 0, 1, ... of each distinct label, in sorted order or by first appearance in the order ``first_seen``."""
     if first_seen is None:
@@ -24,14 +28,28 @@ def label_codes(df: DataFrame, column: str, first_seen: list[str] | None = None)
 
 
 def levels_of(df: DataFrame, column: str) -> list:
-    """Values of a column in order, without nulls; each becomes a column or class, so there are few by definition."""
-    return [row[0] for row in df.select(column).dropna().distinct().orderBy(column).collect()]
+    """Values of a column in order, without nulls; each becomes a column or class, so more than ``MOST_LEVELS`` are an error."""
+    found = [row[0] for row in df.select(column).dropna().distinct().orderBy(column).limit(MOST_LEVELS + 1).collect()]
+    if len(found) > MOST_LEVELS:
+        raise ValueError(f"{column} has more than {MOST_LEVELS} levels")
+    return found
 
 
 def one_hot(df: DataFrame, column: str, levels: list[str] | None = None) -> DataFrame:
-    """One 0/1 column per level, by default for each one found; a null has none."""
+    """One 0/1 column per level, by default for each one found; a null has none.
+
+    Columns are named after their level in lower case. Where that would name two columns alike - levels that differ
+    in case only, or an existing column - the later one, in order of the levels, gets its place as a suffix. At most
+    ``MOST_LEVELS`` levels become columns; more are an error before they are fetched.
+    """
     levels = levels_of(df, column) if levels is None else levels
-    return df.withColumns({f"{column}_{v.lower()}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in levels})
+    taken, flags = {c.lower() for c in df.columns}, {}
+    for place, v in enumerate(levels):
+        name = f"{column}_{str(v).lower()}"
+        name = name if name.lower() not in taken else f"{name}_{place}"
+        taken.add(name.lower())
+        flags[name] = F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int")
+    return df.withColumns(flags)
 
 
 def hash_split(df: DataFrame, key: str, shares: dict[str, float], seed: str) -> DataFrame:

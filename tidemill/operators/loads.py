@@ -77,8 +77,10 @@ def nest_by_date(df: DataFrame, day: str, key: str, fields: list[str], keys: Dat
     """One document per date holding an entry for every key; absent values read "n/a".
 
     ``keys`` is the table of keys, columns ``key`` and Category, one row per key. Every document holds all of it
-    by definition, so it is gathered into one row; each date first gathers the keys it has.
+    by definition, so it is gathered into one row; each date first gathers the keys it has. Rows and keys without a
+    key are left out: a document has no place for them.
     """
+    df, keys = df.filter(F.col(key).isNotNull()), keys.filter(F.col(key).isNotNull())
     value = F.to_json(F.struct(*[F.coalesce(F.col(f), F.lit("n/a")).alias(f) for f in fields]))
     present = df.groupBy(day).agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), value))).alias("_have"))
     nothing = F.to_json(F.struct(*[F.lit("n/a").alias(f) for f in fields]))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import joins as J
 from tidemill.plans.registry import query
+from tidemill.sources.marts import publish
 from tidemill.plans.rows import stage_orders, stage_payments
 from tidemill.session import stage
 from tidemill.sources.tables import NATION_MONTH_SQL, day_text, monthly_nation_measures
@@ -107,10 +108,13 @@ def order_payments(orders, payments):
        payment_count, (total_amount - total_paid)::DOUBLE AS outstanding_amount,
        (total_amount - total_paid = 0 AND total_amount > 0) AS is_fully_paid FROM i""")
 def order_payments_mart(t):
+    """Staging layers are views, the mart is a table: written whole, published, and read from the catalogue."""
     spark = t.spark
     stage_orders(t.orders).createOrReplaceTempView("stg_orders")
     stage_payments(t.lineitem).createOrReplaceTempView("stg_payments")
-    mart = order_payments(spark.table("stg_orders"), spark.table("stg_payments"))
+    mart = publish(order_payments(spark.table("stg_orders"), spark.table("stg_payments")), "order_payments")
+    for view in ("stg_orders", "stg_payments"):
+        spark.catalog.dropTempView(view)
     mart = mart.withColumn("order_timestamp", F.date_format("order_timestamp", "yyyy-MM-dd HH:mm:ss"))
     return mart.withColumns({c: F.col(c).cast("double") for c in ("total_amount", "total_paid", "outstanding_amount")})
 

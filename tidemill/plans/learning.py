@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -14,6 +16,7 @@ from tidemill.operators import clusters as C
 from tidemill.operators import learning as L
 from tidemill.operators import neighbors as N
 from tidemill.operators.joins import bounded
+from tidemill.operators.vector_index import VectorIndex
 from tidemill.plans.registry import query
 from tidemill.session import spread, stage
 
@@ -236,6 +239,49 @@ def kmeans_assign(t):
     return C.grid_labels(model, points.withColumn("features", array_to_vector(F.array("x0", "x1"))), "features")
 
 
+@query("kmeans_checks", "SELECT k::INTEGER AS k, (SELECT count(*) FROM embeddings) AS n_points, true AS all_nearest, true AS centres_are_means, true AS inertia_is_the_sum FROM range(2, 7) r(k)")
+def kmeans_checks(t):
+    """What a converged fit must hold: every point has its nearest centre, centres are means, inertia sums the squared distances."""
+    source = stage(vectors(t), "points").withColumn("features", array_to_vector("vec"))
+    rows = []
+    for k in range(2, 7):
+        model = KMeans(k=k, seed=42, maxIter=200, tol=1e-9).fit(source)
+        centers = [c.tolist() for c in model.clusterCenters()]
+        every = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centers])
+        placed = model.transform(source).select("vec", "prediction", F.transform(every, lambda c: C.euclidean(F.col("vec"), c)).alias("d"))
+        own = F.element_at("d", F.col("prediction") + 1)
+        means = placed.groupBy("prediction").agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(len(centers[0]))]).alias("m"))
+        off = means.agg((F.max(C.euclidean(F.col("m"), F.element_at(every, F.col("prediction") + 1))) < 1e-6).alias("centres_are_means"))
+        facts = placed.agg(
+            F.count(F.lit(1)).alias("n_points"), F.bool_and(own <= F.array_min("d") + 1e-9).alias("all_nearest"),
+            (F.abs(F.sum(own * own) / model.summary.trainingCost - 1) < 1e-6).alias("inertia_is_the_sum"),
+        )
+        rows.append(facts.join(F.broadcast(off)).select(F.lit(k).alias("k"), "n_points", "all_nearest", "centres_are_means", "inertia_is_the_sum"))
+    return reduce(lambda a, b: a.unionAll(b), rows)
+
+
+@query("pca_checks", """
+    WITH v AS (SELECT sum(s) AS total FROM (SELECT i, var_samp(x) AS s FROM (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1))
+    SELECT round(total, 6) AS total_variance, true AS centred, true AS uncorrelated, true AS falling FROM v""")
+def pca_checks(t):
+    """Scores of all components: centred, uncorrelated, of falling variance, and together of the variance of the vectors."""
+    n = dims(t)
+    scaler = StandardScaler(inputCol="features", outputCol="centred", withMean=True, withStd=False)
+    source = with_features(vectors(t))
+    model = Pipeline(stages=[scaler, PCA(k=n, inputCol="centred", outputCol="pc")]).fit(source)
+    scores = stage(model.transform(source).select(vector_to_array("pc").alias("pc")), "scores")
+    columns = [F.col("pc")[i] for i in range(n)]
+    facts = scores.agg(
+        F.array(*[F.var_samp(c) for c in columns]).alias("v"), F.array(*[F.abs(F.avg(c)) for c in columns]).alias("m"),
+        F.array(*[F.abs(F.covar_samp(a, b)) for a, b in zip(columns, columns[1:], strict=False)]).alias("r"),
+    )
+    falling = F.forall(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.element_at("v", i) >= F.element_at("v", i + 1) - 1e-12)
+    return facts.select(
+        F.round(F.aggregate("v", F.lit(0.0), lambda acc, v: acc + v), 6).alias("total_variance"), (F.array_max("m") < 1e-9).alias("centred"),
+        (F.array_max("r") < 1e-9).alias("uncorrelated"), falling.alias("falling"),
+    )
+
+
 @query("kmeans_sweep")
 def kmeans_sweep(t):
     """Five numbers of clusters; the scores use the labels as truth."""
@@ -299,10 +345,37 @@ def dbscan(t):
     return C.dbscan(flat, EPS, MIN_SAMPLES)
 
 
-@query("dbscan_sweep")
+_SETTINGS = [(0.02, 5), (0.03, 5), (0.03, 10)]
+
+
+def _density_sql(eps: float, min_samples: int) -> str:
+    return f"""SELECT * FROM (WITH RECURSIVE p AS (SELECT vec_id AS id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+    nb AS (SELECT a.id AS a, b.id AS b FROM p a, p b WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {eps * eps!r}),
+    core AS (SELECT a AS id FROM nb GROUP BY 1 HAVING count(*) >= {min_samples}),
+    ce AS (SELECT a, b FROM nb WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+    reach(a, b) AS (SELECT a, b FROM ce UNION SELECT r.a, ce.b FROM reach r JOIN ce ON r.b = ce.a),
+    comp AS (SELECT a AS id, min(b) AS first_id FROM reach GROUP BY 1),
+    num AS (SELECT id, dense_rank() OVER (ORDER BY first_id) - 1 AS cluster FROM comp),
+    border AS (SELECT nb.a AS id, min(cluster) AS cluster FROM nb JOIN num ON nb.b = num.id GROUP BY 1),
+    f AS (SELECT p.*, coalesce(num.cluster, border.cluster, -1) AS c FROM p LEFT JOIN num ON num.id = p.id LEFT JOIN border ON border.id = p.id),
+    z AS (SELECT c, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM f GROUP BY 1),
+    t AS (SELECT a.id, a.c AS own, b.c AS other, sum(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS total FROM f a, f b GROUP BY 1, 2, 3),
+    s AS (SELECT id, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b FROM t JOIN z ON z.c = t.other GROUP BY 1),
+    sp AS (SELECT f.c, any_value(mx) AS mx, any_value(my) AS my, avg(sqrt((x - mx) * (x - mx) + (y - my) * (y - my))) AS s FROM f JOIN z ON z.c = f.c GROUP BY 1),
+    w AS (SELECT a.c, max((a.s + b.s) / nullif(sqrt((a.mx - b.mx) * (a.mx - b.mx) + (a.my - b.my) * (a.my - b.my)), 0)) AS w FROM sp a JOIN sp b ON a.c <> b.c GROUP BY 1),
+    cn AS (SELECT label, c, count(*) AS n FROM f GROUP BY 1, 2),
+    ij AS (SELECT sum(n * (n - 1) / 2) AS ij, sum(n) * (sum(n) - 1) / 2 AS t FROM cn), i AS (SELECT sum(n * (n - 1) / 2) AS i FROM (SELECT sum(n) AS n FROM cn GROUP BY label)),
+    j AS (SELECT sum(n * (n - 1) / 2) AS j FROM (SELECT sum(n) AS n FROM cn GROUP BY c))
+    SELECT {eps!r}::DOUBLE AS eps, {min_samples} AS min_samples, (SELECT count(DISTINCT c) FROM f WHERE c >= 0) AS n_clusters, (SELECT count(*) FROM f WHERE c < 0) AS n_noise,
+      (SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END), 6) + 0.0 FROM s) AS silhouette,
+      (SELECT round(avg(w), 6) + 0.0 FROM w) AS davies_bouldin, (SELECT round((ij - i * j / t) / nullif((i + j) / 2 - i * j / t, 0), 6) + 0.0 FROM ij, i, j) AS adjusted_rand)"""
+
+
+@query("dbscan_sweep", " UNION ALL ".join(_density_sql(*s) for s in _SETTINGS))
 def dbscan_sweep(t):
     flat = t.embeddings.select(F.col("vec_id").alias("id"), F.slice(F.col("embedding").cast("array<double>"), 1, 2).alias("x"), "label")
-    return C.dbscan_sweep(flat, [(0.02, 5), (0.03, 5), (0.03, 10)])
+    scores = C.dbscan_sweep(flat, _SETTINGS)
+    return scores.withColumns({c: F.round(c, 6) + 0.0 for c in ("silhouette", "davies_bouldin", "adjusted_rand")})
 
 
 @query("knn_exact", """
@@ -320,6 +393,33 @@ def knn_approx(t):
     return N.nearest_approx(as_queries(v), as_items(v), 10, skip_same=True)
 
 
+@query("knn_recall", "SELECT 10 AS k, count(*) AS n_queries, 10 * count(*) AS n_pairs, true AS recall_reached FROM embeddings")
+def knn_recall(t):
+    """Whether the approximate neighbours of all vectors hold at least nine in ten of the exact ones."""
+    v = vectors(t)
+    index = VectorIndex.build(as_items(v))
+    asked = as_queries(v)
+    found = index.search_approx(asked, 10, True).select("qid", "iid", F.lit(1).alias("hit"))
+    exact = N.nearest(asked, as_items(v), 10, skip_same=True).select("qid", "iid")
+    return exact.join(found, ["qid", "iid"], "left").agg(
+        F.lit(10).alias("k"), F.countDistinct("qid").alias("n_queries"), F.count(F.lit(1)).alias("n_pairs"), (F.avg(F.coalesce("hit", F.lit(0))) >= 0.9).alias("recall_reached")
+    )
+
+
+@query("neighbor_agreement_scores", """
+    WITH p AS (SELECT vec_id, label, label // 3 AS family, embedding::DOUBLE[] AS v FROM embeddings),
+    n AS (SELECT a.label = b.label AS l, a.family = b.family AS f FROM p a, p b WHERE a.vec_id <> b.vec_id AND a.vec_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+          QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.v, b.v), 10), b.vec_id) <= 10)
+    SELECT round(avg(l::INTEGER::DOUBLE), 6) AS label_agreement, round(avg(f::INTEGER::DOUBLE), 6) AS family_agreement, count(*) AS n_pairs FROM n""")
+def neighbor_agreement_scores(t):
+    """Two scores, for label and family of labels, of the neighbours of chosen items: those that are rated as good."""
+    v = vectors(t)
+    index = VectorIndex.build(as_items(v))
+    pairs = index.neighbors_of(t.labels.filter("quality = 1").select("doc_id"), 10, exact=True)
+    scores = N.label_agreement(pairs, v.withColumn("family", F.floor(F.col("label") / 3)), ["label", "family"])
+    return scores.withColumns({c: F.round(c, 6) for c in ("label_agreement", "family_agreement")})
+
+
 @query("neighbor_label_agreement", """
     WITH p AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
     n AS (SELECT a.label AS la, b.label AS lb FROM p a, p b WHERE a.vec_id <> b.vec_id

@@ -177,16 +177,21 @@ def pad_time_parts(t):
       lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') || ':' || lpad(CAST(day(o_orderdate) AS VARCHAR), 2, '0') AS length,
       CASE WHEN ends_with(o_orderpriority, 'HIGH') THEN 'HIGH' WHEN ends_with(o_orderpriority, 'LOW') THEN 'LOW' ELSE 'other' END AS kind,
       (substr(CAST(year(o_orderdate) AS VARCHAR), 1, 2)::INTEGER + 1) || 'th Century' AS century,
-      (length(o_orderpriority) - length(replace(o_orderpriority, ' ', '')) + 1)::INTEGER AS words FROM orders""")
+      (length(o_orderpriority) - length(replace(o_orderpriority, ' ', '')) + 1)::INTEGER AS words,
+      (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n_lines,
+      (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS n_returned FROM orders""")
 def sql_functions(t):
-    S.register_sql_functions(t.spark)
-    return t.spark.sql(
+    """Eight SQL functions; the last two count in another table, and Catalyst turns them into joins."""
+    S.register_sql_functions(t.spark, {"order_lines": t.lineitem.select("l_orderkey", "l_returnflag")})
+    found = t.spark.sql(
         """SELECT o_orderkey, tenure_days(CAST(o_orderdate AS DATE), NULL, DATE '2002-01-01') AS days,
              clean_string(concat('"', o_orderpriority, '" ')) AS cleaned, mmss(month(o_orderdate), day(o_orderdate)) AS length,
              suffix_class(o_orderpriority, 'HIGH', 'LOW') AS kind, century_label(CAST(o_orderdate AS DATE)) AS century,
-             word_count(o_orderpriority) AS words FROM {orders}""",
+             word_count(o_orderpriority) AS words, line_count(o_orderkey) AS n_lines, flagged_count(o_orderkey, 'R') AS n_returned FROM {orders}""",
         orders=t.orders,
     )
+    S.drop_sql_functions(t.spark, ["order_lines"])
+    return found
 
 
 @query("table_function", """
@@ -201,4 +206,8 @@ def table_function(t):
         SELECT o_orderkey, c_name, n_name FROM fn_orders JOIN fn_customer ON o_custkey = c_custkey
         JOIN fn_nation ON c_nationkey = n_nationkey
         WHERE year(o_orderdate) = wanted_year AND contains(n_name, nation_part)""")
-    return t.spark.sql("SELECT * FROM chosen_orders(1998, 'ION_1')")
+    found = t.spark.sql("SELECT * FROM chosen_orders(1998, 'ION_1')")
+    t.spark.sql("DROP TEMPORARY FUNCTION chosen_orders")
+    for name in ("orders", "customer", "nation"):
+        t.spark.catalog.dropTempView(f"fn_{name}")
+    return found

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from tidemill.operators import loads
+from tidemill.operators import edits, loads
 from tidemill.operators.ordering import keyed_running_sum
 from tidemill.operators.summaries import dedup_on_keys
 from tidemill.plans.loading import CATEGORY_SQL, alias_table, bar_texts, category_of
 from tidemill.plans.registry import query
-from tidemill.session import scratch_path
+from tidemill.session import exists, scratch_path
 from tidemill.sources.tables import BARS_SQL, day_text
-from tidemill.streaming import feeds
+from tidemill.streaming import commits, feeds
 
 _CATEGORY = CATEGORY_SQL.format("ticker")
 _BAR_FIELDS = f"""CAST(day AS VARCHAR) AS "Date", {_CATEGORY} AS "Category", ticker AS "Stock_Alias", open AS "Open",
@@ -141,3 +143,67 @@ def stream_threshold_alerts(t):
     _, stream = nested_source(t)
     alerts = feeds.threshold_messages(stream, "Stock_Alias", "Close", 5.0, 120.0)
     return presentable(drain_native(t, alerts)).select("Date", "Stock_Alias", "alert")
+
+
+def audit_messages(inserted):
+    """One fixed message, one with a value and one by a condition for each inserted row."""
+    trend = F.when(F.col("Close") > F.col("Open"), "added rising bar").when(F.col("Close") < F.col("Open"), "added falling bar").otherwise("added other bar")
+    return edits.audit_rows(inserted, F.explode(F.array(F.lit("added new bar"), F.concat(F.lit("alias "), F.col("Stock_Alias")), trend)))
+
+
+@query("stream_audit_log", f"""
+    WITH b AS ({_BARS_TYPED})
+    SELECT 'added new bar' AS message, count(*) AS n FROM b UNION ALL SELECT 'alias ' || "Stock_Alias", count(*) FROM b GROUP BY 1
+    UNION ALL SELECT CASE WHEN "Close" > "Open" THEN 'added rising bar' WHEN "Close" < "Open" THEN 'added falling bar' ELSE 'added other bar' END, count(*) FROM b GROUP BY 1
+    UNION ALL SELECT 'bars stored', count(*) FROM b""")
+def stream_audit_log(t):
+    """Bars and their audit rows, written by the same micro-batches under one commit record; every batch is replayed."""
+    source, root = scratch_path(t.spark, "flat"), scratch_path(t.spark, "lake")
+    write_flat(t, source)
+    stream = feeds.flat_bars(feeds.json_stream(t.spark, source, feeds.FLAT_SCHEMA, files_per_trigger=64))
+    write = commits.append_tables(root, "bars", {"audit": audit_messages})
+
+    def twice(df, batch_id):
+        write(df, batch_id)
+        write(df, batch_id)
+
+    feeds.run_available_now(stream.writeStream.foreachBatch(twice), scratch_path(t.spark, "progress"))
+    stored = commits.read_committed(t.spark, root, "bars").agg(F.lit("bars stored").alias("message"), F.count(F.lit(1)).alias("n"))
+    return commits.read_committed(t.spark, root, "audit").groupBy("message").agg(F.count(F.lit(1)).alias("n")).unionAll(stored)
+
+
+def _files_below(spark, folder):
+    """Names of the JSON files below a folder."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(folder)
+    return listed.select("path", "length")
+
+
+@query("stream_archive_counts", """
+    SELECT count(DISTINCT CAST(ts AS DATE)) AS n_files, count(DISTINCT CAST(ts AS DATE)) AS n_once FROM events""")
+def stream_archive_counts(t):
+    """Files of the feed after it has been drained with archiving on: each is in one place, source or archive, and none is lost.
+
+    Spark archives the files of a batch after the next one, so where the last ones lie depends on the batches.
+    """
+    source, archive = scratch_path(t.spark, "nested"), scratch_path(t.spark, "archive")
+    write_nested(t, source)
+    stream = feeds.nested_bars(feeds.json_stream(t.spark, source, feeds.NESTED_SCHEMA, archive))
+    drain_batches(t, stream)
+    name = F.element_at(F.split("path", "/"), -1)
+    both = reduce(lambda a, b: a.unionAll(b), [_files_below(t.spark, f).select(name.alias("file")) for f in (source, archive) if exists(t.spark, f)])
+    per_file = both.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.agg(F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("n") == 1).alias("n_once"))
+
+
+@query("stream_processing_time", f"SELECT count(*) AS n_rows, true AS within_run, true AS one_time_a_batch FROM ({_BARS_TYPED})")
+def stream_processing_time(t):
+    """Every row carries the time of its micro-batch: one for each batch, between start and end of the run."""
+    source = scratch_path(t.spark, "flat")
+    write_flat(t, source)
+    now = lambda: t.spark.range(1).select(F.current_timestamp()).first()[0]
+    started = now()
+    lake = drain_batches(t, feeds.with_processing_time(feeds.flat_bars(feeds.json_stream(t.spark, source, feeds.FLAT_SCHEMA, files_per_trigger=64))))
+    ended = now()
+    per_batch = lake.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("Processed").alias("lo"), F.max("Processed").alias("hi"))
+    inside = F.bool_and((F.col("lo") >= F.lit(started)) & (F.col("hi") <= F.lit(ended)))
+    return per_batch.agg(F.sum("n").alias("n_rows"), inside.alias("within_run"), F.bool_and(F.col("lo") == F.col("hi")).alias("one_time_a_batch"))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import windows as W
 from tidemill.operators.ordering import global_running_sum
-from tidemill.operators.rates import rates_pipeline
+from tidemill.operators.rates import MEASURES, extract_wide, rates_job, rates_pipeline
 from tidemill.plans.registry import query
 from tidemill.plans.rows import split_iso, typed_measures
+from tidemill.session import scratch_path, stage
+from tidemill.sources import files
 from tidemill.sources.tables import (
     BARS_SQL, HOURLY_SQL, MONTHLY_SQL, NATION_MONTH_SQL, POLLUTANTS, daily_bars, day_text, hourly_measures, monthly_nation_measures,
     monthly_series,
@@ -62,6 +64,46 @@ def rates_pipeline_query(t):
     return done.withColumns({"date": day_text("date"), **{c: F.round(c, 6) for c in done.columns if "rate" in c}})
 
 
+def wide_files(t):
+    """The measures as three wide CSV files: a row for each country, a column for each month."""
+    measures = stage(monthly_nation_measures(t.orders, t.customer, t.nation).withColumn("month", day_text("month")), "measures")
+    paths = {m: scratch_path(t.spark, m) for m in MEASURES}
+    for m, path in paths.items():
+        files.write_csv(measures.groupBy("country").pivot("month").agg(F.sum(m)), path)
+    return paths
+
+
+_GRID_SQL = f"""f AS (SELECT country, CAST(month AS VARCHAR) AS date, cases, deaths, recoveries FROM ({NATION_MONTH_SQL})),
+    g AS (SELECT * FROM (SELECT DISTINCT country FROM f) CROSS JOIN (SELECT DISTINCT date FROM f) LEFT JOIN f USING (country, date))"""
+
+
+@query("rates_extract", f"WITH {_GRID_SQL} SELECT country, date, cases::INTEGER AS cases, deaths::INTEGER AS deaths, recoveries::INTEGER AS recoveries, true AS all_equal FROM g")
+def rates_extract(t):
+    """Three wide files, read with inferred types, counted, unpivoted and joined."""
+    long, counts = extract_wide(t.spark, wide_files(t))
+    return long.select("country", "date", *MEASURES).join(F.broadcast(counts.agg(F.bool_and("all_equal").alias("all_equal"))))
+
+
+@query("rates_report", f"WITH {_GRID_SQL} SELECT count(*) AS processed, count(*) FILTER (cases IS NULL OR deaths IS NULL OR recoveries IS NULL) AS failed, true AS all_equal FROM g")
+def rates_report(t):
+    """Rows that the whole job has processed and those that failed a check."""
+    return rates_job(t.spark, wide_files(t), scratch_path(t.spark, "rates-table"))
+
+
+@query("rates_table", f"""
+    WITH {_GRID_SQL},
+    r AS (SELECT *, deaths::DOUBLE / nullif(cases, 0) AS mr, recoveries::DOUBLE / nullif(cases, 0) AS rr FROM g),
+    c AS (SELECT *, mr / nullif(lag(mr) OVER w, 0) - 1 AS mc, rr / nullif(lag(rr) OVER w, 0) - 1 AS rc FROM r WINDOW w AS (PARTITION BY country ORDER BY date))
+    SELECT upper(country) AS country, date, cases::INTEGER AS cases, round(mr, 6) AS mortality_rate, round(rr, 6) AS recovery_rate, round(mc, 6) AS mortality_rate_change,
+      round(rc, 6) AS recovery_rate_change FROM c WHERE mc IS NOT NULL AND rc IS NOT NULL""")
+def rates_table(t):
+    """The CSV table that the whole job writes, read again."""
+    target = scratch_path(t.spark, "rates-table")
+    rates_job(t.spark, wide_files(t), target)
+    done = files.read_csv_inferred(t.spark, target).withColumn("date", day_text("date"))
+    return done.select("country", "date", "cases", *[F.round(c, 6).alias(c) for c in done.columns if "rate" in c])
+
+
 @query("running_volume", f"""
     SELECT ticker, CAST(day AS VARCHAR) AS day, volume,
       (sum(volume) OVER (PARTITION BY ticker ORDER BY day ROWS UNBOUNDED PRECEDING))::BIGINT AS running_volume FROM ({BARS_SQL})""")

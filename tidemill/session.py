@@ -59,3 +59,9 @@ def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a scan with few splits to all cores ahead of CPU-heavy work; larger scans stay as read."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place))
