@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import textbytes as tb
 from tidemill.llm.components import components
+from tidemill.operators.joins import bounded
 from tidemill.session import stage
 
 NGRAM = 5
@@ -43,6 +44,8 @@ PIVOTS = 8
 #: Classes in a block of a large region.
 BLOCK = 2048
 BUCKETS = 64
+#: Pairs of 24 bytes at most that are broadcast to the sets; more are joined by a shuffle.
+MOST_PAIRS = 1_000_000
 
 
 def shingles(piece: tb.Piece, n: int = NGRAM) -> list[np.ndarray]:
@@ -388,9 +391,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = sets.select("key", "counts").dropDuplicates(["key"])
     near = pairs.join(counts.withColumnsRenamed({"key": "a", "counts": "ca"}), "a").join(counts.withColumnsRenamed({"key": "b", "counts": "cb"}), "b")
     near = stage(near.mapInArrow(_possible, "a long, b long"), "possible")
-    grams = sets.select("key", "grams").dropDuplicates(["key"])
-    theirs = near.join(grams.withColumnRenamed("key", "b"), "b").select("a", "b", "grams")
-    own = near.select("a").distinct().join(grams.withColumnRenamed("key", "a"), "a").select("a", F.lit(None).cast("long").alias("b"), "grams")
+    # A set that several tasks have built meets its partners more than once, which gives the same links; the pairs are
+    # sent to the sets while they are few, since a set is some hundred times as long as a pair.
+    grams = sets.select("key", "grams")
+    theirs = bounded(near, MOST_PAIRS).join(grams.withColumnRenamed("key", "b"), "b").select("a", "b", "grams")
+    own = bounded(near.select("a").distinct(), MOST_PAIRS).join(grams.withColumnRenamed("key", "a"), "a").select("a", F.lit(None).cast("long").alias("b"), "grams")
     together = own.unionAll(theirs).repartition(partitions, "a").sortWithinPartitions("a", "b")  # nulls first
     links = stage(together.mapInArrow(_verify, "a long, b long"), "links")
 
@@ -406,7 +411,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # Block i meets block j in one task for every i <= j.
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
         rows = rows.select(F.xxhash64("gram", F.least("mine", "other"), F.greatest("mine", "other")).alias("region"), "key", "label")
-        held = rows.join(grams, "key").repartition(partitions, "region").sortWithinPartitions("region", "key")
+        held = bounded(stage(rows, "blocks"), MOST_PAIRS).join(grams, "key").repartition(partitions, "region").sortWithinPartitions("region", "key")
         more = stage(held.mapInArrow(_join_regions, "a long, b long"), "links")
         labels = components(links.unionAll(more))
 
@@ -423,17 +428,18 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with the smallest id of each component; rows with a null id, and all columns, stay.
 
     Rows are judged by id and text, so of different texts under one id each has its own component and only copies
-    go. Of rows that repeat both, one stays.
+    go. Of rows that repeat both, one stays. Other columns stay as they are, whatever their names.
     """
     key = lambda: F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.md5(F.col(text_col).cast("binary")).alias("digest")))
     found = near_duplicates(docs.select(key().alias("_key"), F.col(text_col).alias("_text")), "_key", "_text").filter("_key IS NOT NULL")
     # A component is named by its smallest id and text. A null text has no digest but equals itself.
     judged = found.groupBy("_key").agg(F.first(F.col("_key") != F.col("component_id")).alias("gone"), F.count(F.lit(1)).alias("n"))
     judged = stage(judged.filter("gone OR n > 1").select(F.col("_key.id").alias("_judged_id"), F.col("_key.digest").alias("_judged_digest"), "gone"), "judged")
-    same = (F.col(id_col) == F.col("_judged_id")) & F.md5(F.col(text_col).cast("binary")).eqNullSafe(F.col("_judged_digest"))
-    kept = docs.join(judged, same, "left_anti")
+    # The row travels as one value, so that no column of it meets a name used here.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.md5(F.col(text_col).cast("binary")).alias("_digest"))
+    same = (F.col("_id") == F.col("_judged_id")) & F.col("_digest").eqNullSafe(F.col("_judged_digest"))
+    kept = rows.join(judged, same, "left_anti")
     repeated = judged.filter("NOT gone")
-    if repeated.isEmpty():
-        return kept
-    ones = docs.join(repeated, same, "left_semi").withColumn("_judged_digest", F.md5(F.col(text_col).cast("binary")))
-    return kept.unionAll(ones.dropDuplicates([id_col, "_judged_digest"]).drop("_judged_digest"))
+    if not repeated.isEmpty():
+        kept = kept.unionAll(rows.join(repeated, same, "left_semi").dropDuplicates(["_id", "_digest"]))
+    return kept.select("_row.*")
