@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +30,12 @@ WINDOW = 100
 GRAM = 24
 #: Different runs of one anchor that one shard takes, and bytes that it handles at once.
 SHARD_RUNS = 4096
-SHARD_BYTES = 1 << 21
-#: Sides of at most so many rows and list entries are broadcast; larger ones are joined by a shuffle.
-SMALL_ROWS, SMALL_ENTRIES = 400_000, 4_000_000
+SHARD_BYTES = 1 << 20
+#: Sides of at most so many bytes, with ROW_BYTES for each row, are broadcast; larger ones are joined by a shuffle.
+SMALL_BYTES, ROW_BYTES = 64 << 20, 48
+#: A wanted run as the tables hold it: anchor, first window, number of windows (negative if its anchor is crowded).
+WANTED = np.dtype([("anchor", "<i8"), ("first", "<i4"), ("n", "<i4")])
+SPAN = np.dtype([("first", "<i4"), ("past", "<i4")])
 
 _CODE = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15
@@ -164,8 +168,11 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(key, kind="stable")
     ordered = key[order]
     fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))  # a group's rank is its first place
+    del key, ordered
+    numbers = np.int32 if n < 1 << 31 else np.int64
+    order = order.astype(numbers)
+    rank = np.empty(n, numbers)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n, dtype=numbers), 0))  # a group's rank is its first place
     h = 8
     while h < depth:
         single = fresh & np.concatenate([fresh[1:], [True]])
@@ -181,8 +188,8 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         fresh[places] = new
         rank[members] = np.maximum.accumulate(np.where(new, places, 0))
         h *= 2
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.empty(n, numbers)
+    place[order] = np.arange(n, dtype=numbers)
     return order, place
 
 
@@ -194,7 +201,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, place: np.ndarray, star
     what follows the two suffixes has their order. Ties of ``order`` stand in order of position, so it may not, and
     then the walk compares from the first byte on.
     """
-    out = np.zeros(len(text), np.int64)
+    out = np.zeros(len(text), np.int16)
     padded = np.concatenate([text.astype(np.int16), np.full(most + 1, -1, np.int16)])
     by_length = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[by_length], lengths[by_length]
@@ -223,7 +230,7 @@ def repeated_windows(slices: list[bytes], docs: np.ndarray, firsts: np.ndarray,
     starts = np.cumsum(lengths) - lengths
     order, place = suffix_array(text, WINDOW)
     shared = common_prefixes(text, order, place, starts, lengths, WINDOW)
-    group = np.cumsum(shared < WINDOW)
+    group = np.cumsum(shared < WINDOW, dtype=order.dtype)
     owner = np.repeat(np.arange(len(slices)), counts)
     step = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
     of = group[place[starts[owner] + step]]
@@ -273,15 +280,33 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their wanted runs -> the bytes of these."""
     for batch in batches:
-        for doc, text, wanted in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
-            raw = text.encode()
+        for doc, text, packed in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+            raw, wanted = text.encode(), np.frombuffer(packed, WANTED)
+            first, n = wanted["first"], np.abs(wanted["n"])
             yield pa.RecordBatch.from_pydict({
-                "anchor": pa.array([w["anchor"] for w in wanted], pa.int64()), "m": pa.array([w["m"] for w in wanted], pa.int64()), "doc": pa.array([doc] * len(wanted), pa.int64()),
-                "first": pa.array([w["first"] for w in wanted], pa.int32()), "n": pa.array([w["n"] for w in wanted], pa.int32()),
-                "bytes": pa.array([raw[w["first"]:w["first"] + w["n"] + WINDOW - 1] for w in wanted], pa.binary()),
+                "anchor": pa.array(wanted["anchor"]), "crowded": pa.array(wanted["n"] < 0), "doc": pa.array(np.full(len(wanted), doc, np.int64)), "first": pa.array(first), "n": pa.array(n),
+                "bytes": pa.array([raw[a:a + w + WINDOW - 1] for a, w in zip(first.tolist(), n.tolist(), strict=True)], pa.binary()),
             })
 
 
+def _packed(columns: list[str], kind: np.dtype, signed: str | None = None):
+    """Rows of doc and a list of structs -> doc and the list as one binary; ``signed`` names a flag that negates n."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("l")
+            flat = lists.flatten()
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            out = np.empty(len(flat), kind)
+            for c in columns:
+                out[c] = flat.field(c).to_numpy(zero_copy_only=False)
+            if signed:
+                out["n"] *= np.where(flat.field(signed).to_numpy(zero_copy_only=False), -1, 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array([p.tobytes() for p in np.split(out, ends[:-1])] if len(lists) else [], pa.binary())], names=["doc", "packed"])
+
+    return run
+
+
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices -> one run for each window, filed under the two halves of its digest."""
     for batch in batches:
@@ -290,9 +315,10 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield _batch(0, keys[:, 0], keys[:, 1], np.full(n, doc), first + np.arange(n), np.ones(n))
 
 
-def _small(df: DataFrame, entries) -> DataFrame:
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(entries), F.lit(0)).alias("e")).first()
-    return F.broadcast(df) if size["n"] <= SMALL_ROWS and size["e"] <= SMALL_ENTRIES else df
+def _small(df: DataFrame, packed: str) -> DataFrame:
+    """Broadcast ``df`` (doc and a packed list) if it has few bytes."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(packed)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] * ROW_BYTES + size["b"] <= SMALL_BYTES else df
 
 
 def _merged(runs: DataFrame, partitions: int) -> DataFrame:
@@ -313,13 +339,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = merged.filter("kind = 1").select("doc", span(1).alias("s")).select("doc", "s.first", "s.past")
     heads = merged.filter("kind = 2")
     counted = heads.join(heads.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")), "anchor")
-    wanted = stage(counted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "m", "first", "n")).alias("wanted")), "wanted")
+    listed = counted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "first", "n", (F.col("m") > SHARD_RUNS).alias("crowded"))).alias("l"))
+    wanted = stage(listed.mapInArrow(_packed(["anchor", "first", "n"], WANTED, "crowded"), "doc long, packed binary"), "wanted").withColumnRenamed("packed", "wanted")
     # An id stands for one text: of rows that repeat it, one is cut.
-    texts = shaped.join(_small(wanted, F.size("wanted")), F.col("_id") == F.col("doc")).select("_id", "_text", "wanted")
-    slices = stage(texts.mapInArrow(_cut_slices, "anchor long, m long, doc long, first int, n int, bytes binary"), "slices")
-    narrow = slices.filter(F.col("m") <= SHARD_RUNS).select("anchor", "doc", "first", "n", "bytes").repartition(partitions, "anchor").sortWithinPartitions("anchor")
+    texts = shaped.join(_small(wanted, "wanted"), F.col("_id") == F.col("doc")).select("_id", "_text", "wanted")
+    slices = stage(texts.mapInArrow(_cut_slices, "anchor long, crowded boolean, doc long, first int, n int, bytes binary"), "slices")
+    narrow = slices.filter("NOT crowded").select("anchor", "doc", "first", "n", "bytes").repartition(partitions, "anchor").sortWithinPartitions("anchor")
     found = stage(narrow.mapInArrow(_shards, SPANS), "repeats")
-    single = slices.filter(F.col("m") > SHARD_RUNS).select("doc", "first", "n", "bytes").mapInArrow(_single_windows, RUNS)
+    single = slices.filter("crowded").select("doc", "first", "n", "bytes").mapInArrow(_single_windows, RUNS)
     hot = _merged(single, partitions).filter("kind = 1").select("doc", "first", (F.col("first") + WINDOW).alias("past"))
     return copies.unionAll(whole).unionAll(found.select("doc", "first", "past")).unionAll(stage(hot, "hot_repeats"))
 
@@ -357,22 +384,24 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spans = repeated_spans(docs, id_col, text_col)
     joined = spans.repartition(partitions, "doc").sortWithinPartitions("doc", "first", "past").mapInArrow(_join_spans, SPANS)
-    of_doc = stage(joined.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("first", "past"))).alias("spans")), "spans")
+    listed = joined.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("first", "past"))).alias("l"))
+    of_doc = stage(listed.mapInArrow(_packed(["first", "past"], SPAN), "doc long, packed binary"), "spans").withColumnRenamed("packed", "spans")
     shaped = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    both = shaped.join(_small(of_doc, F.size("spans")), F.col("_id") == F.col("doc"), "left").select("_id", "_text", "spans")
+    both = shaped.join(_small(of_doc, "spans"), F.col("_id") == F.col("doc"), "left").select("_id", "_text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, counts, digests, kept = [], [], [], [], []
             for text, gone in zip(batch.column("_text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 raw, at, parts = (text or "").encode(), 0, []
-                for s in gone or ():
-                    parts.append(raw[at:s["first"]])
-                    at = s["past"]
+                spans = np.frombuffer(gone or b"", SPAN).tolist()
+                for first, past in spans:
+                    parts.append(raw[at:first])
+                    at = past
                 left = b"".join([*parts, raw[at:]])
                 sizes.append(len(raw))
                 removed.append(len(raw) - len(left))
-                counts.append(len(gone or ()))
+                counts.append(len(spans))
                 digests.append(hashlib.sha256(left).hexdigest())
                 kept.append(left)
             yield pa.RecordBatch.from_arrays(
