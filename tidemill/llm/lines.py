@@ -129,7 +129,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of fewer than ``min_words`` words stay. Lines end at line feeds; the kept ones are joined by line feeds again.
     Null texts stay null, an empty text is one line without words. Rows with a null id stay as they are and do not
     count. Rows that repeat an id with its text lose the same lines; different texts under one id are documents of
-    their own, in the order of their hashes. Other columns stay as they are.
+    their own, in the order of their hashes. Other columns stay as they are, whatever their names; with ``counts``
+    columns of the two added names are replaced.
     """
     digest = F.xxhash64(text_col)
     several = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(digest).alias("lo"), F.max(digest).alias("hi")).filter("lo <> hi")
@@ -137,12 +138,15 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     key = F.col(id_col) if several.isEmpty() else F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), digest.alias("digest")))
     keyed = docs.select(key.alias("_key"), F.col(text_col).alias("_text"))
     gone = stage(repeated_lines(keyed, "_key", "_text", min_words), "gone").withColumnsRenamed({"doc": "_doc", "gone": "_gone"})
-    joined = docs.join(_small(gone, F.size("_gone")), key == F.col("_doc"), "left")
-    lines = F.split(F.col(text_col), "\n", -1)
+    # The row travels as one value, so that no column of it meets a name used here.
+    shaped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"), F.col(text_col).alias("_text"))
+    joined = shaped.join(_small(gone, F.size("_gone")), F.col("_key") == F.col("_doc"), "left")
+    lines = F.split(F.col("_text"), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    out = joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], *([
-        F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+    text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    added = ("n_lines", "n_removed") if counts else ()
+    out = joined.select(*[text.alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns if c not in added], *([
+        F.when(F.col("_text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     ] if counts else []))
     return out

@@ -86,12 +86,14 @@ def mix_sources(
     Without ``budget`` it is the least number of tokens at which every source is read once as a whole, so that no
     document is left out. Within a block rows are read in order of place. The null source is a source of its own;
     documents without words belong to their source's passes and cost nothing. Repeated rows are documents of their
-    own. A source without any words is read once. Columns of the added names are replaced; an empty table stays empty.
+    own. A source without any words is read once. Columns of the added names are replaced, others stay whatever their
+    names; an empty table stays empty.
     """
     added = ["n_tokens", "weight", "epoch", "block", "place"]
-    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
-    sized = base.select("*", token_count(F.col(text_col)).alias("n_tokens"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_h"))
-    sizes = stage(sized.select(F.col(source_col).alias("src"), "n_tokens", "_h"), "sizes")
+    # The row travels as one value, so that no column of it meets a name used here.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("_row")
+    sized = docs.select(row, F.col(f"`{source_col}`").alias("src"), token_count(F.col(f"`{text_col}`")).alias("n_tokens"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_h"))
+    sizes = stage(sized.select("src", "n_tokens", "_h"), "sizes")
     totals = stage(source_totals(sizes, "src", "n_tokens"), "sources")
     a = find_exponent(totals, entropy, repetitions, budget)
     facts = totals.filter("total > 0").agg(F.sum("total").alias("all"), F.sum(F.pow(F.col("total").cast("double"), F.lit(a))).alias("z"), F.max(F.pow(F.col("total").cast("double"), F.lit(1 - a))).alias("full")).first()
@@ -123,11 +125,11 @@ def mix_sources(
         F.col("src").alias("p_src"), "weight", "whole", "rest", "passes", "cut", "low"
     )
     limits = bounded(stage(limits, "limits"))
-    joined = sized.join(limits, F.col(source_col).eqNullSafe(F.col("p_src")), "left")
+    joined = sized.join(limits, same_src, "left")
     again = (F.col("rest") > 0) & F.coalesce((F.col("cut").isNotNull() & (F.col("_h") <= F.col("cut"))) | (range_of < F.col("low")), F.lit(False))
     copies = (F.col("whole") + again.cast("long")).cast("int")
     read = joined.withColumn("epoch", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))))
     # A pass is spread over its share of the blocks in the order of its own hash.
     unit = F.pmod(F.when(F.col("epoch") > F.col("whole"), F.col("_h").cast("double") / 2.0**64 + 0.5).otherwise(F.xxhash64("_h", "epoch").cast("double") / 2.0**64 + 0.5), F.lit(1.0))
     block = F.least(F.floor((F.col("epoch") - 1 + unit) / F.greatest("passes", F.lit(1e-9)) * blocks), F.lit(blocks - 1)).cast("int")
-    return read.select(*base.columns, "n_tokens", "weight", "epoch", block.alias("block"), F.xxhash64(F.lit(seed + 1), "_h", "epoch").alias("place"))
+    return read.select("_row.*", "n_tokens", "weight", "epoch", block.alias("block"), F.xxhash64(F.lit(seed + 1), "_h", "epoch").alias("place"))

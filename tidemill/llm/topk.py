@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tidemill.session import stage
 
+#: Scores beyond it fall into the outermost bins.
+LIMIT = 1 << 61
 BINS = 256
 QUERIES_PER_BLOCK = 512
 ROWS_PER_BLOCK = 4096
@@ -84,7 +86,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, cand = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
             low, width = np.frombuffer(row["low"], np.int64), np.frombuffer(row["width"], np.int64)
             scores = _scores(row["q_vectors"], row["vectors"], row["dim"])
-            bins = np.clip((scores - low[:, None]) // width[:, None], -1, BINS) + 1
+            bins = np.clip((np.clip(scores, -LIMIT, LIMIT) - low[:, None]) // width[:, None], -1, BINS) + 1
             bins[cand[None, :] == ids[:, None]] = 0
             flat = (bins + np.arange(len(ids))[:, None] * (BINS + 2)).ravel()
             counts = np.bincount(flat, minlength=len(ids) * (BINS + 2)).reshape(len(ids), -1)[:, 1:]
@@ -98,7 +100,7 @@ def _best(k: int):
             for row in batch.to_pylist():
                 ids, cand, low = (np.frombuffer(row[n], np.int64) for n in ("q_ids", "ids", "low"))
                 scores = _scores(row["q_vectors"], row["vectors"], row["dim"])
-                keep = (scores >= low[:, None]) & (cand[None, :] != ids[:, None])
+                keep = (np.clip(scores, -LIMIT, LIMIT) >= low[:, None]) & (cand[None, :] != ids[:, None])
                 for i in np.flatnonzero(keep.any(axis=1)):
                     at = np.flatnonzero(keep[i])
                     at = at[np.lexsort((cand[at], -scores[i, at]))[:k]]
@@ -132,7 +134,7 @@ def top_k(
     Rows with a null id, a null or empty vector, or null or non-finite components take no part, and only vectors
     of equal length meet. All rows of the query's own id are left out; of rows that repeat an id with different
     vectors the smallest vector counts. A query with fewer than k others has them all; empty tables give none.
-    Scores must fit 64 bits.
+    Scores must fit 64 bits; the ranges of histograms end at 2^61, and what lies beyond counts as their last bin.
     """
     vectors = stage(integer_vectors(rows.select(id_col, vector_col), id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v")), "vectors")
     queries = vectors.join(rows.filter(is_query).select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
@@ -146,9 +148,9 @@ def top_k(
 
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     peaks = vectors.groupBy(F.size("v").alias("dim")).agg(F.max(norm).alias("peak"))
-    reach = F.least(F.ceil(norm * F.col("peak") * 1.0001) + 1, F.lit(1 << 61))
+    reach = F.ceil(F.least(norm * F.col("peak") * 1.0001 + 1, F.lit(float(LIMIT)))).cast("long")
     state = queries.select("id", "v", F.size("v").alias("dim")).join(peaks, "dim").select(
-        "id", (-reach).cast("long").alias("low"), F.ceil((2 * reach + 1) / BINS).cast("long").alias("width"), F.lit(0).cast("long").alias("above")
+        "id", (-reach).alias("low"), (F.floor(reach / (BINS // 2)) + 1).cast("long").alias("width"), F.lit(0).cast("long").alias("above")
     )
     state = stage(state, "ranges")
     while True:
