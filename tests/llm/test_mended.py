@@ -123,18 +123,29 @@ def test_spans_by_broadcast_and_by_shuffle(spark, monkeypatch):
 # --- the pipeline
 
 
-def test_pipeline_keeps_clean_documents_and_its_columns(spark):
+def test_pipeline_runs_its_stages_in_order(spark, monkeypatch):
+    """Each stage gets what the one before returned, with the columns of documents, and none adds or changes ids."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    n = docs.count()
-    for name, function in corpus_pipeline.STAGES:
-        out = function(spark, docs, SF_DIR)
-        assert set(docs.columns) <= set(out.columns), name
-        if name != corpus_pipeline.STAGES[-1][0]:
-            assert out.columns == docs.columns and out.count() <= n
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "mixing sources to target weights"]
+    seen = []
+
+    def watched(name, function):
+        def run(spark, given, sf_dir):
+            out = function(spark, given, sf_dir)
+            seen.append((name, given.columns, out.columns, given.count()))
+            return out
+
+        return name, run
+
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "mixing sources to target weights"]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [watched(*s) for s in corpus_pipeline.STAGES])
     made = corpus_pipeline.run(spark, SF_DIR)
-    assert made.select("doc_id").distinct().count() > 0.5 * n
-    assert made.join(docs, "doc_id", "left_anti").count() == 0
+    assert [s[0] for s in seen] == names
+    assert all(s[1] == docs.columns for s in seen) and all(s[2] == docs.columns for s in seen[:-1])
+    counts = [s[3] for s in seen]
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.5 * docs.count()
+    assert made.select("doc_id").distinct().count() == counts[-1]
+    assert made.join(docs, "doc_id", "left_anti").isEmpty()
 
 
 @pytest.mark.parametrize("stage", range(1, 5))
