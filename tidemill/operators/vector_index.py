@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.joins import bounded
-from tidemill.session import scratch_path, stage
+from tidemill.session import exists, scratch_path, stage
 
 #: Sampled vectors for each centre, and Lloyd steps on them.
 TRAINING_ROWS = 64
@@ -275,12 +275,9 @@ class VectorIndex:
 
     def probes_for(self, k: int, recall: float = RECALL) -> int:
         """The calibrated number of cells; measured first where the folder does not have it."""
-        try:
+        known = None
+        if exists(self.spark, f"{self.path}/probes"):
             known = self.spark.read.parquet(f"{self.path}/probes").filter((F.col("k") >= k) & (F.col("recall") >= recall)).agg(F.min("probes")).first()[0]
-        except Exception as missing:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            known = None
         return known or self.calibrate(k, recall)
 
     def _route(self, queries: DataFrame, pick) -> DataFrame:
