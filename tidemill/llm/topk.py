@@ -4,7 +4,11 @@ Every query is scored against every row, block of queries by block of rows. The
 round counts them in the bins of one histogram per query, sums the histograms over all blocks and narrows
 each query's range to the bin that holds its k-th highest score. When every range is one score wide, or only
 few scores stand at or above its lower end, a last scoring pass keeps the scores from that bound on, at most
-k from each block, and ranks them by score and id. What a round returns is one row per query and block.
+k from each block, and ranks them by score and id.
+
+A task adds the histograms of a query up and returns the bins from the top down to the one where its own count
+reaches k: the k-th highest of all scores cannot lie lower, so no sum that matters lacks a part. That is at most
+k rows a query, however many rows the task has scored.
 """
 
 from __future__ import annotations
@@ -23,8 +27,11 @@ LIMIT = 1 << 61
 BINS = 256
 QUERIES_PER_BLOCK = 512
 ROWS_PER_BLOCK = 4096
-#: Blocks of rows are dealt to so many slots, and every block of queries visits each slot once.
+#: Blocks of rows are dealt to slots, one for so many rows but SLOTS at least; every block of queries visits each slot once.
+ROWS_PER_SLOT = 8 * ROWS_PER_BLOCK
 SLOTS = 32
+#: Histograms of so many blocks of queries are added up at once, 1 MB each.
+HELD = 16
 #: Rounds end when no more scores than this, times k, stand at or above the bound of any query.
 FEW = 8
 
@@ -79,37 +86,67 @@ def _scores(q: bytes, c: bytes, dim: int) -> np.ndarray:
     return a @ b.T
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per query of a pair of blocks: how many scores fall into each bin of its range, and how many above it."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: a row carries two blocks."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _top_bins(ids: np.ndarray, counts: np.ndarray, k: int) -> pa.RecordBatch:
+    """Id, bin and count of the bins that are not empty, per query from the highest to the one that completes k scores."""
+    above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
+    at, which = np.nonzero((counts > 0) & (above < k))
+    return pa.RecordBatch.from_pydict({"id": ids[at], "bin": which.astype(np.int32), "n": counts[at, which]})
+
+
+def _count(k: int):
+    """Pairs of blocks -> per query how many scores fall into each bin of its range, and how many above it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, np.ndarray] = {}
+        for row in _rows(batches):
             ids, cand = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
             low, width = np.frombuffer(row["low"], np.int64), np.frombuffer(row["width"], np.int64)
             scores = _scores(row["q_vectors"], row["vectors"], row["dim"])
             bins = np.clip((np.clip(scores, -LIMIT, LIMIT) - low[:, None]) // width[:, None], -1, BINS) + 1
             bins[cand[None, :] == ids[:, None]] = 0
             flat = (bins + np.arange(len(ids))[:, None] * (BINS + 2)).ravel()
-            counts = np.bincount(flat, minlength=len(ids) * (BINS + 2)).reshape(len(ids), -1)[:, 1:]
-            at, which = np.nonzero(counts)
-            yield pa.RecordBatch.from_pydict({"id": ids[at], "bin": which.astype(np.int32), "n": counts[at, which].astype(np.int64)})
+            counts = np.bincount(flat, minlength=len(ids) * (BINS + 2)).reshape(len(ids), -1)[:, 1:].astype(np.int64)
+            if row["q_ids"] in held:
+                held[row["q_ids"]] += counts
+            else:
+                if len(held) == HELD:
+                    first = next(iter(held))
+                    yield _top_bins(np.frombuffer(first, np.int64), held.pop(first), k)
+                held[row["q_ids"]] = counts
+        for key, counts in held.items():
+            yield _top_bins(np.frombuffer(key, np.int64), counts, k)
+
+    return run
 
 
 def _best(k: int):
+    """Pairs of blocks -> per query the k best scores from its bound on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, cand, low = (np.frombuffer(row[n], np.int64) for n in ("q_ids", "ids", "low"))
-                scores = _scores(row["q_vectors"], row["vectors"], row["dim"])
-                keep = (np.clip(scores, -LIMIT, LIMIT) >= low[:, None]) & (cand[None, :] != ids[:, None])
-                for i in np.flatnonzero(keep.any(axis=1)):
-                    at = np.flatnonzero(keep[i])
-                    at = at[np.lexsort((cand[at], -scores[i, at]))[:k]]
-                    yield pa.RecordBatch.from_pydict({"id": np.full(len(at), ids[i]), "other": cand[at], "score": scores[i, at]})
+        for row in _rows(batches):
+            ids, cand, low = (np.frombuffer(row[n], np.int64) for n in ("q_ids", "ids", "low"))
+            scores = _scores(row["q_vectors"], row["vectors"], row["dim"])
+            which, at = np.nonzero((np.clip(scores, -LIMIT, LIMIT) >= low[:, None]) & (cand[None, :] != ids[:, None]))
+            if not len(at):
+                continue
+            order = np.lexsort((cand[at], -scores[which, at], which))
+            which, at = which[order], at[order]
+            starts = np.flatnonzero(np.diff(which, prepend=-1))
+            nth = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
+            which, at = which[nth < k], at[nth < k]
+            yield pa.RecordBatch.from_pydict({"id": ids[which], "other": cand[at], "score": scores[which, at]})
 
     return run
 
 
-def _pairs(queries: DataFrame, state: DataFrame, blocks: DataFrame) -> DataFrame:
+def _pairs(queries: DataFrame, state: DataFrame, blocks: DataFrame, slots: int) -> DataFrame:
     """Every block of queries (with the range of each) beside every block of rows of the same vector length."""
     rows = queries.join(state, "id").groupBy("q_block").agg(F.sort_array(F.collect_list(F.struct("id", "v", "low", "width"))).alias("q"))
 
@@ -122,7 +159,7 @@ def _pairs(queries: DataFrame, state: DataFrame, blocks: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_pydict({"dim": pa.array([len(q[0]["v"])], pa.int32())} | {n: pa.array([b], pa.binary()) for n, b in packed.items()})
 
     packed = rows.mapInArrow(pack, "dim int, low binary, width binary, q_ids binary, q_vectors binary")
-    return packed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1)))).join(blocks, ["dim", "slot"])
+    return packed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).join(blocks, ["dim", "slot"])
 
 
 def top_k(
@@ -140,11 +177,12 @@ def top_k(
     queries = vectors.join(rows.filter(is_query).select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
     # Blocks of queries: as many hash slots as the count asks for, per vector length.
     n_queries = queries.count()
-    slots = max(1, -(-n_queries // QUERIES_PER_BLOCK))
-    slot = F.struct(F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot"))
-    queries = stage(queries.withColumn("q_block", slot), "queries")
+    q_blocks = max(1, -(-n_queries // QUERIES_PER_BLOCK))
+    q_block = F.struct(F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(q_blocks)).alias("slot"))
+    queries = stage(queries.withColumn("q_block", q_block), "queries")
+    slots = max(SLOTS, -(-vectors.count() // ROWS_PER_SLOT))
     blocks = vectors.mapInArrow(_blocks(ROWS_PER_BLOCK), BLOCK_SCHEMA)
-    blocks = stage(blocks.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(SLOTS)).cast("int")), "blocks")
+    blocks = stage(blocks.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int")), "blocks")
 
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     peaks = vectors.groupBy(F.size("v").alias("dim")).agg(F.max(norm).alias("peak"))
@@ -154,7 +192,7 @@ def top_k(
     )
     state = stage(state, "ranges")
     while True:
-        counted = _pairs(queries, state, blocks).mapInArrow(_count, "id long, bin int, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
+        counted = _pairs(queries, state, blocks, slots).mapInArrow(_count(k), "id long, bin int, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("id").orderBy(F.desc("bin"))  # at most BINS + 1 rows a query
         upto = counted.withColumn("upto", F.sum("n").over(down))
         hit = upto.filter(F.col("upto") >= k).groupBy("id").agg(F.max(F.struct("bin", "upto", "n")).alias("b"))
@@ -168,6 +206,6 @@ def top_k(
         state = stage(narrowed, "ranges")
         if (state.agg(F.max("above")).first()[0] or 0) <= FEW * k:
             break
-    best = _pairs(queries, state, blocks).mapInArrow(_best(k), "id long, other long, score long")
+    best = _pairs(queries, state, blocks, slots).mapInArrow(_best(k), "id long, other long, score long")
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "other"))).filter(F.col("rank") <= k)
     return ranked.select(F.col("id").alias(out[0]), F.col("rank").alias(out[1]), F.col("other").alias(out[2]), F.col("score").alias(out[3]))
