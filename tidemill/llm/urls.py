@@ -9,6 +9,7 @@ once for each range, and the open ones at any key are the ancestors of one host.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,7 +20,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = "://([^/?#]*)([^?#]*)"
 #: Sorts after every key of a host and its subdomains, whose next character is a dot.
 PAST_HOST = "/"
+#: One range for so many urls, RANGES at least; the bounds come from a sample of about SAMPLED keys a range.
+URLS_PER_RANGE = 1_000_000
 RANGES = 64
+SAMPLED = 100
 
 
 def host_of(url) -> F.Column:
@@ -35,6 +39,24 @@ def host_key(host) -> F.Column:
     return F.when(F.length(host) == 0, F.lit("")).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit(".")))
 
 
+def _bounds(urls: DataFrame, count: int, ranges: int) -> list[str]:
+    """Keys that cut the urls into ranges of about equal size. They decide where a url is judged, not how."""
+    share = min(1.0, SAMPLED * ranges / max(1, count))
+    keys = urls.select("_key") if share == 1.0 else urls.select("_key").sample(share, seed=0)
+    lows = keys.repartitionByRange(ranges, "_key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("_key").alias("low"))
+    return sorted(r["low"] for r in lows.select("low").collect())[1:]  # at most `ranges` rows
+
+
+def _range_of(bounds):
+    """Number of the range that holds a key; ``bounds`` is a broadcast list in order."""
+
+    @F.arrow_udf("int")
+    def found(keys: pa.Array) -> pa.Array:
+        return pa.array([bisect_right(bounds.value, k) for k in keys.to_pylist()], pa.int32())
+
+    return found
+
+
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by range, key and kind; a rule stands before the urls of its interval."""
     part, stack = None, []  # entries: host key, path -> verdict, lengths of these paths
@@ -78,7 +100,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def judge_urls(
-    pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", ranges: int = RANGES
+    pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", ranges: int | None = None
 ) -> DataFrame:
     """Per row: id, host, path, the longest fitting rule as text (else null) and its verdict (else ``default``).
 
@@ -97,10 +119,9 @@ def judge_urls(
         F.coalesce("path", F.lit("")).alias("_path"), F.col("verdict").alias("_verdict"),
     ).filter("_host <> ''").withColumn("_key", host_key(F.col("_host")))
 
-    ranged = urls.select("_key").repartitionByRange(ranges, "_key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("_key").alias("low"))
-    lows = sorted(r["low"] for r in ranged.select("low").collect())[1:]  # at most `ranges` rows
-    bounds = F.array(*[F.lit(x) for x in lows]) if lows else F.array().cast("array<string>")
-    part_of = lambda key: F.size(F.filter(bounds, lambda low: low <= key))
+    count = pages.count()
+    ranges = ranges or max(RANGES, -(-count // URLS_PER_RANGE))
+    part_of = _range_of(pages.sparkSession.sparkContext.broadcast(_bounds(urls, count, ranges)))
     last = F.concat(F.expr("substring(_key, 1, length(_key) - 1)"), F.lit(PAST_HOST))
     spread = marked.withColumn("_part", F.explode(F.sequence(part_of(F.col("_key")), part_of(last))))
     columns = ["_part", "_key", "_rule", "_path", "_verdict", "_host", "_row"]
