@@ -9,6 +9,7 @@ automaton for each chunk, so that what a task holds does not grow with the bench
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,6 +109,22 @@ class Automaton:
                         items |= names
 
 
+#: The automaton that this worker process built last, by the name of its chunk.
+_built: dict[str, Automaton] = {}
+
+
+def _automaton(key: str, chunk, window: int) -> Automaton:
+    """One automaton for a chunk and worker process, however many tasks it runs; that of an earlier chunk is let go."""
+    if key not in _built:
+        _built.clear()
+        items = []
+        for name, text in chunk.value:
+            piece = next(tb.pieces(pa.array([text], pa.string())))
+            items.append((name, tb.lower_words(piece, tb.ALNUM)[0]))
+        _built[key] = Automaton(items, window)
+    return _built[key]
+
+
 RESULT = "_id {id}, n_words long, spans array<struct<first:int,past:int>>, items array<string>"
 
 
@@ -118,13 +135,10 @@ def _spans(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _scan(chunk, window: int):
     """Documents -> words, hit spans and items of one chunk."""
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = []
-        for name, text in chunk.value:
-            piece = next(tb.pieces(pa.array([text], pa.string())))
-            items.append((name, tb.lower_words(piece, tb.ALNUM)[0]))
-        auto = Automaton(items, window)
+        auto = _automaton(key, chunk, window)
         common = np.zeros(1 << 16, bool)
         common[(auto.vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
         for batch in batches:
