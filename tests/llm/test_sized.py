@@ -1,10 +1,12 @@
 """Operators whose parts follow the size of the input: the result stays the same with any number of them."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import queries, topk, urls
+from tidemill.llm import decontam, queries, topk, urls
 
 
 def test_top_bins_complete_k():
@@ -50,3 +52,20 @@ def test_urls_with_any_number_of_ranges(spark, monkeypatch, per_range, sampled):
 
     assert len(got) == 300
     assert {r["page_id"]: (r["rule"], r["verdict"]) for r in got} == {i: plain(u) for i, u in rows}
+
+
+def test_automaton_is_built_once_for_a_worker():
+    chunk = SimpleNamespace(value=[("a", "one two three")])
+    first = decontam._automaton("x", chunk, 2)
+    assert decontam._automaton("x", chunk, 2) is first
+    other = decontam._automaton("y", chunk, 2)
+    assert other is not first and list(decontam._built) == ["y"]
+
+
+def test_matches_of_two_benchmarks_do_not_mix(spark):
+    """Workers run on from one set of items to the next."""
+    docs = spark.createDataFrame([(1, "p q r s t"), (2, "u v w x y")], "doc_id long, text string")
+    for text, hits in (("q r s", {1: 3, 2: 0}), ("v w", {1: 0, 2: 2}), ("q r s", {1: 3, 2: 0})):
+        items = spark.createDataFrame([("i", text)], "item_id string, text string")
+        got = decontam.find_matches(docs, items, window=2).select("_id", decontam.n_hit().alias("n")).collect()
+        assert {r["_id"]: r["n"] for r in got} == hits
