@@ -38,6 +38,16 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
+def line_key(words: Column, n: Column) -> Column:
+    """The line as 128 bits, two hashes with different seeds, so that chance equals none at any size of the corpus."""
+    return F.struct(F.xxhash64(words, n).alias("a"), F.xxhash64(F.lit(1), words, n).alias("b"))
+
+
+def _several_lines() -> Column:
+    """Whether the rows of a group hold more than one line; four numbers, which hash aggregates take."""
+    return (F.min("h.a") != F.max("h.a")) | (F.min("h.b") != F.max("h.b"))
+
+
 def _half_keys(words: Column, n: Column) -> Column:
     """Four keys: first and last half, at half this length and at half the length less one."""
     keys = []
@@ -79,7 +89,7 @@ def _deletion_keys(lines: DataFrame) -> DataFrame:
 def _near_lines(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """h of the distinct lines that have a near line whose first occurrence is earlier."""
     halves = distinct.select("h", F.explode("halves").alias("half"))
-    met = halves.groupBy("half").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo <> hi").select("half")
+    met = halves.groupBy("half").agg(_several_lines().alias("several")).filter("several").select("half")
     names = stage(halves.join(met, "half", "left_semi").select("h").distinct().join(distinct.select("h", "first"), "h"), "candidates")
     wanted = names.select(F.col("first.doc").alias("doc"), F.col("first.line_no").alias("line_no"), "h", "first")
     of_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("line_no", "h")).alias("wanted"))
@@ -91,7 +101,7 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str
     lines = stage(picked.dropDuplicates(["h"]), "lines")
 
     variants = stage(_deletion_keys(lines), "variants")
-    shared = variants.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo <> hi").select("key")
+    shared = variants.groupBy("key").agg(_several_lines().alias("several")).filter("several").select("key")
     variants = stage(variants.join(shared, "key", "left_semi"), "shared")
     mine = F.struct("first", "h", "place")
     by_key = variants.groupBy("key").agg(F.min(mine).alias("any"), F.min(F.when(F.col("place") == 0, mine)).alias("whole"))
@@ -112,7 +122,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words = line_words(F.col("line"))
     lines = _numbered(docs, id_col, text_col).select("doc", "line_no", words.alias("words")).filter(F.size("words") >= min_words)
     n = F.size("words")
-    lines = stage(lines.select("doc", "line_no", F.xxhash64("words", n).alias("h"), _half_keys(F.col("words"), n).alias("halves")), "line_hashes")
+    lines = stage(lines.select("doc", "line_no", line_key(F.col("words"), n).alias("h"), _half_keys(F.col("words"), n).alias("halves")), "line_hashes")
     distinct = lines.groupBy("h").agg(F.min(F.struct("doc", "line_no")).alias("first"), F.max(F.struct("doc", "line_no")).alias("last"), F.min("halves").alias("halves"))
     distinct = stage(distinct, "distinct_lines")
     near = stage(_near_lines(docs, distinct, id_col, text_col), "near")
