@@ -13,15 +13,17 @@ from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm import textbytes as tb
+from tidemill.session import stage
 
 BITS = 20
-#: Rated documents that a fit looks at, at most, and characters of their texts; the lowest hashes of the id are taken.
-SAMPLE_ROWS = 12_000
+#: Rated documents that a fit looks at, at most, and bytes of their feature slots; the lowest hashes of the id are taken.
+#: A text has at most 2^BITS slots of four bytes, so the bytes always suffice for some.
+SAMPLE_ROWS, SAMPLE_BYTES = 12_000, 32 << 20
 HEAD_BYTES = 5
 #: Slots get a weight if their log-likelihood ratio with the grades is at least this, so that chance words of long texts don't add up.
 LEAST_RATIO = 16.0
@@ -125,10 +127,28 @@ def fit_ordinal(texts: list[np.ndarray], grades: np.ndarray, bits: int = BITS, r
     return OrdinalModel([int(g) for g in levels], weights, x[len(used)] + np.concatenate([[0], np.cumsum(np.exp(x[len(used) + 1:]))]), bits)
 
 
-def fit_on_ratings(docs: DataFrame, ratings: DataFrame, grade: Column, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, rows: int = SAMPLE_ROWS) -> OrdinalModel | None:
-    """Fit on at most ``rows`` rated documents; None if fewer than two grades are found.
+def _first_rows(rated: DataFrame, rows: int, size: int) -> DataFrame:
+    """The first rows in the order of the hash of their id, at most ``rows`` and together at most ``size`` bytes of slots.
 
-    Ratings with a null id or grade are left out, a document rated twice counts twice.
+    An id may repeat without end, so the bytes are summed over sizes alone, of the first ``rows`` rows that the tasks leave.
+    """
+    place = F.struct(F.xxhash64("id").alias("hash"), "id", "grade", F.sha2("slots", 256).alias("digest"))
+    sizes = rated.select(place.alias("place"), F.length("slots").cast("long").alias("size")).orderBy("place").limit(rows)
+    upto = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = sizes.select(F.sum("size").over(upto).alias("upto"), "place").filter(F.col("upto") <= size).agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last")).first()
+    if not cut["n"]:
+        return rated.limit(0)
+    last = F.struct(*[F.lit(v) for v in cut["last"]])
+    return rated.filter(place <= last).orderBy(place).limit(cut["n"])
+
+
+def fit_on_ratings(
+    docs: DataFrame, ratings: DataFrame, grade: Column, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES
+) -> OrdinalModel | None:
+    """Fit on at most ``rows`` rated documents and ``size`` bytes of their slots; None if fewer than two grades are found.
+
+    Ratings with a null id or grade are left out, a document rated twice counts twice, and so does a row that repeats
+    another; repeats count towards the bounds.
     """
     rated = ratings.select(F.col(id_col).alias("_id"), grade.cast("int").alias("_grade")).dropna()
     sample = rated.orderBy(F.xxhash64("_id"), "_id", "_grade").limit(rows)
@@ -142,8 +162,8 @@ def fit_on_ratings(docs: DataFrame, ratings: DataFrame, grade: Column, id_col: s
                 blobs += [slots[a:b].astype(np.uint32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("_grade"), batch.column("_id").cast(pa.string()), pa.array(blobs, pa.binary())], names=["grade", "id", "slots"])
 
-    # The sample's size is bounded by `rows`; what comes back is a few bytes for each distinct word of it.
-    found = texts.join(F.broadcast(sample), "_id").mapInArrow(read, "grade int, id string, slots binary").toPandas()
+    rated_slots = stage(texts.join(F.broadcast(sample), "_id").mapInArrow(read, "grade int, id string, slots binary"), "rated")
+    found = _first_rows(rated_slots, rows, size).toPandas()
     found = found.sort_values(["id", "grade", "slots"], kind="stable")
     if found["grade"].nunique() < 2:
         return None
