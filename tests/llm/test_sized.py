@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontam, queries, topk, urls
+from tidemill.llm import decontam, lines, quality, queries, topk, urls
 
 
 def test_top_bins_complete_k():
@@ -69,3 +69,43 @@ def test_matches_of_two_benchmarks_do_not_mix(spark):
         items = spark.createDataFrame([("i", text)], "item_id string, text string")
         got = decontam.find_matches(docs, items, window=2).select("_id", decontam.n_hit().alias("n")).collect()
         assert {r["_id"]: r["n"] for r in got} == hits
+
+
+@pytest.mark.parametrize("size,rows", [(1 << 20, 100), (1 << 20, 7), (400, 100), (3, 100)])
+def test_rated_sample_within_rows_and_bytes(spark, size, rows):
+    """One id holds most rows; the rows that fit are the first in the order, whatever the partitions."""
+    rated = [(i % 3, f"d{i}", bytes(range(4 * (1 + i % 9)))) for i in range(40)] + [(1, "hot", bytes(24))] * 200
+    df = spark.createDataFrame(rated, "grade int, id string, slots binary")
+    got = quality._first_rows(df.repartition(5), rows, size).collect()
+    order = df.select("*", F.xxhash64("id").alias("hash"), F.sha2("slots", 256).alias("digest")).orderBy("hash", "id", "grade", "digest").collect()
+    expected, used = [], 0
+    for r in order[:rows]:
+        used += len(r["slots"])
+        if used > size:
+            break
+        expected.append((r["grade"], r["id"], bytes(r["slots"])))
+    assert sorted((r["grade"], r["id"], bytes(r["slots"])) for r in got) == sorted(expected)
+    assert quality._first_rows(df.limit(0), rows, size).count() == 0
+
+
+def test_fit_takes_no_more_than_its_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(50)) + (" good" if i % 2 else " bad")) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "fit_ordinal", lambda texts, grades, bits: seen.append((len(texts), sum(4 * len(t) for t in texts))))
+    quality.fit_on_ratings(docs, labels, quality.rating_grade())
+    quality.fit_on_ratings(docs, labels, quality.rating_grade(), size=6_000)
+    (whole, _), (part, held) = seen
+    assert whole == 60 and 1 < part < 60 and held <= 6_000
+
+
+@pytest.mark.parametrize("constant", ["a", "b"])
+def test_lines_tell_apart_by_either_half_of_the_key(spark, monkeypatch, constant):
+    """With one half of the key alike for all lines, the other one still keeps different lines apart."""
+    real = lines.line_key
+    rows = [(d, "\n".join(f"line {d % 7} of {k} holds word w{d * k % 11} and more" for k in range(5))) for d in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(tuple(r) for r in lines.drop_repeated_lines(df, counts=True).collect())
+    monkeypatch.setattr(lines, "line_key", lambda words, n: real(words, n).withField(constant, F.lit(1).cast("long")))
+    assert sorted(tuple(r) for r in lines.drop_repeated_lines(df, counts=True).collect()) == expected
+    assert any(r[3] for r in expected)
