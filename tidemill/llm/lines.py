@@ -34,8 +34,9 @@ def _small(df: DataFrame, entries: Column | None = None) -> DataFrame:
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc, line_no and words of every line; words are made ahead of the rows, so that a filter on them makes none anew."""
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    return rows.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return rows.select("doc", F.posexplode(F.transform(F.split("text", "\n", -1), line_words)).alias("line_no", "words"))
 
 
 def line_key(words: Column, n: Column) -> Column:
@@ -119,8 +120,7 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Per document with any: doc and the sorted numbers (from 0) of its lines that have an equal or near line earlier."""
-    words = line_words(F.col("line"))
-    lines = _numbered(docs, id_col, text_col).select("doc", "line_no", words.alias("words")).filter(F.size("words") >= min_words)
+    lines = _numbered(docs, id_col, text_col).filter(F.size("words") >= min_words)
     n = F.size("words")
     lines = stage(lines.select("doc", "line_no", line_key(F.col("words"), n).alias("h"), _half_keys(F.col("words"), n).alias("halves")), "line_hashes")
     distinct = lines.groupBy("h").agg(F.min(F.struct("doc", "line_no")).alias("first"), F.max(F.struct("doc", "line_no")).alias("last"), F.min("halves").alias("halves"))
@@ -151,7 +151,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # The row travels as one value, so that no column of it meets a name used here.
     shaped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"), F.col(text_col).alias("_text"))
     joined = shaped.join(_small(gone, F.size("_gone")), F.col("_key") == F.col("_doc"), "left")
-    lines = F.split(F.col("_text"), "\n", -1)
+    # A column of its own: written into the lambda below, the text would be split anew for every line.
+    joined = joined.withColumn("_lines", F.when(F.lit(counts) | F.col("_gone").isNotNull(), F.split(F.col("_text"), "\n", -1)))
+    lines = F.col("_lines")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
     added = ("n_lines", "n_removed") if counts else ()
