@@ -219,6 +219,28 @@ def test_all_pairs_within_the_distance_share_a_key():
     assert len(np.unique(one)) == one.size
 
 
+def test_smallest_sets_that_can_be_linked(spark):
+    """Sets of six n-grams and one more: 100 * 6 >= 85 * 7, so they are linked; five of six are not."""
+    words = lambda n, tag: " ".join(f"{tag}{i}" for i in range(n))
+    texts = [words(n, tag) for tag in ("a", "b", "c") for n in (11, 10, 9, 12, 13)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert same_as_plain(df)
+    found = {r["doc_id"]: r["component_id"] for r in hamming.near_duplicates(df).collect()}
+    assert [found[i] for i in range(5)] == [0, 0, 2, 0, 0]
+
+
+def test_pairs_at_the_threshold_are_next_to_never_lost():
+    p = 1 - hamming.NUMERATOR / hamming.DENOMINATOR
+    lost = sum(math.comb(hamming.LENGTH, k) * p**k * (1 - p) ** (hamming.LENGTH - k) for k in range(hamming.DISTANCE + 1, hamming.LENGTH + 1))
+    assert lost < 1e-10
+    rng = np.random.default_rng(5)
+    sets = rng.integers(0, 1 << 63, (3000, 200)).astype(np.uint64)  # 184 of 216 shared: 0.852
+    one, two = (hamming.signatures(np.ascontiguousarray(part).ravel(), np.full(3000, 200)) for part in (sets, np.concatenate([sets[:, :184], rng.integers(0, 1 << 63, (3000, 16)).astype(np.uint64)], axis=1)))
+    wrong = (one != two).sum(axis=1)
+    assert (wrong <= hamming.DISTANCE).all() and abs(wrong.mean() / hamming.LENGTH - 32 / 216) < 0.01
+    assert all((a == b).any() for a, b in zip(hamming.file_keys(one), hamming.file_keys(two), strict=True))
+
+
 @pytest.mark.parametrize("small", [2, 16])
 def test_families_of_near_copies(spark, monkeypatch, small):
     """Families around a common text, some only chained, strangers with common passages, and regions cut into blocks."""

@@ -1,12 +1,12 @@
 """Near duplicates by a multi-index Hamming join of b-bit MinHash signatures, confirmed on full sets.
 
-Documents with the same set of word n-grams form one class; a class has a signature of 40 symbols of 16 bits, each the
+Documents with the same set of word n-grams form one class; a class has a signature of 64 symbols of 16 bits, each the
 low bits of a minimum over its hashed n-grams.
 
-1. Multi-index. The signature is cut into 8 chunks of 5 symbols. Signatures at distance 15 or less have a chunk with one
-   wrong symbol at most (8 chunks with two each would make 16), so a class is filed under every chunk with every
-   single symbol left out: 40 keys of 64 bits, and all pairs up to that distance meet in one of them.
-2. Stars. In every key each class is paired with the key's first one only. Pairs whose signatures differ in at most 15
+1. Multi-index. The signature is cut into 16 chunks of 4 symbols. Signatures at distance 31 or less have a chunk with one
+   wrong symbol at most (16 chunks with two each would make 32), so a class is filed under every chunk with every
+   single symbol left out: 64 keys, and all pairs up to that distance meet in one of them.
+2. Stars. In every key each class is paired with the key's first one only. Pairs whose signatures differ in at most 31
    symbols are confirmed on their sets, and confirmed links give components.
 3. What stays open. Keys of three classes or more that still hold several components go on: small ones with their
    pairs across components, larger ones as regions cut into blocks of bounded size, in which signatures are compared
@@ -14,8 +14,8 @@ low bits of a minimum over its hashed n-grams.
    as many pairs as it has members and keys, and no task holds a group.
 
 Signatures are random: a pair at similarity s differs in a symbol with probability 1 - s. At 0.85, the least linked
-similarity, 16 or more of 40 differ in 1.1 of 10 000 pairs, at 0.87 in 2 of 100 000 and at 0.9 in 6 of 10 million; only
-links that no chain of other links replaces can be lost that way. No pair below the threshold is ever linked.
+similarity, 32 or more of 64 differ in 5 of 10 ** 11 pairs, at 0.87 in 1 of 10 ** 12; only links
+that no chain of other links replaces can be lost that way. No pair below the threshold is ever linked.
 """
 
 from __future__ import annotations
@@ -33,12 +33,12 @@ from tidemill.llm.jaccard import _bitmap, shingles
 from tidemill.session import stage
 
 NUMERATOR, DENOMINATOR = 85, 100
-CHUNKS, SYMBOLS = 8, 5
+CHUNKS, SYMBOLS = 16, 4
 LENGTH = CHUNKS * SYMBOLS
 #: Every chunk but the best may hold two wrong symbols: what the keys guarantee.
 DISTANCE = 2 * CHUNKS - 1
-#: Sets below this size have no partner but equal ones.
-LEAST_SET = next(n for n in range(1, 1000) if DENOMINATOR * (n - 1) >= NUMERATOR * n)
+#: Sets below this size have no partner but equal ones: the nearest other one has an n-gram more.
+LEAST_SET = next(n for n in range(1, 1000) if DENOMINATOR * n >= NUMERATOR * (n + 1))
 #: Open keys of up to so many classes give pairs; larger ones become regions.
 PAIRS_UPTO = 16
 #: Partners of a class that one task confirms.
@@ -75,7 +75,7 @@ def signatures(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def file_keys(symbols: np.ndarray) -> np.ndarray:
-    """Signatures -> per row the 40 keys: each chunk with each of its symbols left out."""
+    """Signatures -> per row the LENGTH keys: each chunk with each of its symbols left out."""
     parts = symbols.astype(np.uint64).reshape(-1, CHUNKS, SYMBOLS)
     out = np.empty((len(symbols), CHUNKS, SYMBOLS), np.uint64)
     for left_out in range(SYMBOLS):
@@ -117,7 +117,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Classes -> keys of the multi-index with class and size, 40 rows each."""
+    """Classes -> keys of the multi-index with class and size, LENGTH rows each."""
     for batch in batches:
         if len(batch):
             symbols = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint16).reshape(-1, LENGTH)
