@@ -145,3 +145,26 @@ def test_agreement_of_several_labels(spark):
     row = label_agreement(pairs, labels, ["aisle", "department"]).first()
     assert row.asDict() == {"aisle_agreement": pytest.approx(2 / 3), "department_agreement": pytest.approx(1 / 3), "n_pairs": 3}
     assert label_agreement(pairs, labels.withColumn("label", F.col("aisle"))).first()["agreement"] == pytest.approx(2 / 3)
+
+
+def test_routing_hands_on_bounded_batches(spark, tmp_path, monkeypatch):
+    """However many tiles a query is copied to, a batch holds a bounded number of vectors, and the answers stay."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 8))
+    vectors = items(spark, x)
+    index = V.VectorIndex.build(vectors, str(tmp_path / "index"), tile_rows=4)
+    asked = queries(spark, x)
+    wanted = sorted(tuple(r) for r in index.search(asked, 3, True).collect())
+    sizes = []
+
+    class Frames:
+        def mapInPandas(self, run, schema):
+            for part in run(iter([asked.toPandas()])):
+                sizes.append(len(part))
+
+    monkeypatch.setattr(V, "_CARRIED", 8 * 50)
+    monkeypatch.setattr(V, "_ROUTED", 1000)
+    every = lambda layout, q, pdf: (*np.nonzero(np.broadcast_to(layout.count > 0, (len(q), len(layout.count)))), np.zeros(len(q)))
+    index._route(Frames(), every)
+    assert max(sizes) <= 50 and sum(sizes) >= 400 * (index.layout.tile.max() + 1) * 0.9
+    assert sorted(tuple(r) for r in index.search(asked, 3, True).collect()) == wanted

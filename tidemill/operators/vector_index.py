@@ -41,8 +41,9 @@ _VISITS = "id long, vec array<double>, bound double, cell long, fine array<int>"
 MOST_SIZES = 500_000
 _SLACK = 1e-9
 _CHUNK = 500_000
-#: Distances to centres that a task holds while it routes queries.
-_ROUTED = 4_000_000
+#: Distances to centres that a task holds while it routes queries, and numbers of vectors in a batch that it hands on.
+_ROUTED = 500_000
+_CARRIED = 500_000
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -68,7 +69,11 @@ def closest(qids, q, iids, x, k: int, skip_same: bool) -> pd.DataFrame:
             rough[ids[:, None] == iids[None, :]] = np.inf
         kth = np.partition(rough, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
         rows, cols = np.nonzero((rough <= (kth + 1e-9 * (1 + np.where(np.isfinite(kth), kth, 0)))[:, None]) & np.isfinite(rough))
-        dist = np.round(np.sqrt(((part[rows] - x[cols]) ** 2).sum(1)), 10)
+        # Equal vectors may leave nearly every pair open, so their differences are taken a bounded number at a time.
+        some = max(1, _CARRIED // max(1, x.shape[1]))
+        dist = np.empty(len(rows))
+        for at in range(0, len(rows), some):
+            dist[at:at + some] = np.round(np.sqrt(((part[rows[at:at + some]] - x[cols[at:at + some]]) ** 2).sum(1)), 10)
         order = np.lexsort((iids[cols], dist, rows))
         rows, cols, dist = rows[order], cols[order], dist[order]
         place = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -284,7 +289,9 @@ class VectorIndex:
         """Queries (qid, qvec, more) -> a row for each tile that ``pick(layout, vectors, frame)`` names, with its wanted cells and the bound."""
         layout = self.layout
 
-        step = max(1, _ROUTED // max(1, len(layout.count)))
+        # Beside the distances, a query may be copied to every tile, so both bound the queries that are routed at once.
+        step = max(1, _ROUTED // max(1, len(layout.count), int(layout.parts.sum())))
+        some = max(1, _CARRIED // max(1, layout.coarse.shape[1] if layout.coarse.ndim == 2 else 1))
 
         def run(frames):
             for whole in frames:
@@ -294,8 +301,12 @@ class VectorIndex:
                     if not len(rows):
                         continue
                     lines = layout.tiles_of(rows, cells)
-                    at = lines["row"].to_numpy()
-                    yield pd.DataFrame({"id": pdf["qid"].to_numpy()[at], "vec": pdf["qvec"].to_numpy()[at], "bound": bound[at], "cell": lines["cell"], "fine": lines["fine"]})
+                    ids, vecs = pdf["qid"].to_numpy(), pdf["qvec"].to_numpy()
+                    # A query's vector is copied once for each of its tiles: few copies go into one batch.
+                    for first in range(0, len(lines), some):
+                        few = lines.iloc[first:first + some]
+                        at = few["row"].to_numpy()
+                        yield pd.DataFrame({"id": ids[at], "vec": vecs[at], "bound": bound[at], "cell": few["cell"], "fine": few["fine"]})
 
         return queries.mapInPandas(run, _VISITS)
 
