@@ -10,7 +10,7 @@ from conftest import SF_DIR
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from tidemill.functions.stemming import porter, snowball
+from tidemill.functions.stemming import porter, snowball, stem_tokens
 from tidemill.functions.tails import chi2_tail, f_tail, t_tail_two_sided
 from tidemill.functions.tokens import STOP_WORDS, basic_tokens, digit_split
 from tidemill.operators import stats
@@ -254,3 +254,21 @@ def test_unit_root_from_one_matrix(spark):
     assert got["same", 0]["statistic"] is None
     fixed = {(r["series_id"], r["lags"]): r["statistic"] for r in TS.unit_root(df.filter("series_id IN ('walk', 'wave')"), [0, 1, 4]).collect()}
     assert all(fixed[n, k] == pytest.approx(direct_adf(series[n], k, k)[0], rel=1e-6) for n in ("walk", "wave") for k in (0, 1, 4))
+
+
+def test_large_vocabulary_meets_chunks_of_documents(spark, monkeypatch):
+    """Repeated and null keys, null and empty lists and unknown words give the same rows on both ways, without token rows in a shuffle."""
+    rows = [(i % 40 if i % 7 else None, [f"w{(i * j) % 23}" for j in range(i % 9)] if i % 11 else None) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    words = spark.createDataFrame([(f"w{i}", 100 + i) for i in range(0, 23, 2)], "token string, term_id long")
+    few = X.encode(docs, "doc_id", F.col("tokens"), words, 100)
+    monkeypatch.setattr(X, "CHUNK_TOKENS", 30)
+    many = X.encode(docs, "doc_id", F.col("tokens"), words, 0)
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+    assert "collect_list" not in many._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stemmed_lists_keep_nulls_and_order(spark):
+    docs = spark.createDataFrame([(1, ["running", "dogs", "running"]), (2, None), (3, [])], "id long, tokens array<string>")
+    out = {r["id"]: r["t"] for r in docs.select("id", stem_tokens(F.col("tokens")).alias("t")).collect()}
+    assert out == {1: ["run", "dog", "run"], 2: None, 3: []}

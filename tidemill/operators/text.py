@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +108,16 @@ def special_vocabulary(rows: DataFrame) -> DataFrame:
     return words.select("token", "term_id").union(special)
 
 
+def _numbered(lists: pa.Array, words: pa.Array, numbers: np.ndarray) -> pa.Array:
+    """Token lists to number lists; unknown tokens are left out."""
+    codes = lists.flatten().dictionary_encode()
+    at = pc.index_in(codes.dictionary, value_set=words)
+    known = np.append(~at.is_null().to_numpy(zero_copy_only=False), False)
+    ids = np.append(numbers[pc.fill_null(at, 0).to_numpy(zero_copy_only=False)], 0) if len(at) and len(numbers) else np.zeros(1, np.int64)
+    spot = pc.fill_null(codes.indices, -1).to_numpy(zero_copy_only=False) if len(numbers) else np.full(len(codes), -1)
+    return _filtered(lists, pa.array(ids[spot], pa.int64()), known[spot])
+
+
 def _numbers(spark, vocabulary: DataFrame):
     """Token lists to number lists by a broadcast vocabulary; unknown tokens are left out."""
     held = vocabulary.select("token", "term_id").toArrow()
@@ -114,31 +125,50 @@ def _numbers(spark, vocabulary: DataFrame):
 
     @F.arrow_udf("array<bigint>")
     def encode(lists: pa.Array) -> pa.Array:
-        words, numbers = data.value
-        codes = lists.flatten().dictionary_encode()
-        at = pc.index_in(codes.dictionary, value_set=words)
-        known = np.append(~at.is_null().to_numpy(zero_copy_only=False), False)
-        ids = np.append(numbers[pc.fill_null(at, 0).to_numpy(zero_copy_only=False)], 0) if len(at) and len(numbers) else np.zeros(1, np.int64)
-        spot = pc.fill_null(codes.indices, -1).to_numpy(zero_copy_only=False) if len(numbers) else np.full(len(codes), -1)
-        return _filtered(lists, pa.array(ids[spot], pa.int64()), known[spot])
+        return _numbered(lists, *data.value)
 
     return encode
 
 
+#: Tokens in the documents that look their words up together.
+CHUNK_TOKENS = 1_000_000
+
+
+def _chunked(batches):
+    """Rows with ``tokens`` -> the same with ``_chunk``, which rows in a row share until it holds CHUNK_TOKENS tokens."""
+    first, held = TaskContext.get().partitionId() << 33, 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto = held + np.cumsum(lengths)
+        chunk = first + (upto - lengths) // CHUNK_TOKENS
+        held = int(upto[-1]) if len(upto) else held
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk, pa.int64())], names=[*batch.schema.names, "_chunk"])
+
+
 def encode(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, small_rows: int = LOOKUP_ROWS) -> DataFrame:
     """key and ids: the numbers of the tokens in their order, without unknown ones.
 
     A vocabulary of checked size is broadcast, and lists are encoded in their rows without any shuffle. A larger one
-    meets the distinct tokens of each document, with their places, in a join.
+    is joined with the distinct tokens of chunks of documents, and each chunk meets its own part of it: a document is
+    shuffled once, as one row, and a word once for each chunk that holds it.
     """
     size = vocabulary.select(F.length("token").alias("l")).limit(small_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("l").alias("l")).first()
     if size["n"] <= small_rows and (size["l"] or 0) <= LOOKUP_CHARS:
         return df.select(key, _numbers(df.sparkSession, vocabulary)(tokens).alias("ids"))
-    rows = token_rows(df, key, tokens).groupBy(key, "token").agg(F.collect_list("pos").alias("_places"))
-    found = salted_lookup(rows, vocabulary, "token", key, small_rows=small_rows).groupBy(key).agg(F.collect_list(F.struct("_places", "term_id")).alias("_found"))
-    spots = F.flatten(F.transform("_found", lambda f: F.transform(f["_places"], lambda p: F.struct(p.alias("p"), f["term_id"].alias("id")))))
-    ids = found.select(key, F.transform(F.sort_array(spots), lambda s: s["id"]).alias("ids"))
-    return df.select(key).join(ids, key, "left")
+    shaped = df.select(F.col(key).alias("_key"), tokens.alias("tokens"))
+    kind = shaped.schema["_key"].dataType.simpleString()
+    chunks = stage(shaped.mapInArrow(_chunked, f"_key {kind}, tokens array<string>, _chunk long"), "chunks")
+    words = chunks.select("_chunk", F.explode("tokens").alias("token")).distinct()
+    found = words.join(vocabulary.select("token", "term_id"), "token").select(F.col("_chunk").alias("_part"), "token", "term_id")
+
+    def look_up(rows: pa.Table, known: pa.Table) -> pa.Table:
+        if not len(rows):
+            return pa.table({"_key": rows.column("_key"), "ids": pa.array([], pa.list_(pa.int64()))})
+        ids = _numbered(pa.concat_arrays(rows.column("tokens").chunks), known.column("token").combine_chunks(), known.column("term_id").to_numpy())
+        return pa.table({"_key": rows.column("_key"), "ids": ids})
+
+    encoded = chunks.groupBy("_chunk").cogroup(found.groupBy("_part")).applyInArrow(look_up, f"_key {kind}, ids array<bigint>")
+    return encoded.select(F.col("_key").alias(key), "ids")
 
 
 def encode_pad(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, length: int | None = None, add_end: bool = False, small_rows: int = LOOKUP_ROWS) -> DataFrame:
