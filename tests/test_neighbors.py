@@ -190,3 +190,14 @@ def test_dbscan_needs_more_points_than_a_block_holds(spark):
     got = {g["id"]: g for g in C.dbscan(df, 0.3, 60, block=10).collect()}
     assert [got[i]["is_core"] for i in range(len(x))] == core.tolist()
     assert [got[i]["cluster"] < 0 for i in range(len(x))] == (label < 0).tolist()
+
+
+def test_silhouette_copies_a_vector_to_few_blocks(spark, monkeypatch):
+    """Blocks hold a bounded number of vector components, not 4 096 rows: a visitor meets fewer of them."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, [float(v) for v in p], i % 2) for i, p in enumerate(rng.normal(size=(300, 3)))], "id long, vec array<double>, label long")
+    blocks = []
+    real = C.blockwise
+    monkeypatch.setattr(C, "blockwise", lambda a, b, fn, schema, block: blocks.append(block) or real(a, b, fn, schema, block))
+    assert C.silhouette(df, small_rows=0).first()[0] == pytest.approx(C.silhouette(df).first()[0], abs=1e-9)
+    assert blocks == [8 * C.BLOCK_ROWS]

@@ -124,15 +124,19 @@ def _candidates(points: DataFrame, balls: DataFrame) -> DataFrame:
                 own = pdf["label"].to_numpy()[:, None] == labels[None, :]
                 upper = np.where(own, np.inf, np.sqrt(squares + variance))
                 slack = 1e-6 * (1 + np.sqrt(squares))
-                rows, cols = np.nonzero(own | (np.sqrt(squares) - slack <= upper.min(1)[:, None]))
-                yield pd.DataFrame({
-                    "id": pdf["id"].to_numpy()[rows], "vec": pdf["vec"].to_numpy()[rows], "label": pdf["label"].to_numpy()[rows], "cell": labels[cols],
-                })
+                wanted = own | (np.sqrt(squares) - slack <= upper.min(1)[:, None])
+                yield pdf.assign(cells=[labels[w] for w in wanted])
 
-    return points.mapInPandas(run, "id long, vec array<double>, label long, cell long")
+    # A vector is written once, with the list of its cells.
+    listed = stage(points.mapInPandas(run, "id long, vec array<double>, label long, cells array<long>"), "visits")
+    return listed.select("id", "vec", "label", F.explode("cells").alias("cell"))
 
 
-def silhouette(points: DataFrame, small_rows: int = SMALL_ROWS, block: int = BLOCK_ROWS) -> DataFrame:
+#: Numbers of the vectors in a block of a silhouette; every block is copied to the blocks that it meets.
+BLOCK_NUMBERS = 2_000_000
+
+
+def silhouette(points: DataFrame, small_rows: int = SMALL_ROWS, block: int | None = None) -> DataFrame:
     """Exact Euclidean silhouette of (id, vec, label).
 
     Every point needs its distance to all of its own cluster and to the clusters that may be nearest; bounds from the
@@ -174,9 +178,12 @@ def silhouette(points: DataFrame, small_rows: int = SMALL_ROWS, block: int = BLO
         sizes = stage(_balls(points), "balls")
         held = points.withColumn("cell", F.col("label"))
         # Beyond so many numbers the bounds are not broadcast, and every point visits every cluster.
-        few = (sizes.agg(F.sum(F.size("center"))).first()[0] or 0) <= SMALL_NUMBERS
-        visits = _candidates(points, sizes) if few else points.join(sizes.select(F.col("label").alias("cell")))
-        sums = blockwise(stage(visits, "visits"), held, meet, schema, block)
+        size = sizes.agg(F.sum(F.size("center")).alias("all"), F.max(F.size("center")).alias("dims")).first()
+        if (size["all"] or 0) <= SMALL_NUMBERS:
+            visits = _candidates(points, sizes)
+        else:
+            visits = stage(points.join(sizes.select(F.col("label").alias("cell"))), "visits")
+        sums = blockwise(visits, held, meet, schema, block or max(BLOCK_ROWS, min(8 * BLOCK_ROWS, BLOCK_NUMBERS // max(1, size["dims"] or 0))))
     summed = sums.groupBy("id", "own", "other").agg(F.sum("total").alias("total"))
     return _silhouette(summed, sizes.select("label", "n"))
 
