@@ -272,3 +272,13 @@ def test_stemmed_lists_keep_nulls_and_order(spark):
     docs = spark.createDataFrame([(1, ["running", "dogs", "running"]), (2, None), (3, [])], "id long, tokens array<string>")
     out = {r["id"]: r["t"] for r in docs.select("id", stem_tokens(F.col("tokens")).alias("t")).collect()}
     assert out == {1: ["run", "dog", "run"], 2: None, 3: []}
+
+
+def test_words_are_counted_in_their_row(spark):
+    """Repeated and null keys are one document each; the tokens of other rows are in no shuffle."""
+    rows = [(1, ["a", "b", "a"]), (2, None), (3, []), (4, ["b"]), (4, ["b", "c"]), (None, ["a"]), (None, ["a", "d"]), (5, ["e"] * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    wanted = Counter((k, w) for k, words in rows for w in words or [])
+    counts = X.word_counts(docs, "doc_id", "tokens")
+    assert {(r["doc_id"], r["token"]): r["n"] for r in counts.collect()} == wanted and counts.count() == len(wanted)
+    assert "left_anti" in counts._jdf.queryExecution().optimizedPlan().toString().lower().replace("leftanti", "left_anti")

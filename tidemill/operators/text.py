@@ -82,8 +82,32 @@ def preprocess(df: DataFrame, key: str, text: str, min_count: int = 2, stemmer:
     return drop_rare(stemmed, "tokens", min_count)
 
 
-def word_counts(rows: DataFrame, key: str) -> DataFrame:
-    return rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+def _list_counts():
+    @F.arrow_udf("array<struct<token:string,n:bigint>>")
+    def count(lists: pa.Array) -> pa.Array:
+        """The distinct tokens of every list with their numbers."""
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        codes = lists.flatten().dictionary_encode(null_encoding="encode")
+        size = max(1, len(codes.dictionary))
+        key, n = np.unique(np.repeat(np.arange(len(lists)), lengths) * size + codes.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        offsets = np.searchsorted(key, np.arange(len(lists) + 1) * size).astype(np.int32)
+        pairs = pa.StructArray.from_arrays([codes.dictionary.take(pa.array(key % size)), pa.array(n, pa.int64())], names=["token", "n"])
+        return pa.ListArray.from_arrays(pa.array(offsets), pairs)
+
+    return count
+
+
+def word_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    """Number of each token of a document: key, token, n.
+
+    The tokens of a document are counted in their row. Only keys that several rows share are brought together.
+    """
+    held = stage(df.select(F.col(key).alias("_key"), F.col(tokens).alias("_tokens")), "tokens")
+    shared = stage(held.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_key").alias("_shared")), "shared")
+    same = F.col("_key").eqNullSafe(F.col("_shared"))
+    single = held.join(shared, same, "left_anti").select(F.col("_key").alias(key), F.explode(_list_counts()("_tokens")).alias("c")).select(key, "c.token", "c.n")
+    several = token_rows(held.join(shared, same, "left_semi").withColumnRenamed("_key", key), key, F.col("_tokens"))
+    return single.unionByName(several.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")))
 
 
 def bag_of_words(counts: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:

@@ -84,8 +84,8 @@ _WORDS = f"SELECT doc_id, regexp_extract_all(lower(text), '{K.WORD}') AS w FROM
     WITH r AS (SELECT doc_id, unnest(w) AS token FROM ({_WORDS})), v AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS term_id FROM (SELECT DISTINCT token FROM r))
     SELECT doc_id, term_id::BIGINT AS term_id, count(*) AS n FROM r JOIN v USING (token) GROUP BY 1, 2""")
 def bag_of_words(t):
-    rows = X.token_rows(spread(t.documents.select("doc_id", "text")), "doc_id", K.word_tokens(F.col("text")))
-    counts = stage(X.word_counts(rows, "doc_id"), "counts")
+    docs = spread(t.documents.select("doc_id", "text")).select("doc_id", K.word_tokens(F.col("text")).alias("tokens"))
+    counts = stage(X.word_counts(docs, "doc_id", "tokens"), "counts")
     return X.bag_of_words(counts, "doc_id", X.sorted_vocabulary(counts))
 
 
