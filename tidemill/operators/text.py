@@ -102,7 +102,7 @@ def word_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
 
     The tokens of a document are counted in their row. Only keys that several rows share are brought together.
     """
-    held = stage(df.select(F.col(key).alias("_key"), F.col(tokens).alias("_tokens")), "tokens")
+    held = df.select(F.col(key).alias("_key"), F.col(tokens).alias("_tokens"))
     shared = stage(held.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_key").alias("_shared")), "shared")
     same = F.col("_key").eqNullSafe(F.col("_shared"))
     single = held.join(shared, same, "left_anti").select(F.col("_key").alias(key), F.explode(_list_counts()("_tokens")).alias("c")).select(key, "c.token", "c.n")
