@@ -264,6 +264,37 @@ def test_families_of_near_copies(spark, monkeypatch, small):
     assert same_as_plain(df)
 
 
+def test_overlapping_keys_of_a_family_are_compared_once(spark, monkeypatch):
+    """Near copies of one text share most keys: a class enters the comparisons a few times, not once for each key."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for at in rng.choice(150, rng.integers(2, 9), replace=False):
+            w[at] = f"x{rng.integers(1 << 30)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    met, staged = {}, hamming.stage
+
+    def counting(frame, label="stage"):
+        out = staged(frame, label)
+        met[label] = out.count()
+        return out
+
+    monkeypatch.setattr(hamming, "stage", counting)
+    monkeypatch.setattr(hamming, "BLOCK_CLASSES", 50)
+    assert same_as_plain(df)
+    assert met["regions"] > 10 * 240 and 5 * met["merged"] < met["regions"]
+
+
+def test_keys_that_share_their_first_class_only_stay_apart(spark):
+    rows = [(place, 0, 10, 0, 41) for place in range(8)] + [(place, 100 * place + i, 10, i, 41) for place in range(8) for i in range(1, 41)]
+    merged = hamming._merged(spark.createDataFrame(rows, "place long, cls long, n long, label long, m long")).collect()
+    assert len(merged) == len(rows) and len({r["place"] for r in merged}) == 8
+    assert not any(r["whole"] for r in merged)
+
+
 def test_new_queries_return_the_contract(spark):
     columns = {
         "op11_fill_in_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],

@@ -9,9 +9,9 @@ low bits of a minimum over its hashed n-grams.
 2. Stars. In every key each class is paired with the key's first one only. Pairs whose signatures differ in at most 31
    symbols are confirmed on their sets, and confirmed links give components.
 3. What stays open. Keys of three classes or more that still hold several components go on: small ones with their
-   pairs across components, larger ones as regions cut into blocks of bounded size, in which signatures are compared
-   and close ones confirmed in the task, across components only. So a family of thousands of near copies costs about
-   as many pairs as it has members and keys, and no task holds a group.
+   pairs across components, larger ones as regions, in which signatures are compared and close ones confirmed in the
+   task, across components only. Keys that overlap, as those of a family of near copies do, become one region with
+   each class once, and regions are cut into blocks of bounded size, so no task holds a group.
 
 Signatures are random: a pair at similarity s differs in a symbol with probability 1 - s. At 0.85, the least linked
 similarity, 32 or more of 64 differ in 5 of 10 ** 11 pairs, at 0.87 in 1 of 10 ** 12; only links
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm import textbytes as tb
@@ -45,6 +45,8 @@ PAIRS_UPTO = 16
 PARTNERS = 2048
 #: N-grams in a block of a region.
 BLOCK_GRAMS = 2_000_000
+#: Classes in a block of a region.
+BLOCK_CLASSES = 2048
 
 _RANDOM = np.random.Generator(np.random.PCG64(71))
 _FACTORS = _RANDOM.integers(1, 1 << 63, LENGTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -178,14 +180,25 @@ def _meet_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len({h[1] for h in held}) > 1:
             label = np.unique(np.array([h[1] for h in held]), return_inverse=True)[1]
             signs = np.frombuffer(b"".join(h[2] for h in held), np.uint16).reshape(-1, LENGTH)
-            sets = [np.frombuffer(h[3], np.uint64) for h in held]
-            sizes = np.array([len(s) for s in sets])
+            sizes = np.array([len(h[3]) // 8 for h in held])
+            firsts = np.cumsum(sizes) - sizes
+            distinct, codes = np.unique(np.frombuffer(b"".join(h[3] for h in held), np.uint64), return_inverse=True)
+            on = np.zeros(len(distinct), np.uint8)
             for x in range(1, len(held)):
                 across = np.flatnonzero(label[:x] != label[x])
                 across = across[np.minimum(sizes[across], sizes[x]) * DENOMINATOR >= np.maximum(sizes[across], sizes[x]) * NUMERATOR]
                 near = across[(signs[across] != signs[x]).sum(axis=1) <= DISTANCE]
-                for y in near.tolist():
-                    if label[y] != label[x] and similar(shared(sets[x], sets[y]), sizes[x], sizes[y]):
+                if not len(near):
+                    continue
+                # The n-grams of all near sets are looked up among those of x at once.
+                mine = codes[firsts[x]:firsts[x] + sizes[x]]
+                on[mine] = 1
+                ends = np.cumsum(sizes[near])
+                spots = np.arange(ends[-1]) + np.repeat(firsts[near] - ends + sizes[near], sizes[near])
+                common = np.add.reduceat(on[codes[spots]], ends - sizes[near], dtype=np.int64)
+                on[mine] = 0
+                for y in near[similar(common, sizes[near], sizes[x])].tolist():
+                    if label[y] != label[x]:
                         links.append((held[y][0], held[x][0]))
                         label[label == label[y]] = label[x]
         return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
@@ -281,7 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     still = stage(facts.filter("lo <> hi").groupBy("m", "grams", "x", "y").agg(F.min("place").alias("place")).select("place", "m", "grams"), "open")
     if not still.isEmpty():
-        rows = stage(crowded.join(still.withColumnRenamed("grams", "total"), "place"), "open_rows")
+        rows = stage(crowded.join(still.drop("grams"), "place"), "open_rows")
         listed = rows.filter(F.col("m") <= PAIRS_UPTO).groupBy("place").agg(F.collect_list(F.struct("cls", "label", "n")).alias("members"))
         few = listed.select("members").mapInArrow(_small_groups, "a long, b long").distinct()
         more = _confirmed(few.join(stars, ["a", "b"], "left_anti"), classes, shaped)
@@ -296,15 +309,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return joined.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"))
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Crowded keys (place, cls, n, label, m) -> regions (place and whole, cls, n, label), with all pairs of each key in one.
+
+    Near copies of one text fill most of its keys, and their pairs would be compared in each. So keys are named after
+    their most crowded class, the one whose keys hold the most classes, and the keys of one name (LENGTH at most)
+    become one region, named by that class, with each of its classes once; where the union makes more pairs than the
+    keys do, they stay regions of their own.
+    """
+    weighed = rows.withColumn("weight", F.sum("m").over(Window.partitionBy("cls")))
+    heads = stage(weighed.groupBy("place").agg(F.max(F.struct("weight", "cls")).getField("cls").alias("head"), F.max("m").alias("m")), "heads")
+    named = rows.drop("m").join(heads, "place").select("place", "head", "cls", "n", "label")
+    union = named.select("head", "cls").distinct().groupBy("head").agg(F.count(F.lit(1)).alias("size"))
+    whole = union.join(heads.groupBy("head").agg(F.sum(F.col("m") * F.col("m")).alias("pairs")), "head").select("head", (F.col("size") * F.col("size") <= F.col("pairs")).alias("whole"))
+    region = F.when(F.col("whole"), F.col("head")).otherwise(F.col("place"))
+    return named.join(whole, "head").select(region.alias("place"), "whole", "cls", "n", "label").distinct()
+
+
 def _region_links(rows: DataFrame, classes: DataFrame, shaped: DataFrame) -> DataFrame:
-    """Links within crowded keys (place, cls, label, total n-grams): every block of a key meets every other one in a task."""
+    """Links within crowded keys (place, cls, n, label, m classes): every block of a region meets every other one in a task."""
     rows = stage(rows, "regions")
     if rows.isEmpty():
         return classes.sparkSession.createDataFrame([], "a long, b long")
     sets = _sets_of(rows.select("cls"), classes, shaped)
-    cuts = F.ceil(F.col("total") / BLOCK_GRAMS).cast("int")
-    cut = rows.withColumn("cuts", cuts).withColumn("mine", F.pmod(F.xxhash64("cls"), "cuts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    cut = cut.select(F.xxhash64("place", F.least("mine", "other"), F.greatest("mine", "other")).alias("region"), "cls", "label")
+    rows = stage(_merged(rows), "merged")
+    totals = rows.groupBy("place", "whole").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("m"))
+    cuts = F.ceil(F.greatest(F.col("total") / BLOCK_GRAMS, F.col("m") / BLOCK_CLASSES)).cast("int")
+    cut = rows.join(totals, ["place", "whole"]).withColumn("cuts", cuts).withColumn("mine", F.pmod(F.xxhash64("cls"), "cuts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    cut = cut.select(F.xxhash64("place", "whole", F.least("mine", "other"), F.greatest("mine", "other")).alias("region"), "cls", "label")
     held = cut.join(classes.select("cls", "sign"), "cls").join(sets, "cls")
     partitions = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = held.repartition(partitions, "region").sortWithinPartitions("region", "cls")
