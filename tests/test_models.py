@@ -201,6 +201,19 @@ def test_every_word_has_a_place_of_its_own(spark):
     assert counts[2][place["word7"]] == 2 and counts[3].numNonzeros() == 0 and counts[4].numNonzeros() == 0
 
 
+@pytest.mark.parametrize("small_rows", [100, 0])
+def test_rare_tokens_of_the_corpus_are_dropped_in_their_rows(spark, capsys, small_rows):
+    rows = [(1, ["a", "x", "b", "a"]), (2, []), (3, None), (4, ["y"]), (5, ["b", None, "a"]), (None, ["b", "a"])]
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, tokens array<string>").repartition(3)
+    df = X.drop_rare_in_corpus(frame(rows), "doc_id", "tokens", 3, small_rows)
+    assert {r["doc_id"]: r["tokens"] for r in df.collect()} == {1: ["a", "b", "a"], 5: ["b", "a"], None: ["b", "a"]}
+    df.explain()
+    assert small_rows == 0 or "Exchange hashpartitioning" not in capsys.readouterr().out
+    # Rows of one key are one document, read place by place.
+    twice = X.drop_rare_in_corpus(frame([*rows, (1, ["b", "y", "a"]), (None, ["a"])]), "doc_id", "tokens", 3, small_rows)
+    assert {r["doc_id"]: r["tokens"] for r in twice.collect()} == {1: ["a", "b", "a", "b", "a"], 5: ["b", "a"], None: ["a", "b", "a"]}
+
+
 def test_anova_by_matrix_and_by_gradients(spark):
     """An unbalanced table with an empty cell and disconnected levels, against least squares on all rows."""
     rng = np.random.default_rng(17)

@@ -64,10 +64,27 @@ def drop_rare(df: DataFrame, tokens: str, min_count: int = 2) -> DataFrame:
     return df.withColumn(tokens, _frequent_tokens(min_count)(F.col(tokens)))
 
 
-def drop_rare_in_corpus(rows: DataFrame, key: str, min_count: int) -> DataFrame:
-    """Keep tokens that occur at least ``min_count`` times in the whole corpus."""
-    frequent = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count).select("token")
-    return salted_lookup(rows, stage(frequent, "frequent"), "token", key)
+def _shared_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys of several rows, null included."""
+    return stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col(key).alias("_shared")), "shared")
+
+
+def drop_rare_in_corpus(df: DataFrame, key: str, tokens: str, min_count: int, small_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """key and tokens: those that occur at least ``min_count`` times in the whole corpus, in their order.
+
+    Tokens are counted in their tasks ahead of the shuffle and kept or dropped in their rows, so lists are not taken
+    apart. Only keys that several rows share are gathered from single tokens, by their places. Documents of rare
+    tokens alone are left out.
+    """
+    counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+    frequent = stage(counts.filter((F.col("_n") >= min_count) & F.col("token").isNotNull()).select("token"), "frequent")
+    shared = _shared_keys(df, key)
+    if shared.isEmpty():
+        return _by_words(df, key, F.col(tokens), frequent, _known_only, "array<string>", tokens, small_rows).filter(F.size(tokens) > 0)
+    same = F.col(key).eqNullSafe(F.col("_shared"))
+    single = _by_words(df.join(shared, same, "left_anti"), key, F.col(tokens), frequent, _known_only, "array<string>", tokens, small_rows).filter(F.size(tokens) > 0)
+    several = token_rows(df.join(shared, same, "left_semi"), key, F.col(tokens))
+    return single.unionByName(gather_tokens(salted_lookup(several, frequent, "token", key, small_rows=small_rows), key, out=tokens))
 
 
 def stem_vocabulary(words: DataFrame, stemmer: str = "porter", out: str = "stem") -> DataFrame:
@@ -103,7 +120,7 @@ def word_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
     The tokens of a document are counted in their row. Only keys that several rows share are brought together.
     """
     held = df.select(F.col(key).alias("_key"), F.col(tokens).alias("_tokens"))
-    shared = stage(held.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_key").alias("_shared")), "shared")
+    shared = _shared_keys(held, "_key")
     same = F.col("_key").eqNullSafe(F.col("_shared"))
     single = held.join(shared, same, "left_anti").select(F.col("_key").alias(key), F.explode(_list_counts()("_tokens")).alias("c")).select(key, "c.token", "c.n")
     several = token_rows(held.join(shared, same, "left_semi").withColumnRenamed("_key", key), key, F.col("_tokens"))
@@ -132,26 +149,35 @@ def special_vocabulary(rows: DataFrame) -> DataFrame:
     return words.select("token", "term_id").union(special)
 
 
-def _numbered(lists: pa.Array, words: pa.Array, numbers: np.ndarray) -> pa.Array:
+def _known_only(lists: pa.Array, known: pa.Table) -> pa.Array:
+    """Token lists without unknown tokens."""
+    flat = lists.flatten()
+    codes = flat.dictionary_encode()
+    held = np.append(pc.is_in(codes.dictionary, value_set=known.column("token").combine_chunks()).to_numpy(zero_copy_only=False), False)
+    return _filtered(lists, flat, held[pc.fill_null(codes.indices, -1).to_numpy(zero_copy_only=False)])
+
+
+def _numbered(lists: pa.Array, known: pa.Table) -> pa.Array:
     """Token lists to number lists; unknown tokens are left out."""
+    numbers = known.column("term_id").to_numpy()
     codes = lists.flatten().dictionary_encode()
-    at = pc.index_in(codes.dictionary, value_set=words)
-    known = np.append(~at.is_null().to_numpy(zero_copy_only=False), False)
+    at = pc.index_in(codes.dictionary, value_set=known.column("token").combine_chunks())
+    held = np.append(~at.is_null().to_numpy(zero_copy_only=False), False)
     ids = np.append(numbers[pc.fill_null(at, 0).to_numpy(zero_copy_only=False)], 0) if len(at) and len(numbers) else np.zeros(1, np.int64)
     spot = pc.fill_null(codes.indices, -1).to_numpy(zero_copy_only=False) if len(numbers) else np.full(len(codes), -1)
-    return _filtered(lists, pa.array(ids[spot], pa.int64()), known[spot])
-
-
-def _numbers(spark, vocabulary: DataFrame):
-    """Token lists to number lists by a broadcast vocabulary; unknown tokens are left out."""
-    held = vocabulary.select("token", "term_id").toArrow()
-    data = spark.sparkContext.broadcast((held.column("token").combine_chunks(), held.column("term_id").to_numpy()))
+    return _filtered(lists, pa.array(ids[spot], pa.int64()), held[spot])
 
-    @F.arrow_udf("array<bigint>")
-    def encode(lists: pa.Array) -> pa.Array:
-        return _numbered(lists, *data.value)
 
-    return encode
+def _placed_counts(lists: pa.Array, known: pa.Table) -> pa.Array:
+    """Token lists to pairs of a known token's number and how often it occurs, by number."""
+    numbered = _numbered(lists, known)
+    ids = numbered.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    size = int(ids.max()) + 1 if len(ids) else 1
+    lengths = pc.fill_null(pc.list_value_length(numbered), 0).to_numpy(zero_copy_only=False)
+    key, n = np.unique(np.repeat(np.arange(len(lists)), lengths) * size + ids, return_counts=True)
+    offsets = np.searchsorted(key, np.arange(len(lists) + 1) * size).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(key % size, pa.int32()), pa.array(n, pa.float64())], names=["i", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets), pairs)
 
 
 #: Tokens in the documents that look their words up together.
@@ -169,30 +195,42 @@ def _chunked(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk, pa.int64())], names=[*batch.schema.names, "_chunk"])
 
 
-def encode(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, small_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """key and ids: the numbers of the tokens in their order, without unknown ones.
+def _by_words(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, on_lists, kind: str, out: str, small_rows: int) -> DataFrame:
+    """key and ``out``: ``on_lists`` of the token lists and the words of the vocabulary that may occur in them.
 
-    A vocabulary of checked size is broadcast, and lists are encoded in their rows without any shuffle. A larger one
+    A vocabulary of checked size is broadcast, and lists are looked up in their rows without any shuffle. A larger one
     is joined with the distinct tokens of chunks of documents, and each chunk meets its own part of it: a document is
     shuffled once, as one row, and a word once for each chunk that holds it.
     """
     size = vocabulary.select(F.length("token").alias("l")).limit(small_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("l").alias("l")).first()
     if size["n"] <= small_rows and (size["l"] or 0) <= LOOKUP_CHARS:
-        return df.select(key, _numbers(df.sparkSession, vocabulary)(tokens).alias("ids"))
+        data = df.sparkSession.sparkContext.broadcast(vocabulary.toArrow().combine_chunks())
+        look_up_here = F.arrow_udf(kind)(_on_broadcast(on_lists, data))
+        return df.select(key, look_up_here(tokens).alias(out))
     shaped = df.select(F.col(key).alias("_key"), tokens.alias("tokens"))
-    kind = shaped.schema["_key"].dataType.simpleString()
-    chunks = stage(shaped.mapInArrow(_chunked, f"_key {kind}, tokens array<string>, _chunk long"), "chunks")
+    key_kind = shaped.schema["_key"].dataType.simpleString()
+    chunks = stage(shaped.mapInArrow(_chunked, f"_key {key_kind}, tokens array<string>, _chunk long"), "chunks")
     words = chunks.select("_chunk", F.explode("tokens").alias("token")).distinct()
-    found = words.join(vocabulary.select("token", "term_id"), "token").select(F.col("_chunk").alias("_part"), "token", "term_id")
+    found = words.join(vocabulary, "token").withColumnRenamed("_chunk", "_part")
 
     def look_up(rows: pa.Table, known: pa.Table) -> pa.Table:
-        if not len(rows):
-            return pa.table({"_key": rows.column("_key"), "ids": pa.array([], pa.list_(pa.int64()))})
-        ids = _numbered(pa.concat_arrays(rows.column("tokens").chunks), known.column("token").combine_chunks(), known.column("term_id").to_numpy())
-        return pa.table({"_key": rows.column("_key"), "ids": ids})
+        lists = pa.concat_arrays(rows.column("tokens").chunks) if len(rows) else pa.array([], rows.schema.field("tokens").type)
+        return pa.table({"_key": rows.column("_key"), out: on_lists(lists, known)})
+
+    met = chunks.groupBy("_chunk").cogroup(found.groupBy("_part")).applyInArrow(look_up, f"_key {key_kind}, {out} {kind}")
+    return met.select(F.col("_key").alias(key), out)
+
+
+def _on_broadcast(on_lists, data):
+    def run(lists: pa.Array) -> pa.Array:
+        return on_lists(lists, data.value)
 
-    encoded = chunks.groupBy("_chunk").cogroup(found.groupBy("_part")).applyInArrow(look_up, f"_key {kind}, ids array<bigint>")
-    return encoded.select(F.col("_key").alias(key), "ids")
+    return run
+
+
+def encode(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, small_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """key and ids: the numbers of the tokens in their order, without unknown ones."""
+    return _by_words(df, key, tokens, vocabulary.select("token", "term_id"), _numbered, "array<bigint>", "ids", small_rows)
 
 
 def encode_pad(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, length: int | None = None, add_end: bool = False, small_rows: int = LOOKUP_ROWS) -> DataFrame:
@@ -231,16 +269,22 @@ def dictionary(tokens: DataFrame, key: str, column: str, min_docs: int = 2) -> D
 _sparse = F.udf(lambda size, places, values: Vectors.sparse(size, places, values), VectorUDT())
 
 
-def count_vectors(df: DataFrame, key: str, column: str, words: DataFrame, out: str = "counts") -> DataFrame:
+def count_vectors(df: DataFrame, key: str, column: str, words: DataFrame, out: str = "counts", small_rows: int = LOOKUP_ROWS) -> DataFrame:
     """key and the sparse counts of the dictionary's words in the document; every word has a place of its own.
 
-    ``words`` (token, term_id) may have any size: the distinct words of each document meet it in one join, and only
-    (place, count) pairs of a document are gathered. Rows with one key are one document; without known words the
-    vector is empty.
+    ``words`` (token, term_id) may have any size. The tokens of a row are looked up and counted there, and only the
+    (place, count) pairs of keys that several rows share are brought together: those rows are one document. Without
+    known words, and for a null key, the vector is empty.
     """
-    counted = df.select(key, F.explode(column).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    placed = salted_lookup(counted, words, "token", key).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col("term_id").cast("int").alias("i"), F.col("_n").alias("n")))).alias("_v"))
+    keyed = df.filter(F.col(key).isNotNull())
+    placed = _by_words(keyed, key, F.col(column), words.select("token", "term_id"), _placed_counts, "array<struct<i:int,n:double>>", "_v", small_rows)
+    shared = _shared_keys(keyed, key)
+    if not shared.isEmpty():
+        same = F.col(key) == F.col("_shared")
+        pairs = placed.join(shared, same, "left_semi").select(key, F.explode_outer("_v").alias("p")).groupBy(key, F.col("p.i").alias("i")).agg(F.sum("p.n").alias("n"))
+        merged = pairs.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("i").isNotNull(), F.struct("i", "n")))).alias("_v"))
+        placed = placed.join(shared, same, "left_anti").unionByName(merged)
+    unnamed = df.filter(F.col(key).isNull()).select(key).distinct().withColumn("_v", F.array().cast("array<struct<i:int,n:double>>"))
     size = F.broadcast(words.agg(F.count(F.lit(1)).cast("int").alias("_size")))
-    every = df.select(key).distinct().join(placed, key, "left").join(size)
-    pairs = F.coalesce("_v", F.array().cast("array<struct<i:int,n:double>>"))
-    return every.select(key, _sparse("_size", F.transform(pairs, lambda p: p["i"]), F.transform(pairs, lambda p: p["n"])).alias(out))
+    every = placed.unionByName(unnamed).join(size)
+    return every.select(key, _sparse("_size", F.transform("_v", lambda p: p["i"]), F.transform("_v", lambda p: p["n"])).alias(out))

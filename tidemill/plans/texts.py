@@ -68,8 +68,7 @@ def drop_rare_tokens(t):
 @query("drop_rare_in_corpus", f"""
     SELECT doc_id, {_GATHER} FROM (SELECT *, count(*) OVER (PARTITION BY token) AS n FROM ({_ROWS})) WHERE n >= 10 GROUP BY 1""")
 def drop_rare_in_corpus(t):
-    rows = X.token_rows(basic(t), "doc_id", F.col("tokens"))
-    return X.gather_tokens(X.drop_rare_in_corpus(rows, "doc_id", 10), "doc_id").select("doc_id", *digest("tokens"))
+    return X.drop_rare_in_corpus(basic(t), "doc_id", "tokens", 10).select("doc_id", *digest("tokens"))
 
 
 @query("preprocess_text")
