@@ -214,6 +214,21 @@ def test_rare_tokens_of_the_corpus_are_dropped_in_their_rows(spark, capsys, smal
     assert {r["doc_id"]: r["tokens"] for r in twice.collect()} == {1: ["a", "b", "a", "b", "a"], 5: ["b", "a"], None: ["a", "b", "a"]}
 
 
+@pytest.mark.parametrize("small_rows", [100, 0])
+def test_words_are_counted_in_their_rows(spark, capsys, small_rows):
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, tokens array<string>").repartition(3)
+    words = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "token string, term_id long")
+    rows = [(1, ["b", "a", "b", "zz", None]), (2, []), (3, None), (4, ["c"]), (None, ["a"]), (None, ["b"])]
+    made = X.count_vectors(frame(rows), "doc_id", "tokens", words, small_rows=small_rows)
+    got = sorted((r["doc_id"] or 0, r["counts"].toArray().tolist()) for r in made.collect())
+    assert got == [(0, [0, 0, 0]), (1, [1, 2, 0]), (2, [0, 0, 0]), (3, [0, 0, 0]), (4, [0, 0, 1])]
+    made.explain()
+    assert small_rows == 0 or "Generate" not in capsys.readouterr().out
+    both = X.count_vectors(frame([*rows, (4, ["a", "c"]), (2, [])]), "doc_id", "tokens", words, small_rows=small_rows)
+    got = sorted((r["doc_id"] or 0, r["counts"].toArray().tolist()) for r in both.collect())
+    assert got == [(0, [0, 0, 0]), (1, [1, 2, 0]), (2, [0, 0, 0]), (3, [0, 0, 0]), (4, [1, 0, 2])]
+
+
 def test_anova_by_matrix_and_by_gradients(spark):
     """An unbalanced table with an empty cell and disconnected levels, against least squares on all rows."""
     rng = np.random.default_rng(17)

@@ -152,10 +152,15 @@ def encode_fixed_length(t):
     return encoded.select("turn_id", F.size("ids").alias("length"), used_ids().alias("used"), ids_digest())
 
 
-def _labelled_counts(t):
-    """Count vectors of all documents over the words of the labelled ones, and the labelled ones with their quality."""
-    tokens = stage(spread(t.documents.select("doc_id", "text")).select("doc_id", K.word_tokens(F.coalesce("text", F.lit(""))).alias("tokens")), "tokens")
+def _labelled_counts(t, others=True):
+    """Count vectors of the documents over the words of the labelled ones, and the labelled ones with their quality.
+
+    Without ``others`` only labelled documents are tokenised and counted.
+    """
     labels = t.labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
+    docs = spread(t.documents.select("doc_id", "text"))
+    docs = docs if others else docs.join(labels, "doc_id", "left_semi")
+    tokens = stage(docs.select("doc_id", K.word_tokens(F.coalesce("text", F.lit(""))).alias("tokens")), "tokens")
     words = stage(X.dictionary(tokens.join(labels, "doc_id", "left_semi"), "doc_id", "tokens"), "words")
     counts = stage(X.count_vectors(tokens, "doc_id", "tokens", words), "counts")
     return counts, counts.join(labels, "doc_id")
@@ -178,7 +183,7 @@ def text_classify(t):
     SELECT sum(n)::BIGINT AS n_labelled, round(max(n) / sum(n), 6) AS majority, true AS better FROM c""")
 def text_classify_check(t):
     """Share of the larger class among the labelled documents, and whether the fitted model is right on more of them."""
-    _, labelled = _labelled_counts(t)
+    _, labelled = _labelled_counts(t, others=False)
     judged = _text_model(labelled).transform(labelled).select("label", (F.col("label") == F.col("prediction")).cast("double").alias("hit"))
     per = judged.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"))
     share = F.max("n") / F.sum("n")
