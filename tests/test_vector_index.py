@@ -168,3 +168,33 @@ def test_routing_hands_on_bounded_batches(spark, tmp_path, monkeypatch):
     index._route(Frames(), every)
     assert max(sizes) <= 50 and sum(sizes) >= 400 * (index.layout.tile.max() + 1) * 0.9
     assert sorted(tuple(r) for r in index.search(asked, 3, True).collect()) == wanted
+
+
+def test_vectors_without_groups_are_not_copied(spark, monkeypatch):
+    """Where bounds leave most tiles open, neither search writes a copy of a query for each of them; rows stay the same."""
+    x = np.random.default_rng(9).normal(size=(600, 10))
+    vectors, asked = items(spark, x), queries(spark, x)
+    written = []
+    real = V.stage
+    monkeypatch.setattr(V, "stage", lambda df, label="stage": written.append(label) or real(df, label))
+    index = V.VectorIndex.build(vectors, tile_rows=20)
+    same(collected(index.search(asked, 5, True)), brute(x, x, 5, True))
+    assert "visits" not in written
+
+
+@pytest.mark.parametrize("numbers", [262_144, 30])
+def test_blocks_pass_in_any_size(spark, clustered, monkeypatch, numbers):
+    """Equal vectors, repeated and null ids, numbers that four bytes hold and others, few queries and many."""
+    monkeypatch.setattr(V, "BLOCK_NUMBERS", numbers)
+    x = np.vstack([clustered[:90], clustered[-60:], np.float32(clustered[:40]).astype(float) * 1e6])
+    rows = [(i, 0, [float(v) for v in p]) for i, p in enumerate(x)]
+    held = V.packed(spark.createDataFrame([*rows, rows[3]], "id long, cell int, vec array<double>").repartition(2))
+    expected = brute(np.vstack([x, x[3]]), x, 4, False)
+    for some in (x, x[:2]):
+        got = collected(V.passing(queries(spark, some), held, 4, False))
+        assert set(got) == set(range(len(some)))
+        for q, found in got.items():
+            assert found == [(3 if i == len(x) else i, pytest.approx(d)) for i, d in sorted(expected[q], key=lambda r: (r[1], 3 if r[0] == len(x) else r[0]))]
+    unnamed = spark.createDataFrame([(None, [float(v) for v in x[0]]), (7, [float(v) for v in x[7]])], "qid long, qvec array<double>")
+    got = {r["qid"]: r["iid"] for r in V.passing(unnamed, held, 1, True).collect()}
+    assert got == {None: 0, 7: brute(x, x, 1, True)[7][0][0]}

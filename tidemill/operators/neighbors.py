@@ -1,15 +1,18 @@
 """Nearest neighbours between two vector tables, votes and label agreement.
 
 A table of few vectors is broadcast after its size has been checked. Larger ones are filed in an index of two levels of
-centres, whose cells grow in number with the square root of the table (``vector_index``).
+centres, whose cells grow in number with the square root of the table (``vector_index``). Where a sample shows that the
+index would leave most cells open, an exact search reads all vectors past the queries instead and builds none.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.vector_index import PAIRS, TILE_ROWS, VectorIndex, best_k, blockwise, closest, squared_distances  # noqa: F401
+from tidemill.operators.vector_index import MOST_COPIES, PAIRS, TILE_ROWS, VectorIndex, best_k, blockwise, closest, packed, passing, squared_distances  # noqa: F401
 from tidemill.operators.vector_index import matrix as _matrix
 
 SMALL_ROWS = 20_000
@@ -54,9 +57,25 @@ def nearest(
     items = items.select(F.col("iid").cast("long"), F.col("ivec").cast("array<double>"))
     if _small(items, "ivec", small_rows):
         return best_k(_nearest_broadcast(queries, items, k, skip_same), k)
+    if not _grouped(items, k, small_rows, block):
+        named = items.filter("iid IS NOT NULL AND size(ivec) > 0 AND NOT exists(ivec, v -> v IS NULL)")
+        return passing(queries, packed(named.select(F.col("iid").alias("id"), F.lit(0).alias("cell"), F.col("ivec").alias("vec"))), k, skip_same)
     return VectorIndex.build(items, cells=n_cells, tile_rows=block).search(queries, k, skip_same, block)
 
 
+def _grouped(items: DataFrame, k: int, sampled: int, block: int) -> bool:
+    """Whether an index of all items would leave few tiles open to a query, by an index of about ``sampled`` of them.
+
+    Its cells are wider and its bounds looser than those of the whole, so this errs towards no index.
+    """
+    n = items.count()
+    tiles = math.ceil(n / block)
+    if tiles <= MOST_COPIES:
+        return True
+    some = items.filter(F.pmod(F.xxhash64("iid"), F.lit(max(1, n // max(1, sampled)))) == 0)
+    return VectorIndex.build(some).open_share(k) * tiles <= MOST_COPIES
+
+
 def nearest_approx(
     queries: DataFrame, items: DataFrame, k: int, skip_same: bool = False, n_cells: int | None = None, n_probe: int | None = None, block: int = BLOCK_ROWS
 ) -> DataFrame:

@@ -12,6 +12,11 @@ next one; inside a task, cells are taken nearest first and the bound tightens fr
 
 Approximate search looks at the ``probes`` nearest cells. How many that must be depends on the data, so it is measured
 when the index is built: the exact neighbours of ``CALIBRATION_ROWS`` vectors tell how many cells reach the wanted recall.
+
+Where vectors have no groups, a query would be copied to a large part of all tiles, which grows with the square of the
+table. Sampled vectors tell how many copies a search makes. Above ``MOST_COPIES`` nothing is copied: both sides are
+packed into blocks, and every task reads all blocks of vectors past the few blocks of queries that it holds
+(``passing``). That takes as many distances as there are pairs, and disk in proportion to the two tables.
 """
 
 from __future__ import annotations
@@ -21,6 +26,9 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +52,14 @@ _CHUNK = 500_000
 #: Distances to centres that a task holds while it routes queries, and numbers of vectors in a batch that it hands on.
 _ROUTED = 500_000
 _CARRIED = 500_000
+#: Tiles that a query may be copied to on average, and filed vectors that tell how many it would be.
+MOST_COPIES = 3
+PROBED_ROWS = 64
+#: Numbers in a block of vectors, blocks of queries that a task holds, and distances that it holds.
+BLOCK_NUMBERS = 262_144
+TASK_BLOCKS = 4
+_HELD = 500_000
+_BLOCKS = "block long, dims int, ids array<bigint>, cells array<int>, vecs binary"
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -192,6 +208,210 @@ class Layout:
         return frame.groupby(["row", "cell"], sort=True)["fine"].agg(list).reset_index()
 
 
+def _packed(most: int, numbers: int | None = None):
+    """Rows (id, cell, vec) -> blocks of at most ``most`` vectors, with four bytes a number where that loses nothing."""
+    numbers = numbers or BLOCK_NUMBERS
+
+    def run(batches):
+        first, made, rest = TaskContext.get().partitionId() << 33, 0, None
+
+        def block(rows: pa.Table) -> pa.RecordBatch:
+            nonlocal made
+            x = pc.list_flatten(rows.column("vec")).combine_chunks().to_numpy(zero_copy_only=False)
+            with np.errstate(over="ignore"):
+                short = x.astype(np.float32)
+            made += 1
+            lists = lambda c, kind: pa.array([rows.column(c).combine_chunks().cast(kind)], pa.list_(kind))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([first + made]), pa.array([len(x) // len(rows)], pa.int32()), lists("id", pa.int64()), lists("cell", pa.int32()),
+                 pa.array([(short if (short == x).all() else x).tobytes()], pa.binary())], names=["block", "dims", "ids", "cells", "vecs"])
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rest = pa.concat_tables([rest, rows]) if rest is not None and len(rest) else rows
+            step = max(1, min(most, numbers // max(1, len(rest.column("vec")[0].as_py())))) if len(rest) else 1
+            while len(rest) >= step:
+                yield block(rest.slice(0, step))
+                rest = rest.slice(step)
+        if rest is not None and len(rest):
+            yield block(rest)
+
+    return run
+
+
+
+class Asked:
+    """A block of queries and the ``k`` best that they have met."""
+
+    def __init__(self, ids: pa.Array, q: np.ndarray, k: int, skip_same: bool, wanted: np.ndarray | None):
+        self.unnamed = ids.is_null().to_numpy(zero_copy_only=False)
+        self.ids = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
+        self.q, self.k, self.skip_same, self.wanted = q, k, skip_same, wanted
+        self.squares = (q * q).sum(1)
+        self.longest = math.sqrt(np.nanmax(self.squares, initial=0))
+        raised = np.hstack([q, np.ones((len(q), 1))])
+        with np.errstate(over="ignore"):
+            self.raised = {np.float64: raised, np.float32: raised.astype(np.float32)}
+        self.dist, self.iids = np.full((len(q), k), np.inf), np.zeros((len(q), k), np.int64)
+
+    def _open(self, rows: np.ndarray, cols: np.ndarray, held: Held) -> np.ndarray:
+        """Whether a query may take an item: not itself, and of a cell that it wants."""
+        out = np.ones(len(rows), bool)
+        if self.skip_same:
+            out = (self.ids[rows] != held.iids[cols]) | self.unnamed[rows]
+        if self.wanted is not None:
+            out &= self.wanted[rows, held.cells[cols]]
+        return out
+
+    def meet(self, held: Held) -> None:
+        # Half the bytes do for the first look while their error is far below the distances that are in question.
+        error = 6e-8 * (held.x.shape[1] + 4) * (self.longest + held.longest) ** 2
+        kth = self.dist[:, -1]
+        kind = np.float32 if np.isfinite(kth).all() and error <= 1e-4 * np.median(kth) ** 2 else np.float64
+        step = max(1, _HELD // max(1, len(held.x)))
+        for lo in range(0, len(self.q), step):
+            self._meet(np.arange(lo, min(lo + step, len(self.q))), held, kind)
+
+    def _meet(self, rows: np.ndarray, held: Held, kind: type) -> None:
+        # |x|^2 - 2 q x in one product; a query's own square stands on the side of its limit.
+        rough = self.raised[kind][rows] @ held.raised(kind).T
+        own, kth = self.squares[rows], self.dist[rows, -1]
+        error = np.finfo(kind).eps * (held.x.shape[1] + 4) * (np.sqrt(own) + held.longest) ** 2
+        limit = (kth + 1e-10) ** 2 * (1 + 1e-9) - own + 1e-9 + error
+        if len(new := np.flatnonzero(~np.isfinite(kth))) and len(held.x) > self.k:
+            near = rough[new]
+            at, cols = np.divmod(np.arange(near.size), near.shape[1])
+            near.ravel()[~self._open(rows[new][at], cols, held)] = np.inf
+            best = np.partition(near, self.k - 1, axis=1)[:, self.k - 1]
+            limit[new] = best + 1e-9 * (1 + np.where(np.isfinite(best), best + own[new], 0)) + 2 * error[new]
+        limit = np.nextafter(limit.astype(kind), kind(np.inf))
+        at, cols = np.divmod(np.flatnonzero(rough <= limit[:, None]), rough.shape[1])
+        keep = self._open(rows[at], cols, held)
+        at, cols = at[keep], cols[keep]
+        # Equal vectors may leave nearly every pair open, so their differences are taken a bounded number at a time.
+        some = max(1, _CARRIED // max(1, held.x.shape[1]))
+        dist = np.empty(len(at))
+        for i in range(0, len(at), some):
+            dist[i:i + some] = np.round(np.sqrt(((self.q[rows[at[i:i + some]]] - held.x[cols[i:i + some]]) ** 2).sum(1)), 10)
+        keep = (dist <= kth[at]) & np.isfinite(dist)
+        if keep.any():
+            self._take(rows[at[keep]], held.iids[cols[keep]], dist[keep])
+
+    def _take(self, rows: np.ndarray, iids: np.ndarray, dist: np.ndarray) -> None:
+        """Merge what was found with the best so far, ties going to the lower id."""
+        touched, line = np.unique(rows, return_inverse=True)
+        had = np.isfinite(self.dist[touched])
+        line = np.concatenate([np.nonzero(had)[0], line])
+        dist, iids = np.concatenate([self.dist[touched][had], dist]), np.concatenate([self.iids[touched][had], iids])
+        order = np.lexsort((iids, dist, line))
+        line, dist, iids = line[order], dist[order], iids[order]
+        place = np.arange(len(line)) - np.searchsorted(line, line)
+        keep = place < self.k
+        self.dist[touched] = np.inf
+        self.dist[touched[line[keep]], place[keep]] = dist[keep]
+        self.iids[touched[line[keep]], place[keep]] = iids[keep]
+
+    def found(self) -> pa.RecordBatch:
+        rows, place = np.nonzero(np.isfinite(self.dist))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.ids[rows], pa.int64(), mask=self.unnamed[rows]), pa.array(self.iids[rows, place], pa.int64()), pa.array(self.dist[rows, place]), pa.array(place + 1, pa.int32())],
+            names=["qid", "iid", "dist", "rank"])
+
+
+def _few_of_each(iids: np.ndarray, x: np.ndarray, cells: np.ndarray, k: int) -> np.ndarray:
+    """Rows that can be among the ``k`` best: of equal vectors those of the lowest ids, and as many more as one id has rows."""
+    whole = np.ascontiguousarray(np.hstack([x, cells[:, None]]))
+    group = np.unique(whole.view(np.dtype((np.void, whole.itemsize * whole.shape[1]))).ravel(), return_inverse=True)[1].ravel()
+    order = np.lexsort((iids, group))
+    kind, named = group[order], iids[order]
+    place = np.arange(len(kind)) - np.searchsorted(kind, kind)
+    run = np.cumsum(np.concatenate([[False], (kind[1:] != kind[:-1]) | (named[1:] != named[:-1])]))
+    most = np.zeros(int(kind[-1]) + 1, np.int64)
+    np.maximum.at(most, kind, np.bincount(run)[run])
+    return np.sort(order[place < k + most[kind]])
+
+
+class Held:
+    """A block of items that queries meet."""
+
+    def __init__(self, iids: np.ndarray, x: np.ndarray, cells: np.ndarray, k: int):
+        squares = (x * x).sum(1)
+        if len(np.unique(squares)) < 0.9 * len(squares):
+            keep = _few_of_each(iids, x, cells, k)
+            iids, x, cells, squares = iids[keep], x[keep], cells[keep], squares[keep]
+        self.iids, self.x, self.cells = iids, x, cells
+        self._raised, self.longest = {np.float64: np.hstack([-2 * x, squares[:, None]])}, math.sqrt(np.nanmax(squares, initial=0))
+
+    def raised(self, kind: type) -> np.ndarray:
+        if kind not in self._raised:
+            self._raised[kind] = self._raised[np.float64].astype(kind)
+        return self._raised[kind]
+
+
+def _block_of(batch: pa.RecordBatch, row: int, prefix: str) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """Ids, vectors and cells of a packed block."""
+    column = lambda name: batch.column(prefix + name)[row]
+    ids, dims, raw = column("ids").values, column("dims").as_py(), column("vecs").as_buffer()
+    kind = np.float32 if len(raw) == 4 * dims * len(ids) else np.float64
+    return ids, np.frombuffer(raw, kind).reshape(-1, dims).astype(float), column("cells").values
+
+
+def packed(items: DataFrame) -> DataFrame:
+    """Rows (id, cell, vec) as written blocks."""
+    return stage(items.select("id", "cell", "vec").mapInArrow(_packed(BLOCK_NUMBERS), _BLOCKS), "blocks")
+
+
+def passing(queries: DataFrame, items: DataFrame, k: int, skip_same: bool, layout: Layout | None = None, probes: int = 0) -> DataFrame:
+    """The ``k`` nearest of the packed items for every query (qid, qvec): qid, iid, dist, rank.
+
+    Blocks of queries stay in a task while all blocks of items pass. With a layout a query takes items of its ``probes``
+    nearest cells alone. Only the packed queries are shuffled; a few queries share the items between tasks.
+    """
+    spark = queries.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    asked = queries.filter("size(qvec) > 0 AND NOT exists(qvec, v -> v IS NULL)")
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("dims"), F.countDistinct("qid").alias("ids")).first()
+    most = max(1, math.ceil(size["n"] / (4 * cores)))
+    blocks = math.ceil(size["n"] / max(1, min(most, BLOCK_NUMBERS // max(1, size["dims"] or 1))))
+    tasks = max(1, min(blocks, max(4 * cores, math.ceil(blocks / TASK_BLOCKS))))
+    shares = math.ceil(2 * cores / tasks) if tasks < 2 * cores else 1
+    held = items.coalesce(shares)
+    named = asked.select(F.col("qid").alias("id"), F.lit(0).alias("cell"), F.col("qvec").alias("vec")).mapInArrow(_packed(most), _BLOCKS)
+    named = named.repartition(tasks).select([F.col(c).alias(f"q{c}") for c in named.columns])
+
+    def wanted(q: np.ndarray) -> np.ndarray | None:
+        if layout is None:
+            return None
+        out = np.zeros((len(q), len(layout.count)), bool)
+        step = max(1, _ROUTED // max(1, len(layout.count)))
+        for lo in range(0, len(q), step):
+            rows, cells = layout.nearest_cells(q[lo:lo + step], probes)
+            out[lo + rows, cells] = True
+        return out
+
+    def meet(batches):
+        waiting, now, here = {}, None, None
+        for batch in batches:
+            for row in range(len(batch)):
+                number, block = batch.column("qblock")[row].as_py(), batch.column("block")[row].as_py()
+                if number not in waiting:
+                    ids, q, _ = _block_of(batch, row, "q")
+                    waiting[number] = Asked(ids, q, k, skip_same, wanted(q))
+                if block != now:
+                    iids, x, cells = _block_of(batch, row, "")
+                    now, here = block, Held(iids.to_numpy(zero_copy_only=False), x, cells.to_numpy(zero_copy_only=False), k)
+                waiting[number].meet(here)
+        for one in waiting.values():
+            yield one.found()
+
+    # The hint makes Spark read one side past the other in place of broadcasting either.
+    pairs = held.hint("shuffle_replicate_nl").crossJoin(named).mapInArrow(meet, f"{PAIRS}, rank int")
+    # Parts of the items and rows with one id still have to meet.
+    whole = shares == 1 and size["ids"] == size["n"]
+    return pairs if whole else best_k(pairs.drop("rank"), k)
+
+
+
 class VectorIndex:
     """Vectors (iid, vec) filed under the cells of a layout, in a folder that outlives the session."""
 
@@ -200,6 +420,7 @@ class VectorIndex:
         centers = spark.read.parquet(f"{path}/coarse").orderBy("coarse").toPandas()
         self.layout = Layout(matrix(centers["center"]), spark.read.parquet(f"{path}/cells").toPandas(), tile_rows)
         self.vectors = spark.read.parquet(f"{path}/vectors")
+        self._held: DataFrame | None = None
 
     @classmethod
     def build(cls, items: DataFrame, path: str | None = None, cells: int | None = None, tile_rows: int = TILE_ROWS) -> VectorIndex:
@@ -224,10 +445,14 @@ class VectorIndex:
                     d = distances(matrix(pdf["vec"]), coarse)
                     yield pd.DataFrame({"iid": pdf["iid"], "vec": pdf["vec"], "coarse": d.argmin(1).astype("int32"), "reach1": d.min(1)})
 
-        filed = stage(clean.mapInPandas(to_coarse, "iid long, vec array<double>, coarse int, reach1 double"), "coarse")
-        # The lowest hashes of a coarse cell are kept in each task before they meet.
+        # Assigned anew by each reader, which takes no second copy of the vectors on disk.
+        filed = clean.mapInPandas(to_coarse, "iid long, vec array<double>, coarse int, reach1 double")
+        # The lowest hashes of a coarse cell; where they are a small part of it, the rest stays out of the shuffle.
+        sizes = {r["coarse"]: r["n"] for r in filed.groupBy("coarse").agg(F.count(F.lit(1)).alias("n")).collect()}
+        edges = [f"{min((1 << 32) - 1, int((1 << 32) * 1.5 * TRAINING_ROWS * k / sizes[c])) if c in sizes else 0:08x}~" for c in range(len(coarse))]
         lowest = Window.partitionBy("coarse").orderBy(_hash_order(), "iid")
-        drawn = filed.withColumn("_rn", F.row_number().over(lowest)).filter(F.col("_rn") <= TRAINING_ROWS * k)
+        low = filed.filter(_hash_order() <= F.element_at(F.array(*[F.lit(e) for e in edges]), F.col("coarse") + 1)) if edges else filed
+        drawn = low.withColumn("_rn", F.row_number().over(lowest)).filter(F.col("_rn") <= TRAINING_ROWS * k)
 
         def split(pdf: pd.DataFrame) -> pd.DataFrame:
             found = lloyd(matrix(pdf.sort_values("_rn")["vec"]), k)
@@ -248,7 +473,7 @@ class VectorIndex:
                 yield pdf.assign(fine=place, reach=reach)
 
         vectors = filed.mapInPandas(to_fine, "iid long, vec array<double>, coarse int, reach1 double, fine int, reach double")
-        vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+        vectors.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/vectors")
         figures = spark.read.parquet(f"{path}/vectors").groupBy("coarse", "fine").agg(
             F.count(F.lit(1)).alias("n"), F.min("reach").alias("lo"), F.max("reach").alias("hi"), F.min("reach1").alias("lo1"), F.max("reach1").alias("hi1")
         )
@@ -261,7 +486,7 @@ class VectorIndex:
         chosen = self.vectors.orderBy(_hash_order(), "iid").limit(rows).select(F.col("iid").alias("qid"), F.col("vec").alias("qvec")).dropDuplicates(["qid"])
         asked = stage(chosen, "asked")
         held = asked.toPandas()
-        found = self.search(asked, k, skip_same=True).join(self.vectors.select("iid", "coarse", "fine").distinct(), "iid").select("qid", "coarse", "fine").toPandas()
+        found = passing(asked, self._blocks(), k, True).join(self.vectors.select("iid", "coarse", "fine").distinct(), "iid").select("qid", "coarse", "fine").toPandas()
         probes = len(layout.count)
         if len(found):
             q = matrix(held["qvec"])
@@ -285,6 +510,28 @@ class VectorIndex:
             known = self.spark.read.parquet(f"{self.path}/probes").filter((F.col("k") >= k) & (F.col("recall") >= recall)).agg(F.min("probes")).first()[0]
         return known or self.calibrate(k, recall)
 
+    def _blocks(self) -> DataFrame:
+        """The filed vectors, packed once, with the places of their cells in the layout."""
+        if self._held is None:
+            first = F.array(*[F.lit(int(i)) for i in self.layout.first])
+            place = (F.element_at(first, F.col("coarse") + 1) + F.col("fine")).cast("int")
+            self._held = packed(self.vectors.select(F.col("iid").alias("id"), place.alias("cell"), "vec"))
+        return self._held
+
+    def open_share(self, k: int) -> float:
+        """Share of the filed vectors that the bounds leave to a filed one that looks for its ``k`` nearest; on a sample."""
+        if not self.layout.count.sum():
+            return 0.0
+        chosen = self.vectors.orderBy(_hash_order(), "iid").limit(PROBED_ROWS).select(F.col("iid").alias("qid"), F.col("vec").alias("qvec")).dropDuplicates(["qid"])
+        asked = stage(chosen, "asked")
+        held, found = asked.toPandas(), passing(asked, self._blocks(), k, True).filter(F.col("rank") == k).toPandas()
+        bound = held["qid"].map(found.set_index("qid")["dist"]).fillna(np.inf).to_numpy()
+        reached = self.layout.least(matrix(held["qvec"])) <= bound[:, None] + _SLACK
+        return float((reached * self.layout.count).sum(1).mean() / self.layout.count.sum())
+
+    def _tiles(self) -> int:
+        return int((self.layout.tile + self.layout.parts).max()) if len(self.layout.tile) else 0
+
     def _route(self, queries: DataFrame, pick) -> DataFrame:
         """Queries (qid, qvec, more) -> a row for each tile that ``pick(layout, vectors, frame)`` names, with its wanted cells and the bound."""
         layout = self.layout
@@ -325,6 +572,8 @@ class VectorIndex:
     def search(self, queries: DataFrame, k: int, skip_same: bool = False, block: int = TILE_ROWS) -> DataFrame:
         """The ``k`` nearest filed vectors of every query (qid, qvec), exactly: qid, iid, dist, rank."""
         queries = queries.select(F.col("qid").cast("long"), F.col("qvec").cast("array<double>")).filter("size(qvec) > 0")
+        if self._tiles() > MOST_COPIES and self.open_share(k) * self._tiles() > MOST_COPIES:
+            return passing(queries, self._blocks(), k, skip_same)
 
         def home(layout, q, pdf):
             rows, cells = np.nonzero(layout.home_tiles(q)[:, None] == layout.tile[None, :])
