@@ -179,7 +179,10 @@ def test_vectors_without_groups_are_not_copied(spark, monkeypatch):
     monkeypatch.setattr(V, "stage", lambda df, label="stage": written.append(label) or real(df, label))
     index = V.VectorIndex.build(vectors, tile_rows=20)
     same(collected(index.search(asked, 5, True)), brute(x, x, 5, True))
+    few = collected(index.search_approx(asked, 5, True, probes=20))
     assert "visits" not in written
+    monkeypatch.setattr(V, "MOST_COPIES", 10**6)
+    assert few == collected(index.search_approx(asked, 5, True, probes=20)) and "visits" in written
 
 
 @pytest.mark.parametrize("numbers", [262_144, 30])

@@ -532,6 +532,11 @@ class VectorIndex:
     def _tiles(self) -> int:
         return int((self.layout.tile + self.layout.parts).max()) if len(self.layout.tile) else 0
 
+    def _copies(self, probes: int) -> float:
+        """Tiles that hold the ``probes`` nearest cells of a filed vector; on a sample."""
+        held = self.vectors.orderBy(_hash_order(), "iid").limit(PROBED_ROWS).toPandas()
+        return len(self.layout.tiles_of(*self.layout.nearest_cells(matrix(held["vec"]), probes))) / max(1, len(held)) if len(held) else 0.0
+
     def _route(self, queries: DataFrame, pick) -> DataFrame:
         """Queries (qid, qvec, more) -> a row for each tile that ``pick(layout, vectors, frame)`` names, with its wanted cells and the bound."""
         layout = self.layout
@@ -613,6 +618,8 @@ class VectorIndex:
         """The ``k`` nearest vectors of the ``probes`` nearest cells, by default as many as the wanted recall takes."""
         queries = queries.select(F.col("qid").cast("long"), F.col("qvec").cast("array<double>")).filter("size(qvec) > 0")
         n = probes or self.probes_for(k)
+        if self._tiles() > MOST_COPIES and self._copies(n) > MOST_COPIES:
+            return passing(queries, self._blocks(), k, skip_same, self.layout, n)
 
         def pick(layout, q, pdf):
             rows, cells = layout.nearest_cells(q, n)
