@@ -201,3 +201,16 @@ def test_blocks_pass_in_any_size(spark, clustered, monkeypatch, numbers):
     unnamed = spark.createDataFrame([(None, [float(v) for v in x[0]]), (7, [float(v) for v in x[7]])], "qid long, qvec array<double>")
     got = {r["qid"]: r["iid"] for r in V.passing(unnamed, held, 1, True).collect()}
     assert got == {None: 0, 7: brute(x, x, 1, True)[7][0][0]}
+
+
+def test_agreement_over_passing_blocks(spark, monkeypatch):
+    """The neighbours whose labels are compared come without copies of queries for tiles."""
+    x = np.random.default_rng(10).normal(size=(300, 12))
+    written = []
+    real = V.stage
+    monkeypatch.setattr(V, "stage", lambda df, label="stage": written.append(label) or real(df, label))
+    pairs = nearest(queries(spark, x), items(spark, x), 10, True, small_rows=100, block=10)
+    row = label_agreement(pairs, spark.createDataFrame([(i, i % 3) for i in range(300)], "id long, label int")).first()
+    wanted = [i % 3 == j % 3 for i, rows in brute(x, x, 10, True).items() for j, _ in rows]
+    assert (row["agreement"], row["n_pairs"]) == (pytest.approx(np.mean(wanted)), 3000)
+    assert "visits" not in written
