@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -13,10 +14,10 @@ from pyspark.sql import functions as F
 from tidemill.functions.stemming import porter, snowball, stem_tokens
 from tidemill.functions.tails import chi2_tail, f_tail, t_tail_two_sided
 from tidemill.functions.tokens import STOP_WORDS, basic_tokens, digit_split
-from tidemill.operators import stats
+from tidemill.operators import linear, stats
 from tidemill.operators import text as X
 from tidemill.operators import timeseries as TS
-from tidemill.plans import load_all
+from tidemill.plans import load_all, texts
 from tidemill.plans.registry import QUERIES, TWINS
 
 load_all()
@@ -310,3 +311,25 @@ def test_words_are_counted_in_their_row(spark):
     counts = X.word_counts(docs, "doc_id", "tokens")
     assert {(r["doc_id"], r["token"]): r["n"] for r in counts.collect()} == wanted and counts.count() == len(wanted)
     assert "left_anti" in counts._jdf.queryExecution().optimizedPlan().toString().lower().replace("leftanti", "left_anti")
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_wide_text_model_is_that_of_spark(spark, monkeypatch, classes):
+    """Beyond the bound no vector of the fit lies in the driver's heap, and the classes stay those of Spark's model."""
+    r = np.random.default_rng(classes)
+    rows = [(i, " ".join(f"w{v}" for v in r.integers(0, 300, 40)) + (" good" * (i % classes) if r.random() < 0.8 else "")) for i in range(240)]
+    docs = spark.createDataFrame([*rows, rows[5], (None, "w1 w2"), (900, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % classes) for i in range(0, 200)], "doc_id long, quality int")
+    t = SimpleNamespace(documents=docs, labels=labels)
+    monkeypatch.setattr(texts, "_STEPS", 5)
+    expected = {row["doc_id"]: row["quality"] for row in texts.text_classify(t).collect()}
+    monkeypatch.setattr(texts, "MOST_WEIGHTS", 0)
+    monkeypatch.setattr(texts, "_text_model", None)
+    monkeypatch.setattr(linear, "SLICE", 100)
+    got = {row["doc_id"]: row["quality"] for row in texts.text_classify(t).collect()}
+    assert got == expected and len(set(got.values())) == classes
+
+
+def test_wide_text_model_of_one_class(spark):
+    rows = spark.createDataFrame([(1.0, [(0, 2.0)]), (1.0, [])], "label double, pairs array<struct<i:int,n:double>>")
+    assert [r["prediction"] for r in linear.fit_classes(rows, 3, 0.01, 5).predict(rows).collect()] == [1, 1]

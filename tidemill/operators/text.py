@@ -269,22 +269,27 @@ def dictionary(tokens: DataFrame, key: str, column: str, min_docs: int = 2) -> D
 _sparse = F.udf(lambda size, places, values: Vectors.sparse(size, places, values), VectorUDT())
 
 
-def count_vectors(df: DataFrame, key: str, column: str, words: DataFrame, out: str = "counts", small_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """key and the sparse counts of the dictionary's words in the document; every word has a place of its own.
+def placed_counts(df: DataFrame, key: str, column: str, words: DataFrame, small_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """key and ``pairs``: the dictionary's words in the document as (place i, number n), by place.
 
     ``words`` (token, term_id) may have any size. The tokens of a row are looked up and counted there, and only the
     (place, count) pairs of keys that several rows share are brought together: those rows are one document. Without
-    known words, and for a null key, the vector is empty.
+    known words, and for a null key, the list is empty.
     """
     keyed = df.filter(F.col(key).isNotNull())
-    placed = _by_words(keyed, key, F.col(column), words.select("token", "term_id"), _placed_counts, "array<struct<i:int,n:double>>", "_v", small_rows)
+    placed = _by_words(keyed, key, F.col(column), words.select("token", "term_id"), _placed_counts, "array<struct<i:int,n:double>>", "pairs", small_rows)
     shared = _shared_keys(keyed, key)
     if not shared.isEmpty():
         same = F.col(key) == F.col("_shared")
-        pairs = placed.join(shared, same, "left_semi").select(key, F.explode_outer("_v").alias("p")).groupBy(key, F.col("p.i").alias("i")).agg(F.sum("p.n").alias("n"))
-        merged = pairs.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("i").isNotNull(), F.struct("i", "n")))).alias("_v"))
+        pairs = placed.join(shared, same, "left_semi").select(key, F.explode_outer("pairs").alias("p")).groupBy(key, F.col("p.i").alias("i")).agg(F.sum("p.n").alias("n"))
+        merged = pairs.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("i").isNotNull(), F.struct("i", "n")))).alias("pairs"))
         placed = placed.join(shared, same, "left_anti").unionByName(merged)
-    unnamed = df.filter(F.col(key).isNull()).select(key).distinct().withColumn("_v", F.array().cast("array<struct<i:int,n:double>>"))
+    unnamed = df.filter(F.col(key).isNull()).select(key).distinct().withColumn("pairs", F.array().cast("array<struct<i:int,n:double>>"))
+    return placed.unionByName(unnamed)
+
+
+def count_vectors(df: DataFrame, key: str, column: str, words: DataFrame, out: str = "counts", small_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """key and the sparse counts of the dictionary's words in the document; every word has a place of its own."""
     size = F.broadcast(words.agg(F.count(F.lit(1)).cast("int").alias("_size")))
-    every = placed.unionByName(unnamed).join(size)
-    return every.select(key, _sparse("_size", F.transform("_v", lambda p: p["i"]), F.transform("_v", lambda p: p["n"])).alias(out))
+    every = placed_counts(df, key, column, words, small_rows).join(size)
+    return every.select(key, _sparse("_size", F.transform("pairs", lambda p: p["i"]), F.transform("pairs", lambda p: p["n"])).alias(out))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import tokens as K
 from tidemill.operators import text as X
+from tidemill.operators.linear import fit_classes
 from tidemill.plans.registry import query
 from tidemill.session import spread, stage
 
@@ -152,29 +153,40 @@ def encode_fixed_length(t):
     return encoded.select("turn_id", F.size("ids").alias("length"), used_ids().alias("used"), ids_digest())
 
 
-def _labelled_counts(t, others=True):
-    """Count vectors of the documents over the words of the labelled ones, and the labelled ones with their quality.
+#: Weights, words times classes, of a model whose fit may keep its vectors in the driver's heap.
+MOST_WEIGHTS = 1_000_000
+_STEPS, _PENALTY = 20, 0.01
 
-    Without ``others`` only labelled documents are tokenised and counted.
+
+def _classified(t, others=True):
+    """doc_id and prediction of the documents, by a linear model on the counts of the labelled ones' words.
+
+    Without ``others`` only labelled documents are tokenised, counted and returned, with their label.
     """
     labels = t.labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
     docs = spread(t.documents.select("doc_id", "text"))
     docs = docs if others else docs.join(labels, "doc_id", "left_semi")
     tokens = stage(docs.select("doc_id", K.word_tokens(F.coalesce("text", F.lit(""))).alias("tokens")), "tokens")
     words = stage(X.dictionary(tokens.join(labels, "doc_id", "left_semi"), "doc_id", "tokens"), "words")
-    counts = stage(X.count_vectors(tokens, "doc_id", "tokens", words), "counts")
-    return counts, counts.join(labels, "doc_id")
+    n_words, top = words.count(), labels.agg(F.max("label")).first()[0]
+    if n_words * ((top or 0) + 1) <= MOST_WEIGHTS:
+        counts = stage(X.count_vectors(tokens, "doc_id", "tokens", words), "counts")
+        model = _text_model(counts.join(labels, "doc_id"))
+        judged = model.transform(counts if others else counts.join(labels, "doc_id"))
+        return judged.drop("counts", "features", "rawPrediction", "probability").withColumn("prediction", F.col("prediction").cast("int"))
+    counts = stage(X.placed_counts(tokens, "doc_id", "tokens", words), "counts")
+    labelled = counts.join(labels, "doc_id")
+    return fit_classes(labelled.select("label", "pairs"), n_words, _PENALTY, _STEPS).predict(counts if others else labelled)
 
 
 def _text_model(labelled):
-    return Pipeline(stages=[IDF(inputCol="counts", outputCol="features"), LogisticRegression(family="multinomial", maxIter=20, regParam=0.01)]).fit(labelled)
+    return Pipeline(stages=[IDF(inputCol="counts", outputCol="features"), LogisticRegression(family="multinomial", maxIter=_STEPS, regParam=_PENALTY)]).fit(labelled)
 
 
 @query("text_classify")
 def text_classify(t):
     """Quality predicted for every document by a linear model on the counts of the labelled ones' words."""
-    counts, labelled = _labelled_counts(t)
-    return _text_model(labelled).transform(counts).select("doc_id", F.col("prediction").cast("int").alias("quality"))
+    return _classified(t).select("doc_id", F.col("prediction").alias("quality"))
 
 
 @query("text_classify_check", """
@@ -183,8 +195,7 @@ def text_classify(t):
     SELECT sum(n)::BIGINT AS n_labelled, round(max(n) / sum(n), 6) AS majority, true AS better FROM c""")
 def text_classify_check(t):
     """Share of the larger class among the labelled documents, and whether the fitted model is right on more of them."""
-    _, labelled = _labelled_counts(t, others=False)
-    judged = _text_model(labelled).transform(labelled).select("label", (F.col("label") == F.col("prediction")).cast("double").alias("hit"))
+    judged = _classified(t, others=False).select("label", (F.col("label") == F.col("prediction")).cast("double").alias("hit"))
     per = judged.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"))
     share = F.max("n") / F.sum("n")
     return per.agg(F.sum("n").alias("n_labelled"), F.round(share, 6).alias("majority"), (F.sum("hits") / F.sum("n") > share).alias("better"))
