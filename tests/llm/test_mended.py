@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -158,3 +159,27 @@ def test_stages_on_odd_rows(spark, stage):
     out = function(spark, docs, SF_DIR)
     assert out.count() >= 3 and {r["rest"] for r in out.select("rest").collect()} == {"r"}
     assert function(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_small_regions_are_paired_at_once():
+    """Regions of two to thirty classes give the pairs and rows that they gave one by one, without a step of Python for each."""
+    r = np.random.default_rng(3)
+    lengths = np.concatenate([r.integers(1, 31, 300), np.full(60_000, 3)])
+    gram = np.repeat(np.arange(len(lengths)), lengths)
+    rows = [gram, np.arange(len(gram)) * 7, r.integers(20, 28, len(gram)).astype(np.int32), r.integers(0, 24, len(gram)).astype(np.int8)]
+    table = pa.table(rows, names=["gram", "key", "n", "before"])
+    start = time.perf_counter()
+    found = list(jaccard._regions(iter(table.to_batches(max_chunksize=10_000))))
+    assert time.perf_counter() - start < 1.2  # seconds, where a step for each region took several
+    got = {tuple(x) for b in found for x in zip(*[c.to_pylist() for c in b.columns], strict=True)}
+    few = int(lengths[:300].sum())
+    expected = set()
+    for s, m in zip(np.cumsum(lengths[:300]) - lengths[:300], lengths[:300], strict=True):
+        for i in range(s, s + m if m <= jaccard.PAIRS_UPTO else s):
+            for j in range(i + 1, s + m):
+                (ni, nj), (li, lj) = ([int(rows[2][x]) for x in (i, j)], [int(rows[2][x]) * (100 - int(rows[3][x])) // 100 for x in (i, j)])
+                if min(ni, nj) * 100 >= max(ni, nj) * 75 and jaccard.similar(min(li, lj), ni, nj):
+                    expected.add((0, int(rows[1][i]), int(rows[1][j])))
+    large = {int(rows[1][x]) for s, m in zip(np.cumsum(lengths[:300]) - lengths[:300], lengths[:300], strict=True) if m > jaccard.PAIRS_UPTO for x in range(s, s + m)}
+    assert {x for x in got if x[0] == 0 and x[1] < 7 * few and x[1] not in large} == expected
+    assert {x[2] for x in got if x[0] == 1} == large
